@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reproduced workload has no streams, windows over event time or stateful
+operators; every job here is a batch DataFrame plan. This package is kept so
+that a streaming source can later feed the same DataFrame functions through
+``foreachBatch``; nothing streaming is claimed or implemented.
+"""
