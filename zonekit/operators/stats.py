@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import rank_table, running_totals
+from .ranks import rank_table, running_totals, stacked_rank_table
 
 
 def safe_corr(a, b) -> Column:
@@ -26,10 +26,16 @@ def with_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                prefix: str = "_r_", parts: int | None = None) -> DataFrame:
     """Attach the average rank of each column in ``cols`` (within ``by``)."""
     by = list(by)
+    if len(cols) == 1:
+        c = cols[0]
+        return df.join(rank_table(df, c, by, f"{prefix}{c}", parts), on=[*by, c], how="left")
+    rt = stacked_rank_table(df, cols, by, "_zk_r", parts)
     out = df
     for c in cols:
-        rt = rank_table(df, c, by, f"{prefix}{c}", parts)
-        out = out.join(rt, on=[*by, c], how="left")
+        part = rt.where(F.col("_zk_col") == F.lit(c)).select(
+            *by, F.col("_zk_val").alias(f"_zk_k_{c}"), F.col("_zk_r").alias(f"{prefix}{c}"))
+        out = (out.withColumn(f"_zk_k_{c}", F.col(c).cast("double"))
+               .join(part, on=[*by, f"_zk_k_{c}"], how="left").drop(f"_zk_k_{c}"))
     return out
 
 

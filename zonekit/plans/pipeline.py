@@ -14,6 +14,28 @@ from ..operators import encode, transform
 
 EXCLUDE = ["invalid_ratio", "grid_lon", "grid_lat", "grid_id", "grid_period"]
 
+# Incremental feature groups (each adds to the previous ones), as in the ablation.
+FEATURE_GROUPS = {
+    "base": ["total_count", "lon", "lat", "precip", "snow", "temp", "wind", "hour", "dow", "month"],
+    "count": ["log_total_count", "count_bin"],
+    "cyclical": ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos"],
+    "spatial": ["grid_te"],
+    "temporal_spatial": ["grid_period_te", "time_period"],
+    "weather": ["is_raining", "has_snow"],
+    "grid_stats": ["grid_avg_count", "grid_violation_std", "grid_sample_count"],
+}
+# Features dropped in the pruned set.
+WEAK_FEATURES = ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos", "is_raining", "has_snow"]
+
+
+def cumulative_groups(groups: dict[str, list[str]] = FEATURE_GROUPS) -> dict[str, list[str]]:
+    """Each named set holds its group plus all earlier ones."""
+    out, acc = {}, []
+    for name, cols in groups.items():
+        acc = acc + list(cols)
+        out[name] = list(acc)
+    return out
+
 
 def with_keys(df: DataFrame, folds: int = 5, fold_col: str = "fold") -> DataFrame:
     """Cell keys, fold, count bin, period and cross key."""

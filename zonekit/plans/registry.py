@@ -30,12 +30,23 @@ def query(name: str, sql: str | None = None):
 
 
 def r6(c, alias: str | None = None) -> Column:
-    """Round a computed double to 6 digits (both engines sum in other orders)."""
+    """Round a computed double to 6 digits (both engines sum in other orders).
+
+    Computed as ``round(x * 1e6) / 1e6`` - the same double arithmetic as the
+    oracle engine's ``round(x, 6)`` - so exact ties round the same way.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    out = F.round(col.cast("double"), 6)
+    out = F.round(col.cast("double") * F.lit(1e6), 0) / F.lit(1e6)
     return out.alias(alias or (c if isinstance(c, str) else "value"))
 
 
+def r6f(c, alias: str | None = None) -> Column:
+    """Float32 storage then :func:`r6`: for means of discrete values that can
+    sit on an exact 6-digit tie, where summation order decides the side."""
+    col = F.col(c) if isinstance(c, str) else c
+    return r6(col.cast("float").cast("double"), alias or (c if isinstance(c, str) else "value"))
+
+
 def load_all() -> None:
     """Import every query module so its registrations run."""
     from . import (q_features, q_lookup, q_profile, q_ranks, q_stats, q_encode,  # noqa: F401
