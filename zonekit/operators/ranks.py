@@ -171,3 +171,28 @@ def row_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     pos = cum.select(*by, *order, F.col("_zk_one_cum").alias(out))
     return df.join(pos, on=[*by, *order], how="inner")
 
+
+
+def rank_normalise(pred: DataFrame, col: str, target: DataFrame, y: str, out: str = "mapped",
+                   parts: int | None = None) -> DataFrame:
+    """map ``col`` onto the distribution of ``y`` in ``target``.
+
+    Each value's percentile rank ``r / N`` becomes the position
+    ``h = r / N * (M - 1)`` in the sorted target (``M`` rows), interpolated
+    linearly between the values at ``floor(h)`` and ``ceil(h)``. Both sides
+    are distinct-value interval tables, so no sorted array is ever built.
+    Returns ``pred`` with ``out`` added.
+    """
+    iv = value_intervals(target, y, parts=parts)
+    m_rows = iv.select(F.max("hi")).scalar()
+    n_rows = pred.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
+    rt = rank_table(pred, col, out="_zk_r", parts=parts)
+    pos = rt.select(col, (F.col("_zk_r") / n_rows * (m_rows - F.lit(1))).alias("_zk_h")) \
+        .withColumns({"_zk_f": F.floor("_zk_h"), "_zk_c": F.ceil("_zk_h")})
+    a = iv.select(F.col(y).alias("_zk_vf"), F.col("lo").alias("_zk_lof"), F.col("hi").alias("_zk_hif"))
+    b = iv.select(F.col(y).alias("_zk_vc"), F.col("lo").alias("_zk_loc"), F.col("hi").alias("_zk_hic"))
+    j = pos.join(a, (pos["_zk_f"] >= a["_zk_lof"]) & (pos["_zk_f"] < a["_zk_hif"]), "inner")
+    j = j.join(b, (j["_zk_c"] >= b["_zk_loc"]) & (j["_zk_c"] < b["_zk_hic"]), "inner")
+    mapped = j.select(col, (F.col("_zk_vf") + (F.col("_zk_vc") - F.col("_zk_vf"))
+                            * (F.col("_zk_h") - F.col("_zk_f"))).alias(out))
+    return pred.join(mapped, on=col, how="left")

@@ -59,17 +59,22 @@ def spearman(df: DataFrame, a: str, b: str, by: Sequence[str] = (), out: str = "
 
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = (),
                    parts: int | None = None) -> DataFrame:
-    """Rho for many column pairs with one rank per column and one aggregate.
+    """Rho for many column pairs, pairwise-complete, in one pass.
 
-    Returns ``by..., a, b, rho`` rows (long form).
+    Rows are unpivoted to ``(pair, a, b)`` (DOUBLE), pairs with a null are
+    dropped, then both sides are ranked per pair with one stacked rank table
+    and one grouped correlation. Returns ``by..., a, b, rho`` (long form).
     """
     by = list(by)
-    cols = sorted({c for p in pairs for c in p})
-    r = with_ranks(df.select(*by, *cols), cols, by, parts=parts)
-    aggs = [safe_corr(f"_r_{x}", f"_r_{y}").alias(f"_rho_{i}") for i, (x, y) in enumerate(pairs)]
-    wide = r.groupBy(*by).agg(*aggs) if by else r.agg(*aggs)
-    stack = ", ".join(f"'{x}', '{y}', `_rho_{i}`" for i, (x, y) in enumerate(pairs))
-    return wide.selectExpr(*[f"`{b}`" for b in by], f"stack({len(pairs)}, {stack}) AS (a, b, rho)")
+    items = F.array(*[F.struct(F.lit(i).alias("_zk_p"), F.col(x).cast("double").alias("_zk_a"),
+                               F.col(y).cast("double").alias("_zk_b")) for i, (x, y) in enumerate(pairs)])
+    long = df.select(*by, F.explode(items).alias("_zk_s")).select(*by, "_zk_s.*") \
+        .where(F.col("_zk_a").isNotNull() & F.col("_zk_b").isNotNull())
+    r = with_ranks(long, ["_zk_a", "_zk_b"], [*by, "_zk_p"], parts=parts)
+    rho = r.groupBy(*by, "_zk_p").agg(safe_corr("_r__zk_a", "_r__zk_b").alias("rho"))
+    names = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b")) for x, y in pairs])
+    return rho.select(*by, names[F.col("_zk_p")].getField("a").alias("a"),
+                      names[F.col("_zk_p")].getField("b").alias("b"), "rho")
 
 
 def pearson(df: DataFrame, a: str, b: str, by: Sequence[str] = (), out: str = "r") -> DataFrame:
