@@ -109,3 +109,18 @@ def f32(x: str) -> str:
 
 def quantile_sql(col: str, q: float) -> str:
     return f"quantile_cont({col}, {q!r})"
+
+
+def ks_sql(tag: str, src: str, x: str = "x", s: str = "s", first: str = "train", second: str = "test") -> str:
+    """CTEs ending in ``{tag}(ks, na, nb)``: two-sample KS of ``x`` split by ``s``."""
+    return (f", {tag}_v AS (SELECT {x} AS x, sum(CASE WHEN {s} = '{first}' THEN 1 ELSE 0 END) a, "
+            f"sum(CASE WHEN {s} = '{second}' THEN 1 ELSE 0 END) b FROM {src} WHERE {x} IS NOT NULL GROUP BY {x})"
+            f", {tag}_n AS (SELECT sum(a) na, sum(b) nb FROM {tag}_v)"
+            f", {tag}_c AS (SELECT x, sum(a) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) ca, "
+            f"sum(b) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) cb FROM {tag}_v)"
+            f", {tag} AS (SELECT max(abs(CAST(ca AS DOUBLE) / na - CAST(cb AS DOUBLE) / nb)) AS ks, "
+            f"min(na) AS na, min(nb) AS nb FROM {tag}_c CROSS JOIN {tag}_n)")
+
+
+def kfold_extra(k: int, name: str) -> str:
+    return f", kz_{name} AS (SELECT *, {fold_sql(k)} AS {name} FROM kz)"
