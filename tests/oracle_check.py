@@ -85,7 +85,7 @@ def main():
     a = ap.parse_args()
     from zonekit.session import get_spark
     import __spark_entry__ as E
-    spark = get_spark("local[8]", 8)
+    spark = get_spark("local[8]", 8, driver_memory="16g")
     qs, ors = E.queries(), E.oracle_sql()
     con = duck_conn(a.sf)
     names = [n for n in qs if not a.names or any(n.startswith(p) for p in a.names)]

@@ -148,3 +148,12 @@ def mix32(c="row_id", seed: int = 0) -> Column:
     """Deterministic 32-bit order key for sampling (same bijection as folds)."""
     key = (_c(c) + F.lit(seed)) % F.lit(2147483648)
     return (key * F.lit(2654435761)) % F.lit(4294967296)
+
+
+def round_half_away(c, digits: int) -> Column:
+    """``round(x * 10^d) / 10^d`` with halves away from zero, in plain double
+    arithmetic (codegen; no per-value BigDecimal). Equals the usual C library
+    rounding used by SQL engines on doubles."""
+    scale = F.lit(float(10 ** digits))
+    v = _c(c).cast("double") * scale
+    return F.signum(v) * F.floor(F.abs(v) + F.lit(0.5)) / scale

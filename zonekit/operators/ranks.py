@@ -11,9 +11,12 @@ order statistics here go through :func:`running_totals` instead:
 4. per-partition totals (at most one row per partition and group it touches)
    give exclusive offsets, joined back; AQE broadcasts them when small.
 
-The range exchange is shared by the two consumers (ReusedExchange), so the
-partition ids agree; a lost executor recomputes map output with the same
-range bounds, so recomputation gives the same ids.
+The partition id is stored as data: the range-partitioned distinct table is
+checkpointed (reliable checkpoint in the shared folder) with its
+``spark_partition_id()`` column, and both consumers - the local running sum and
+the per-partition totals - read that one copy. Their ids therefore agree by
+construction (two independently planned range exchanges could sample
+different bounds), the distinct table is computed once, and the lineage is cut.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parts
+from ..session import default_parts, shared_dir
 
 _PID = "_zk_pid"
 
@@ -37,9 +40,11 @@ def running_totals(counts: DataFrame, order: Sequence[str], sums: Sequence[str],
     columns (inclusive) for every column in ``sums``.
     """
     by, order, sums = list(by), list(order), list(sums)
-    n = parts or default_parts(counts.sparkSession)
+    spark = counts.sparkSession
+    shared_dir(spark)
+    n = parts or default_parts(spark)
     rp = counts.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by + order]) \
-        .withColumn(_PID, F.spark_partition_id())
+        .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
     w_local = (Window.partitionBy(_PID, *by).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = rp.select("*", *[F.sum(c).over(w_local).alias(f"_zk_loc_{c}") for c in sums])

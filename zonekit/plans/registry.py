@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.features import round_half_away
 from . import sqltext
 
 QUERIES: dict[str, Callable] = {}
@@ -36,7 +37,7 @@ def r6(c, alias: str | None = None) -> Column:
     oracle engine's ``round(x, 6)`` - so exact ties round the same way.
     """
     col = F.col(c) if isinstance(c, str) else c
-    out = F.round(col.cast("double") * F.lit(1e6), 0) / F.lit(1e6)
+    out = round_half_away(col, 6)
     return out.alias(alias or (c if isinstance(c, str) else "value"))
 
 

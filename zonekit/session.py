@@ -25,7 +25,7 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, partitions: int = 8, app: str = "zonekit",
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, driver_memory: str | None = None) -> SparkSession:
     """Return (or create) a session with the defaults above.
 
     On a cluster the launcher owns master and memory; locally tests pass
@@ -36,6 +36,8 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "zoneki
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(partitions)
+    if driver_memory:  # local mode: the driver JVM is the executor
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
