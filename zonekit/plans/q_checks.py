@@ -1 +1,132 @@
-"""Registered queries."""
+"""Registered validation and report queries (M1-M8)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import features as fx
+from ..operators import checks, encode, stats
+from ..operators import ensemble as E
+from ..sources.fixtures import zone_obs
+from . import pipeline
+from . import sqltext as S
+from .common import keyed_split
+from .registry import query, r6
+
+_Y = "invalid_ratio"
+K = S.keyed_cte(5)
+_M1_COLS = ["total_count", "precip", "snow", "temp", "wind", "hour", "dow", "month"]
+
+
+@query("m1_assert_no_null", sql="""
+, m AS (SELECT quantile_cont(wind, 0.5) AS med FROM zone_obs WHERE split = 'train')
+, f AS (SELECT total_count, precip, coalesce(snow, 0e0) AS snow, temp, coalesce(wind, (SELECT med FROM m)) AS wind, hour, dow, month FROM zone_obs)
+SELECT * FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count(*) - count({c}) AS BIGINT) AS nulls, round(100e0 * (count(*) - count({c})) / count(*), 6) AS null_pct, "
+    f"CASE WHEN count(*) = count({c}) THEN 'PASS' ELSE 'FAIL' END AS status FROM f" for c in _M1_COLS) + ") t")
+def m1_assert_no_null(spark, sf):
+    z = zone_obs(spark, sf)
+    a, b = pipeline.fill_missing(z.where("split = 'train'"), z.where("split = 'test'"))
+    c = checks.assert_no_null(a.unionByName(b), _M1_COLS)
+    return c.select("column", "nulls", r6("null_pct"), "status")
+
+
+@query("m2_check_predictions", sql="""
+, p AS (SELECT least(greatest(0.5e0 * pred_a + 0.5e0 * pred_b, 0e0), 1e0) AS pred FROM zone_obs WHERE split = 'test')
+, a AS (SELECT CAST(sum(CASE WHEN pred IS NULL OR isnan(pred) THEN 1 ELSE 0 END) AS DOUBLE) AS nulls, CAST(count(*) AS DOUBLE) AS rows,
+  min(pred) AS mn, max(pred) AS mx, abs(avg(pred) - (SELECT avg(invalid_ratio) FROM zone_obs WHERE split = 'train')) AS gap,
+  CAST((SELECT count(*) FROM zone_obs WHERE split = 'test') AS DOUBLE) AS expected FROM p)
+SELECT 'nulls' AS "check", round(nulls, 6) AS value, CASE WHEN nulls = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM a
+UNION ALL SELECT 'rows', round(rows, 6), CASE WHEN rows = expected THEN 'PASS' ELSE 'FAIL' END FROM a
+UNION ALL SELECT 'min', round(mn, 6), CASE WHEN mn >= 0 THEN 'PASS' ELSE 'FAIL' END FROM a
+UNION ALL SELECT 'max', round(mx, 6), CASE WHEN mx <= 1 THEN 'PASS' ELSE 'FAIL' END FROM a
+UNION ALL SELECT 'mean_gap', round(gap, 6), CASE WHEN gap < 0.05 THEN 'PASS' ELSE 'FAIL' END FROM a""")
+def m2_check_predictions(spark, sf):
+    z = zone_obs(spark, sf)
+    te = z.where("split = 'test'")
+    pred = te.select(fx.clip01(fx.blend(["pred_a", "pred_b"], [0.5, 0.5])).alias("pred"))
+    c = checks.check_predictions(pred, "pred", te.select(F.count(F.lit(1))).scalar(),
+                                 z.where("split = 'train'").select(F.avg(_Y)).scalar())
+    return c.select("check", r6("value"), "status")
+
+
+@query("m3_check_columns")
+def m3_check_columns(spark, sf):
+    tr, te = keyed_split(spark, sf)
+    ftr, fte = pipeline.features(tr, te)
+    return checks.check_columns(ftr, fte)
+
+
+@query("m4_check_rows", sql=K + """
+SELECT (SELECT count(*) FROM ktr) AS rows_before, (SELECT count(*) FROM ktr) AS rows_after, 'PASS' AS status""")
+def m4_check_rows(spark, sf):
+    tr, te = keyed_split(spark, sf)
+    ftr, _ = pipeline.features(tr, te)
+    return checks.check_rows(tr, ftr)
+
+
+_HIST_CTES = ""
+for _i, _m in enumerate(["pred_a", "pred_b"]):
+    _c, _r = S.spearman_sql("(SELECT * FROM zone_obs WHERE split = 'train')", _m, "invalid_ratio", [], f"h{_i}")
+    _HIST_CTES += _c + f", v{_i} AS (SELECT {_r} AS rho FROM h{_i}_j)"
+
+
+@query("m5_history", sql=_HIST_CTES + """
+, v AS (SELECT 1 AS version, 'pred_a' AS model, (SELECT rho FROM v0) AS score UNION ALL SELECT 2, 'pred_b', (SELECT rho FROM v1))
+SELECT version, model, round(score, 6) AS score, round(score - lag(score) OVER (ORDER BY version), 6) AS delta FROM v""")
+def m5_history(spark, sf):
+    tr = zone_obs(spark, sf).where("split = 'train'")
+    s = stats.spearman_pairs(tr, [("pred_a", _Y), ("pred_b", _Y)]) \
+        .select(F.when(F.col("a") == "pred_a", 1).otherwise(2).alias("version"), F.col("a").alias("model"), F.col("rho").alias("score"))
+    h = checks.history(s)
+    return h.select("version", "model", r6("score"), r6("delta"))
+
+
+@query("m6_gate")
+def m6_gate(spark, sf):
+    """Run the layer-2 step only if the layer-1 score holds (driver-side decision on one value)."""
+    tr = zone_obs(spark, sf).where("split = 'train'")
+    rho = stats.spearman(tr, "pred_b", _Y).collect()[0]["rho"]
+    go = checks.gate(rho, 0.5)
+    return spark.range(1).select(F.lit(rho).alias("score"), F.lit(0.5).alias("limit"), F.lit(go).alias("run_next"))
+
+
+_M7_C, _M7_R = S.spearman_sql("(SELECT 'pred_a' AS model, 'all' AS seg, pred_a AS p, invalid_ratio FROM zone_obs WHERE split = 'train' "
+                              "UNION ALL SELECT 'pred_b', 'all', pred_b, invalid_ratio FROM zone_obs WHERE split = 'train' "
+                              "UNION ALL SELECT 'pred_a', 'tc1', pred_a, invalid_ratio FROM zone_obs WHERE split = 'train' AND total_count = 1 "
+                              "UNION ALL SELECT 'pred_b', 'tc1', pred_b, invalid_ratio FROM zone_obs WHERE split = 'train' AND total_count = 1)",
+                              "p", "invalid_ratio", ["model", "seg"], "s")
+
+
+@query("m7_compare", sql=_M7_C + f"""
+, sc AS (SELECT model, seg, {_M7_R} AS rho FROM s_j GROUP BY model, seg)
+SELECT a.model, round(a.rho, 6) AS rho, round(b.rho, 6) AS rho_tc1, round(a.rho - (SELECT rho FROM sc WHERE model = 'pred_a' AND seg = 'all'), 6) AS delta,
+ CASE WHEN a.rho >= (SELECT max(rho) FROM sc WHERE seg = 'all') THEN 'BEST' ELSE '' END AS status
+FROM sc a JOIN sc b ON a.model = b.model AND a.seg = 'all' AND b.seg = 'tc1'""")
+def m7_compare(spark, sf):
+    """Per-model score on all rows and on the tc=1 segment, delta to the base model."""
+    tr = zone_obs(spark, sf).where("split = 'train'")
+    long = tr.select(_Y, "total_count", F.explode(F.array(
+        F.struct(F.lit("pred_a").alias("model"), F.col("pred_a").alias("p")),
+        F.struct(F.lit("pred_b").alias("model"), F.col("pred_b").alias("p")))).alias("m")).select(_Y, "total_count", "m.*")
+    segs = long.select("model", "p", _Y, F.explode(F.array(F.lit("all"), F.when(F.col("total_count") == 1, "tc1"))).alias("seg")) \
+        .where(F.col("seg").isNotNull())
+    sc = stats.spearman(segs, "p", _Y, by=["model", "seg"])
+    a = sc.where("seg = 'all'").select("model", "rho")
+    b = sc.where("seg = 'tc1'").select("model", F.col("rho").alias("rho_tc1"))
+    base = a.where("model = 'pred_a'").select("rho").scalar()
+    best = a.select(F.max("rho")).scalar()
+    return a.join(b, on="model").select("model", r6("rho"), r6("rho_tc1"), r6(F.col("rho") - base, "delta"),
+                                        F.when(F.col("rho") >= best, "BEST").otherwise("").alias("status"))
+
+
+_M8_C, _M8_R = S.spearman_sql("(SELECT month, split, 0.5e0 * pred_a + 0.5e0 * pred_b AS p, invalid_ratio FROM zone_obs)",
+                              "p", "invalid_ratio", ["split", "month"], "s")
+
+
+@query("m8_score_series", sql=_M8_C + f"""
+SELECT split, month, count(*) AS n, round({_M8_R}, 6) AS rho FROM s_j GROUP BY split, month""")
+def m8_score_series(spark, sf):
+    """Score series of the fixed blend per month, offline (train) and held-out (test)."""
+    z = zone_obs(spark, sf).select("split", "month", _Y, fx.blend(["pred_a", "pred_b"], [0.5, 0.5]).alias("p"))
+    return stats.spearman(z, "p", _Y, by=["split", "month"], with_n=True).select("split", "month", "n", r6("rho"))
