@@ -15,3 +15,30 @@ def keyed(spark: SparkSession, sf_dir: str, folds: int = 5) -> DataFrame:
 def keyed_split(spark: SparkSession, sf_dir: str, folds: int = 5) -> tuple[DataFrame, DataFrame]:
     z = keyed(spark, sf_dir, folds)
     return z.where("split = 'train'"), z.where("split = 'test'")
+
+
+_TIER_VERSION = "v1"
+
+
+def tier2(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Tier-2 train/test features, written once per input folder to the shared
+    folder and re-read afterwards (the reference's tier files).
+
+    Whole-table overwrite, then a ``_SUCCESS`` marker decides reuse, so a job
+    that died mid-write is recomputed instead of read half-written.
+    """
+    import hashlib
+    from ..session import shared_dir
+    from .pipeline import features
+    tag = hashlib.sha1(f"{_TIER_VERSION}:{sf_dir}".encode()).hexdigest()[:12]
+    base = f"{shared_dir(spark)}/zonekit/tier2-{tag}"
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/train/_SUCCESS")
+    fs = path.getFileSystem(conf)
+    if not (fs.exists(path) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/test/_SUCCESS"))):
+        tr, te = keyed_split(spark, sf_dir)
+        ftr, fte = features(tr, te)
+        ftr.write.mode("overwrite").parquet(f"{base}/train")
+        fte.write.mode("overwrite").parquet(f"{base}/test")
+    return spark.read.parquet(f"{base}/train"), spark.read.parquet(f"{base}/test")

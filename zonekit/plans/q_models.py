@@ -1 +1,273 @@
-"""Registered queries."""
+"""Registered model-job queries (K1-K20, G16). Rows-only checks: MLlib scores are
+not the reference's learners' scores, only the job semantics are reproduced."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import features as fx
+from ..operators import encode, models as M, ranks, split, stats, transform
+from . import pipeline
+from .common import keyed_split, tier2
+from .registry import query, r6
+
+_Y = "invalid_ratio"
+_FAST = {"maxIter": 10, "maxDepth": 4}
+
+
+def _feats(df):
+    return [c for c in pipeline.feature_columns(df) if c not in ("pred_a", "pred_b", "split")]
+
+
+def _fold_table(res: M.OOFResult, score_col: str = _Y):
+    overall = stats.spearman(res.oof, "pred", score_col).select(F.lit("all").alias("fold"), "rho")
+    per = res.fold_scores.select(F.col("fold").cast("string").alias("fold"), "rho")
+    return per.unionByName(overall).select("fold", r6("rho"))
+
+
+@query("k1_rf_baseline")
+def k1_rf_baseline(spark, sf):
+    tr, te = keyed_split(spark, sf)
+    a, _ = pipeline.fill_missing(tr, te)
+    sample = split.sample_n(a, 500000, seed=42)
+    return M.rf_baseline(sample, ["total_count", "lon", "lat", "precip", "snow", "temp", "wind", "hour", "dow", "month"], _Y)
+
+
+@query("k2_oof_train")
+def k2_oof_train(spark, sf):
+    tr, te = tier2(spark, sf)
+    res = M.oof_train(tr, te, _feats(tr), _Y, params=_FAST)
+    return _fold_table(res)
+
+
+@query("k3_early_stop")
+def k3_early_stop(spark, sf):
+    tr, te = tier2(spark, sf)
+    res = M.oof_train(tr, None, _feats(tr), _Y, params={**_FAST, "maxIter": 30, "validationTol": 0.01}, early_stop=True)
+    trees = spark.createDataFrame([(str(i), m.getNumTrees) for i, m in enumerate(res.models)], "fold string, n_trees int")
+    return _fold_table(res).join(trees, on="fold", how="left")
+
+
+@query("k4_weighted")
+def k4_weighted(spark, sf):
+    tr, _ = tier2(spark, sf)
+    tr = tr.withColumn("weight", fx.sample_weight("total_count"))
+    return _fold_table(M.oof_train(tr, None, _feats(tr.drop("weight")), _Y, params=_FAST, weight="weight"))
+
+
+@query("k5_rank_target")
+def k5_rank_target(spark, sf):
+    tr, _ = tier2(spark, sf)
+    tr = ranks.average_rank(tr, _Y, out="y_rank", normalise=True)
+    res = M.oof_train(tr, None, _feats(tr.drop("y_rank")), "y_rank", params=_FAST, score_col=_Y)
+    return _fold_table(res)
+
+
+@query("k6_ablation")
+def k6_ablation(spark, sf):
+    tr, _ = tier2(spark, sf)
+    rows = []
+    for name, cols in pipeline.cumulative_groups().items():
+        res = M.oof_train(tr, None, cols, _Y, params={"maxIter": 5, "maxDepth": 4}, parallel=4)
+        rho = stats.spearman(res.oof, "pred", _Y).select("rho").collect()[0][0]
+        rows.append((name, len(cols), float(rho) if rho is not None else None))
+    return spark.createDataFrame(rows, "feature_set string, n_features int, oof_rho double")
+
+
+@query("k7_mean_importance")
+def k7_mean_importance(spark, sf):
+    tr, _ = tier2(spark, sf)
+    feats = _feats(tr)
+    res = M.oof_train(tr, None, feats, _Y, params=_FAST)
+    return M.mean_importance(res.models, feats).orderBy(F.col("importance").desc(), "feature")
+
+
+_ADV_FEATS = ["total_count", "lon", "lat", "precip", "snow", "temp", "wind", "hour", "dow", "month"]
+
+
+@query("k8_adversarial_validation")
+def k8_adversarial_validation(spark, sf):
+    tr, te = tier2(spark, sf)
+    fold_auc, _, _ = M.adversarial_validation(tr, te, _ADV_FEATS, params=_FAST)
+    mean = fold_auc.agg(F.avg("auc").alias("auc")).select(F.lit("mean").alias("fold"), "auc")
+    return fold_auc.select(F.col("fold").cast("string"), "auc").unionByName(mean).select("fold", r6("auc"))
+
+
+def _adv_model(spark, sf):
+    tr, te = tier2(spark, sf)
+    lab = split.label_sources(split.balance(tr, te), te, ["row_id", *_ADV_FEATS], "is_test")
+    m = M._learner("gbt_clf", "is_test", _FAST, None, None).fit(M.assemble(lab, _ADV_FEATS))
+    return m, tr, te
+
+
+@query("k9_test_likeness")
+def k9_test_likeness(spark, sf):
+    m, tr, _ = _adv_model(spark, sf)
+    t = M.test_likeness(m, tr, _ADV_FEATS)
+    return t.groupBy("month").agg(r6(F.avg("p_test"), "mean_p_test"), F.count(F.lit(1)).alias("n"))
+
+
+@query("k10_temporal_validation")
+def k10_temporal_validation(spark, sf):
+    tr, _ = tier2(spark, sf)
+    feats = _feats(tr)
+    fit, valid = split.temporal_split(tr)
+    t = M.fit_score(fit, valid, feats, _Y, _FAST).select(F.lit("temporal_1_4_to_5").alias("scheme"), "rho")
+    r = M.oof_train(tr, None, feats, _Y, params=_FAST).fold_scores.agg(F.avg("rho").alias("rho")) \
+        .select(F.lit("random_folds").alias("scheme"), "rho")
+    return t.unionByName(r).select("scheme", r6("rho"))
+
+
+@query("k11_av_weighted")
+def k11_av_weighted(spark, sf):
+    m, tr, _ = _adv_model(spark, sf)
+    feats = _feats(tr)
+    t = M.test_likeness(m, tr, _ADV_FEATS).withColumn("av_weight", fx.av_weight("total_count", "p_test"))
+    base = M.oof_train(tr, None, feats, _Y, params=_FAST).fold_scores.agg(F.avg("rho")).collect()[0][0]
+    wtd = M.oof_train(t, None, feats, _Y, params=_FAST, weight="av_weight").fold_scores.agg(F.avg("rho")).collect()[0][0]
+    gain = (wtd or 0.0) - (base or 0.0)
+    return spark.createDataFrame([(float(base), float(wtd), float(gain), gain > 0.001)],
+                                 "base_rho double, weighted_rho double, gain double, keep boolean")
+
+
+@query("k12_noise_strategies")
+def k12_noise_strategies(spark, sf):
+    """Noise rows (tc=1 and confidently contradicted by an OOF prediction): remove from fit,
+    down-weight to 0.1, or smooth labels to 0.8/0.2; always scored on the original target."""
+    tr, _ = tier2(spark, sf)
+    feats = _feats(tr)
+    base = M.oof_train(tr, None, feats, _Y, params=_FAST)
+    d = tr.join(base.oof.select("row_id", F.col("pred").alias("oof")), on="row_id")
+    noise = transform.noise_candidates("oof", _Y)
+    tc1 = F.col("total_count") == 1
+    d = d.withColumns({"w": F.when(noise, F.lit(0.1)).otherwise(F.lit(1.0)),
+                       "y_smooth": F.when(noise & tc1 & (F.col(_Y) == 1), 0.8).when(noise & tc1 & (F.col(_Y) == 0), 0.2).otherwise(F.col(_Y)),
+                       "is_noise": noise})
+    out = [("baseline", base)]
+    out.append(("remove", M.oof_train(d, None, feats, _Y, params=_FAST, fit_filter=lambda k: ~F.col("is_noise"))))
+    out.append(("downweight", M.oof_train(d, None, feats, _Y, params=_FAST, weight="w")))
+    out.append(("smooth", M.oof_train(d, None, feats, "y_smooth", params=_FAST, score_col=_Y)))
+    rows = []
+    for name, res in out:
+        rho = stats.spearman(res.oof, "pred", _Y).select("rho").collect()[0][0]
+        rows.append((name, float(rho) if rho is not None else None))
+    n_noise = d.where("is_noise").count()
+    return spark.createDataFrame(rows, "strategy string, oof_rho double").withColumn("noise_rows", F.lit(n_noise))
+
+
+@query("k13_pseudo_curriculum")
+def k13_pseudo_curriculum(spark, sf):
+    """Layer-1 pseudo rows join every fit side; layer 2 runs only if OOF holds within 0.003."""
+    tr, te = tier2(spark, sf)
+    feats = _feats(tr)
+    base = M.oof_train(tr, te, feats, _Y, params=_FAST)
+    base_rho = stats.spearman(base.oof, "pred", _Y).select("rho").collect()[0][0]
+    tp = te.join(base.test.select("row_id", F.col("pred").alias("p_model")), on="row_id")
+    tp = tp.withColumn("p_other", F.col("grid_te"))
+    ps = split.pseudo_labels(tp, ["p_model", "p_other"])
+    rows = [("base", float(base_rho), 0, True)]
+    limit = base_rho - 0.003
+    for layer in (1, 2):
+        pl = ps.where(F.col("layer") <= layer).select(*feats, F.col("pseudo_y").alias(_Y), "weight") \
+            .withColumn("row_id", F.lit(-1).cast("long")).withColumn("fold", F.lit(-1))
+        aug = tr.withColumn("weight", F.lit(1.0)).select("row_id", "fold", *feats, _Y, "weight").unionByName(pl)
+        res = M.oof_train(aug, None, feats, _Y, params=_FAST, weight="weight")
+        oof = res.oof.where(F.col("row_id") >= 0)
+        rho = stats.spearman(oof, "pred", _Y).select("rho").collect()[0][0]
+        n_ps = pl.count()
+        ok = rho is not None and rho >= limit
+        rows.append((f"layer{layer}", float(rho), int(n_ps), bool(ok)))
+        if not ok:
+            break
+    return spark.createDataFrame(rows, "step string, oof_rho double, pseudo_rows int, passed boolean")
+
+
+@query("k14_subset_train")
+def k14_subset_train(spark, sf):
+    """Train only on months 1-5 with encodings recomputed inside that subset."""
+    tr, _ = keyed_split(spark, sf)
+    sub, _ = pipeline.fill_missing(tr.where("month <= 5"), tr.limit(0))
+    sub = pipeline.tier1_columns(sub)
+    mu = encode.global_mean(sub, _Y)
+    sub = encode.kfold_encode(sub, "grid_id", _Y, "fold", 100.0, "grid_te", mu)
+    sub = encode.kfold_encode(sub, "grid_period", _Y, "fold", 150.0, "grid_period_te", mu)
+    feats = ["total_count", "lon", "lat", "precip", "snow", "temp", "wind", "hour", "dow", "month",
+             "log_total_count", "count_bin", "grid_te", "grid_period_te", "time_period"]
+    return _fold_table(M.oof_train(sub, None, feats, _Y, params=_FAST))
+
+
+@query("k15_rescore")
+def k15_rescore(spark, sf):
+    """The same fold models score the test rows with full-train and with months-1-5 encodings."""
+    tr, te = tier2(spark, sf)
+    feats = _feats(tr)
+    res = M.oof_train(tr, None, feats, _Y, params=_FAST)
+    sub = tr.where("month <= 5")
+    enc5 = encode.fit_encoding(sub, "grid_id", _Y, 100.0)
+    te5 = transform.swap_columns(te, encode.apply_encoding(te.select("row_id", "grid_id"), enc5, "grid_id", "grid_te",
+                                                          fill=encode.global_mean(sub, _Y)), "row_id", ["grid_te"])
+    rows = []
+    for name, frame in (("full_train", te), ("months_1_5", te5)):
+        a = M.assemble(frame, feats)
+        preds = None
+        for m in res.models:
+            p = m.transform(a).select("row_id", F.col("pred"))
+            preds = p if preds is None else preds.unionByName(p)
+        mean = preds.groupBy("row_id").agg(F.avg("pred").alias("pred"))
+        rows.append(mean.agg(F.avg("pred").alias("mean_pred"), F.count(F.lit(1)).alias("n")).withColumn("encoding", F.lit(name)))
+    return rows[0].unionByName(rows[1]).select("encoding", r6("mean_pred"), "n")
+
+
+@query("k16_search")
+def k16_search(spark, sf):
+    tr, _ = tier2(spark, sf)
+    sample = split.sample_n(tr, 500000, seed=1)
+    space = {"maxDepth": (3, 5), "stepSize": (0.05, 0.2), "subsamplingRate": (0.6, 1.0), "maxIter": (5, 10)}
+    return M.random_search(sample, _feats(tr), _Y, space, n_trials=3).orderBy(F.col("mean_rho").desc())
+
+
+@query("k17_categorical")
+def k17_categorical(spark, sf):
+    tr, _ = tier2(spark, sf)
+    tr = M.categorical_index(tr, "grid_id", "grid_idx")
+    card = tr.select(F.countDistinct("grid_id")).collect()[0][0]
+    feats = [c for c in _feats(tr) if c != "grid_idx"] + ["grid_idx"]
+    res = M.oof_train(tr, None, feats, _Y, params={**_FAST, "maxBins": max(64, int(card) + 1)})
+    return _fold_table(res).withColumn("cells", F.lit(card))
+
+
+@query("k18_standardise")
+def k18_standardise(spark, sf):
+    tr, _ = tier2(spark, sf)
+    feats = ["total_count", "temp", "wind", "grid_te"]
+    fit, app = M.standardise(tr.where("fold != 0"), tr.where("fold = 0"), feats)
+    arr = fit.select(M.vector_to_array("features").alias("v"))
+    return arr.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(
+        r6(F.avg("x"), "mean"), r6(F.stddev_samp("x"), "std")).withColumn(
+        "feature", F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("i") + 1)).drop("i")
+
+
+@query("k19_permutation_importance")
+def k19_permutation_importance(spark, sf):
+    tr, _ = tier2(spark, sf)
+    feats = ["total_count", "temp", "wind", "hour", "grid_te", "grid_period_te"]
+    fit, valid = tr.where("fold != 0"), tr.where("fold = 0")
+    m = M._learner("gbt", _Y, _FAST, None, None).fit(M.assemble(fit, feats))
+    return M.permutation_importance(m, valid.select("row_id", _Y, *feats), feats, _Y)
+
+
+@query("k20_at_limit")
+def k20_at_limit(spark, sf):
+    tr, _ = tier2(spark, sf)
+    res = M.oof_train(tr, None, _feats(tr), _Y, params={**_FAST, "maxIter": 30, "validationTol": 0.01}, early_stop=True)
+    n = M.at_limit(res.models, 30)
+    return spark.range(1).select(F.lit(len(res.models)).alias("folds"), F.lit(n).alias("at_limit"))
+
+
+@query("g16_drift_importance")
+def g16_drift_importance(spark, sf):
+    """Train/test drift ranked by the adversarial models' importances (top 15)."""
+    tr, te = tier2(spark, sf)
+    _, _, models = M.adversarial_validation(tr, te, _ADV_FEATS, params=_FAST)
+    imp = M.mean_importance(models, _ADV_FEATS)
+    return imp.orderBy(F.col("importance").desc(), "feature").limit(15)
