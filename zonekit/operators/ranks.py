@@ -164,18 +164,22 @@ def quantile_columns(df: DataFrame, col: str, qs: Sequence[float], names: Sequen
 
 def row_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                  out: str = "pos", parts: int | None = None) -> DataFrame:
-    """1-based position of each row in ``order`` within ``by``.
+    """1-based position of each row in ``order`` within ``by`` (a row numbering).
 
-    ``order`` must be unique within a group (append a key column to break
-    ties); built on the distinct-key running count, so it never needs a
-    single-task window.
+    Positions come from the distributed running count over distinct keys, so
+    no single-task window over the data is needed. Rows that are identical on
+    the whole order key (for example a duplicated row id) share one tie group
+    and are numbered ``lo+1 .. hi`` inside it by a window over that key only.
     """
     by, order = list(by), list(order)
     counts = df.groupBy(*by, *order).agg(F.count(F.lit(1)).alias("_zk_one"))
     cum = running_totals(counts, order, ["_zk_one"], by, parts)
-    pos = cum.select(*by, *order, F.col("_zk_one_cum").alias(out))
-    return df.join(pos, on=[*by, *order], how="inner")
-
+    pos = cum.select(*by, *order, "_zk_one", (F.col("_zk_one_cum") - F.col("_zk_one")).alias("_zk_lo"))
+    j = df.join(pos, on=[*by, *order], how="inner")
+    single = j.where(F.col("_zk_one") == 1).withColumn(out, F.col("_zk_lo") + F.lit(1))
+    w = Window.partitionBy(*by, *order).orderBy(*order)  # only rows of a tie group
+    ties = j.where(F.col("_zk_one") > 1).withColumn(out, F.col("_zk_lo") + F.row_number().over(w))
+    return single.unionByName(ties).drop("_zk_lo", "_zk_one")
 
 
 def rank_normalise(pred: DataFrame, col: str, target: DataFrame, y: str, out: str = "mapped",

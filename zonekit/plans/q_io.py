@@ -31,7 +31,9 @@ def a1_read_observations(spark, sf):
     return io.read_observations(spark, path)
 
 
-@query("a2_attach_target", sql="SELECT row_id, total_count, round(lon, 6) AS lon, invalid_ratio FROM zone_obs WHERE split = 'train'")
+@query("a2_attach_target", sql="""
+, tr AS (SELECT * FROM zone_obs WHERE split = 'train')
+SELECT x.row_id, x.total_count, round(x.lon, 6) AS lon, y.invalid_ratio FROM tr x JOIN tr y ON x.row_id = y.row_id""")
 def a2_attach_target(spark, sf):
     tr = zone_obs(spark, sf).where("split = 'train'")
     x = tr.select("row_id", "total_count", "lon")
