@@ -157,3 +157,15 @@ def test_cut_is_right_closed(spark):
     df = spark.createDataFrame([(0,), (1,), (2,), (3,), (10,), (11,), (30,), (31,)], "total_count int")
     got = [r[0] for r in df.select(fx.cut("total_count")).collect()]
     assert got == [None, 0, 1, 1, 2, 3, 3, 4]
+
+
+def test_rank_normalise_matches_numpy_interp(spark):
+    z = zone_obs(spark, SF_MID)
+    tr, te = z.where("split = 'train'"), z.where("split = 'test'")
+    got = ranks.rank_normalise(te.select("row_id", "pred_a"), "pred_a", tr, "invalid_ratio") \
+        .toPandas().set_index("row_id")["mapped"].sort_index()
+    t = te.select("row_id", "pred_a").toPandas().set_index("row_id").sort_index()
+    y = np.sort(tr.select("invalid_ratio").toPandas()["invalid_ratio"].values)
+    r = t["pred_a"].rank(method="average").values / len(t)
+    exp = np.interp(r, np.linspace(0, 1, len(y)), y)
+    assert np.allclose(got.values, exp, atol=1e-9)

@@ -182,14 +182,40 @@ def row_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     return single.unionByName(ties).drop("_zk_lo", "_zk_one")
 
 
+def asof_fill(df: DataFrame, key: str, kind: str, value: str, out: str = "filled",
+              parts: int | None = None) -> DataFrame:
+    """Last non-null ``value`` at or before each row in ``(key, kind)`` order.
+
+    A distributed as-of lookup: rows are range-partitioned on ``(key, kind)``
+    (partition ids stored by a checkpoint, as in :func:`running_totals`); a
+    window inside each partition carries the last value forward, and a small
+    per-partition table (the last value of each partition) fills rows that
+    precede the first value of their partition. No range join, no single task.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    n = parts or default_parts(spark)
+    rp = df.repartitionByRange(n, F.col(key), F.col(kind)).withColumn(_PID, F.spark_partition_id()) \
+        .checkpoint(eager=True)
+    w = Window.partitionBy(_PID).orderBy(key, kind).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rp.withColumn("_zk_last", F.last(value, ignorenulls=True).over(w))
+    ends = rp.where(F.col(value).isNotNull()).groupBy(_PID).agg(
+        F.max_by(value, F.struct(key, kind)).alias("_zk_end"))
+    w_prev = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    carry = ends.select(_PID, F.last("_zk_end", ignorenulls=True).over(w_prev).alias("_zk_carry"))
+    j = local.join(carry, on=_PID, how="left")
+    return j.withColumn(out, F.coalesce("_zk_last", "_zk_carry")).drop(_PID, "_zk_last", "_zk_carry")
+
+
 def rank_normalise(pred: DataFrame, col: str, target: DataFrame, y: str, out: str = "mapped",
                    parts: int | None = None) -> DataFrame:
     """map ``col`` onto the distribution of ``y`` in ``target``.
 
     Each value's percentile rank ``r / N`` becomes the position
     ``h = r / N * (M - 1)`` in the sorted target (``M`` rows), interpolated
-    linearly between the values at ``floor(h)`` and ``ceil(h)``. Both sides
-    are distinct-value interval tables, so no sorted array is ever built.
+    linearly between the values at ``floor(h)`` and ``ceil(h)``. The value at
+    an integer position is found by an as-of lookup over interval starts
+    (:func:`asof_fill`), so both sides may have any number of distinct values.
     Returns ``pred`` with ``out`` added.
     """
     iv = value_intervals(target, y, parts=parts)
@@ -198,10 +224,20 @@ def rank_normalise(pred: DataFrame, col: str, target: DataFrame, y: str, out: st
     rt = rank_table(pred, col, out="_zk_r", parts=parts)
     pos = rt.select(col, (F.col("_zk_r") / n_rows * (m_rows - F.lit(1))).alias("_zk_h")) \
         .withColumns({"_zk_f": F.floor("_zk_h"), "_zk_c": F.ceil("_zk_h")})
-    a = iv.select(F.col(y).alias("_zk_vf"), F.col("lo").alias("_zk_lof"), F.col("hi").alias("_zk_hif"))
-    b = iv.select(F.col(y).alias("_zk_vc"), F.col("lo").alias("_zk_loc"), F.col("hi").alias("_zk_hic"))
-    j = pos.join(a, (pos["_zk_f"] >= a["_zk_lof"]) & (pos["_zk_f"] < a["_zk_hif"]), "inner")
-    j = j.join(b, (j["_zk_c"] >= b["_zk_loc"]) & (j["_zk_c"] < b["_zk_hic"]), "inner")
-    mapped = j.select(col, (F.col("_zk_vf") + (F.col("_zk_vc") - F.col("_zk_vf"))
-                            * (F.col("_zk_h") - F.col("_zk_f"))).alias(out))
+    starts = iv.select(F.col("lo").cast("long").alias("_zk_k"), F.lit(0).alias("_zk_kind"),
+                       F.col(y).cast("double").alias("_zk_v"), F.lit(None).cast("double").alias("_zk_p"),
+                       F.lit(None).cast("string").alias("_zk_end"))
+    probes = pos.select(F.explode(F.array(
+        F.struct(F.col("_zk_f").cast("long").alias("_zk_k"), F.lit("f").alias("_zk_end")),
+        F.struct(F.col("_zk_c").cast("long").alias("_zk_k"), F.lit("c").alias("_zk_end")))).alias("_zk_q"),
+        F.col(col).cast("double").alias("_zk_p"))
+    probes = probes.select("_zk_q._zk_k", F.lit(1).alias("_zk_kind"), F.lit(None).cast("double").alias("_zk_v"),
+                           "_zk_p", "_zk_q._zk_end")
+    filled = asof_fill(starts.unionByName(probes), "_zk_k", "_zk_kind", "_zk_v", "_zk_val", parts) \
+        .where(F.col("_zk_kind") == 1)
+    vals = filled.groupBy("_zk_p").agg(F.max(F.when(F.col("_zk_end") == "f", F.col("_zk_val"))).alias("_zk_vf"),
+                                       F.max(F.when(F.col("_zk_end") == "c", F.col("_zk_val"))).alias("_zk_vc"))
+    mapped = pos.withColumn("_zk_p", F.col(col).cast("double")).join(vals, on="_zk_p", how="inner") \
+        .select(col, (F.col("_zk_vf") + (F.col("_zk_vc") - F.col("_zk_vf"))
+                      * (F.col("_zk_h") - F.col("_zk_f"))).alias(out))
     return pred.join(mapped, on=col, how="left")
