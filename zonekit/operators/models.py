@@ -58,7 +58,7 @@ def _learner(kind: str, label: str, params: dict, weight: str | None, validation
 def oof_train(train: DataFrame, test: DataFrame | None, features: Sequence[str], label: str,
               fold_col: str = "fold", folds: Sequence[int] = (0, 1, 2, 3, 4), kind: str = "gbt",
               params: dict | None = None, weight: str | None = None, early_stop: bool = False,
-              score_col: str | None = None, parallel: int = 2, fit_filter=None) -> OOFResult:
+              score_col: str | None = None, parallel: int = 5, fit_filter=None) -> OOFResult:
     """K2-K5: one model per fold; OOF prediction for every train row, mean-of-folds for test.
 
     ``early_stop`` uses the held-out fold as the validation set (K3, MLlib's
