@@ -169,3 +169,26 @@ def test_rank_normalise_matches_numpy_interp(spark):
     r = t["pred_a"].rank(method="average").values / len(t)
     exp = np.interp(r, np.linspace(0, 1, len(y)), y)
     assert np.allclose(got.values, exp, atol=1e-9)
+
+
+def test_four_model_search_matches_brute_force(spark):
+    """The full 0.05 grid (1,771 points) against numpy on the small fixture."""
+    tr, _ = keyed_split(spark, SF_SMALL)
+    mu = encode.global_mean(tr, "invalid_ratio")
+    d = encode.kfold_encode(tr, "grid_id", "invalid_ratio", "fold", 30.0, "grid_te", mu)
+    d = encode.kfold_encode(d, "grid_period", "invalid_ratio", "fold", 50.0, "grid_period_te", mu)
+    models = ["pred_a", "pred_b", "grid_te", "grid_period_te"]
+    pdf = d.select(*models, "invalid_ratio").toPandas()
+    cur = ensemble.blend_curve(d, models, "invalid_ratio", 20).toPandas().set_index("point")
+    pts = ensemble.simplex_grid(4, 20)
+    assert len(cur) == len(pts) == 1771
+    ry = pdf.invalid_ratio.rank(method="average")
+    exp = []
+    for w in pts:
+        p = sum(float(wi) * pdf[m] for wi, m in zip(w, models)) / 20.0
+        p = np.sign(p * 1e9) * np.floor(np.abs(p * 1e9) + 0.5) / 1e9
+        exp.append(p.rank(method="average").corr(ry))
+    exp = np.array(exp)
+    assert np.allclose(cur.sort_index()["rho"].values, exp, atol=1e-9)
+    best = ensemble.best_point(ensemble.blend_curve(d, models, "invalid_ratio", 20)).collect()[0]["point"]
+    assert best == int(np.flatnonzero(exp == exp.max())[0])
