@@ -39,22 +39,46 @@ def with_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     return out
 
 
+def rho_from_sums(n, sx, sxx, sy, syy, sxy) -> Column:
+    """Pearson correlation from count and sums (NULL when a side is constant)."""
+    cov = sxy - sx * sy / n
+    vx = sxx - sx * sx / n
+    vy = syy - sy * sy / n
+    return F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+
+
 def spearman(df: DataFrame, a: str, b: str, by: Sequence[str] = (), out: str = "rho",
              with_n: bool = False, parts: int | None = None) -> DataFrame:
     """Spearman rho with average ties, per ``by`` group.
 
     Rows with a null in either column are dropped first (pairwise complete).
+    The rank of ``b`` is attached once; rows are then aggregated per
+    ``(group, a)`` keeping ``n``, ``sum r_b`` and ``sum r_b^2``, the rank of
+    ``a`` comes from the running count over that distinct table, and rho
+    follows from sums - only one join of the rows, none for ``a``.
     """
     by = list(by)
     d = df.select(*by, a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
     if a == b:
         d = d.select(*by, a, F.col(a).alias("_zk_b"))
         b = "_zk_b"
-    r = with_ranks(d, [a, b], by, parts=parts)
-    aggs = [safe_corr(f"_r_{a}", f"_r_{b}").alias(out)]
+    rb = rank_table(d, b, by, "_zk_rb", parts)
+    rows = d.join(rb, on=[*by, b], how="inner")
+    g = rows.groupBy(*by, a).agg(F.count(F.lit(1)).alias("_zk_n"), F.sum("_zk_rb").alias("_zk_sy"),
+                                 F.sum(F.col("_zk_rb") * F.col("_zk_rb")).alias("_zk_syy"))
+    cum = running_totals(g, [a], ["_zk_n"], by, parts)
+    ra = F.col("_zk_n_cum") - F.col("_zk_n") + (F.col("_zk_n") + F.lit(1)) / F.lit(2.0)
+    c = cum.withColumn("_zk_ra", ra)
+    aggs = [F.sum("_zk_n").cast("double").alias("_N"), F.sum(F.col("_zk_n") * F.col("_zk_ra")).alias("_Sx"),
+            F.sum(F.col("_zk_n") * F.col("_zk_ra") * F.col("_zk_ra")).alias("_Sxx"),
+            F.sum("_zk_sy").alias("_Sy"), F.sum("_zk_syy").alias("_Syy"),
+            F.sum(F.col("_zk_ra") * F.col("_zk_sy")).alias("_Sxy")]
+    s = c.groupBy(*by).agg(*aggs) if by else c.agg(*aggs)
+    cols = [*by, rho_from_sums(F.col("_N"), F.col("_Sx"), F.col("_Sxx"), F.col("_Sy"), F.col("_Syy"),
+                               F.col("_Sxy")).alias(out)]
     if with_n:
-        aggs.append(F.count(F.lit(1)).alias("n"))
-    return r.groupBy(*by).agg(*aggs) if by else r.agg(*aggs)
+        cols.append(F.col("_N").cast("long").alias("n"))
+    return s.select(*cols)
 
 
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = (),
