@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, token_files
+from . import bpe, packing, quality, token_files
 from .common import documents
 
 QUERIES: dict = {}
@@ -39,6 +39,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), SEQUENCE)
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and adaptive verdict of every text."""
+    return quality.judged(documents(spark, sf_dir), keep=["doc_id"])
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as flat token files and read back."""
