@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality, token_files
+from . import bpe, packing, quality, token_files, warc
 from .common import documents
 
 QUERIES: dict = {}
@@ -39,6 +39,22 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), SEQUENCE)
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    manifest = warc.write(warc.plan(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return warc.read(manifest, payloads=False).drop("url", "payload")
+
+
+ORACLES["op5_warc"] = """
+with p as (select page_id, sha256(coalesce(html, '')) payload_digest, octet_length(encode(coalesce(html, ''))) payload_bytes from pages),
+g as (select payload_digest, min(page_id) first from p group by payload_digest)
+select p.page_id, payload_bytes::bigint payload_bytes, payload_digest,
+ case when payload_bytes >= 100 and first <> page_id then 'revisit' else 'response' end record_type,
+ case when payload_bytes >= 100 and first <> page_id then first end refers_to
+from p join g using (payload_digest)"""
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and adaptive verdict of every text."""
