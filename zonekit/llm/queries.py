@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality, token_files, warc
+from . import bpe, fingerprints, packing, quality, token_files, warc
 from .common import documents
 
 QUERIES: dict = {}
@@ -32,6 +32,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited form, and their likeness."""
+    return fingerprints.neighbours(documents(spark, sf_dir))
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
