@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, packing, quality, token_files, warc
+from . import bpe, fingerprints, packing, pii, quality, token_files, warc
 from .common import documents
 
 QUERIES: dict = {}
@@ -32,6 +32,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts and digest of the base spans, and all spans."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.detect(docs, pii.train(docs)).select("doc_id", "pii")
+    counts = [F.expr(f"size(filter(pii, s -> s.base and s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(pii.listed("pii", True), 256).alias("base_sha256"), pii.listed("pii", False).alias("spans"))
+
+
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited form, and their likeness."""
