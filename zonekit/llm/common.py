@@ -60,3 +60,52 @@ def open_folder(uri: str):
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), urlparse(uri).path
     return fs.FileSystem.from_uri(uri)
+
+
+def groups(batches, keys: int):
+    """(key, rows) of consecutive rows with equal values in the first ``keys`` columns; for sorted partitions."""
+    key, rows = None, []
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            piece = batch.slice(at, 1000)
+            for row in zip(*(piece.column(i).to_pylist() for i in range(piece.num_columns))):
+                if row[:keys] != key:
+                    if rows:
+                        yield key, rows
+                    key, rows = row[:keys], []
+                rows.append(row)
+    if rows:
+        yield key, rows
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of the connected components of edges (u, v), root the least node; nodes without an edge aren't in it.
+
+    Alternating large and small stars: each round links the neighbours of a node to the least of them, so a chain
+    shrinks in a logarithmic number of rounds. Rounds end when the edges stay as they are; each is written to
+    the shared folder. A node of many edges is reduced by a partial minimum before the shuffle.
+    """
+    def least(df: DataFrame) -> DataFrame:
+        return df.groupBy("u").agg(F.min("v").alias("m"))
+
+    def mark(df: DataFrame):
+        row = df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        return tuple(row)
+
+    now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    seen = mark(now)
+    while seen[0]:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = least(both).select("u", F.least("u", "m").alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.distinct(), "large_star")
+        low = least(large)
+        joined = large.join(low, "u")
+        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            low.select("u", F.col("m").alias("v")))
+        now = stored(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        if (last := mark(now)) == seen:
+            break
+        seen = last
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

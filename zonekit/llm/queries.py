@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, packing, pii, quality, token_files, warc
+from . import bpe, fingerprints, ngram_join, packing, pii, quality, token_files, warc
 from .common import documents
 
 QUERIES: dict = {}
@@ -70,6 +70,12 @@ select p.page_id, payload_bytes::bigint payload_bytes, payload_digest,
 from p join g using (payload_digest)"""
 
 
+@query
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates by word 5-grams: class and number of links of every document."""
+    return ngram_join.linked(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"]).drop("is_first")
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and adaptive verdict of every text."""
