@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored
-from .pieces import in_passes, library_encoder
+from .pieces import in_passes, whole_texts
 
 #: Pieces that one task packs; bounds its memory, and what a shard's last open sequences waste.
 SHARD = 200_000
@@ -37,7 +37,7 @@ def pieces(df: DataFrame, path: str, end_id: int, capacity: int, doc_id: str = "
     """One row a piece: doc_id, piece (from 0), start, length, ids (packed little-endian unsigned 32-bit)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = library_encoder(path).encode_all
+        encode_all = whole_texts(path).encode_all
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             keys = batch.column(0).to_pylist()

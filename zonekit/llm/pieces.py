@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 
 import numpy as np
 import regex
@@ -27,6 +28,11 @@ _ASCII_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x00]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _PLAIN_SPLIT = re.compile(r"(?= \S)")
 _RUN = re.compile("[\t\n\x0b\x0c\r \x85\xa0  -     　]+")
+#: WORD_PATTERN for the Latin blocks; its alternatives begin with different characters, so the commonest may stand first.
+_LATIN = [chr(c) for c in range(0x250)]
+_LETTERS = "".join(c for c in _LATIN if c.isalpha())
+_NUMBERS = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "N")
+_find_latin = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+").findall
 _WIDE = re.compile("[^\x00-ɏ]")
 
 
@@ -146,26 +152,65 @@ def in_passes(values: list, length=len) -> list[slice]:
     return [*out, slice(start, len(values))] if start < len(values) else out
 
 
-def _by_library(pieces: Pieces):
-    """The library's BPE model on pieces that are cut already: all of a pass in one call."""
-    from tokenizers import Tokenizer
-    bare = Tokenizer(pieces.library.model)
-    show = {b: ord(c) for b, c in enumerate(byte_chars())}
+class WholeTexts:
+    """Ids of whole texts by the compiled merge engine of tiktoken, from the tokenizer file itself.
 
-    def solve(wanted: list[bytes]):
-        found = bare.encode([p.decode("latin-1").translate(show) for p in wanted], is_pretokenized=True,
-                            add_special_tokens=False)
-        return np.array(found.ids, np.int64), np.bincount(found.word_ids, minlength=len(wanted))
+    That engine merges any two neighbours whose bytes are a token, by the token's rank; the file lists pairs. Both
+    agree on every text if each merged token, alone, is merged back to itself (a test holds both files to it). A word
+    end is a zero byte here, joined to the last byte before any other merge. Texts that the plain rules don't
+    cover (zero bytes, and for the word file added tokens and characters beyond the Latin blocks) go to the library.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+        self.pieces = p = Pieces(path)
+        vocab, shown = p.spec["model"]["vocab"], byte_chars()
+        ranks: dict[bytes, int] = {}
+        ids: list[int] = []
+
+        def add(token: bytes, name: str) -> None:
+            if token in ranks:
+                raise ValueError(f"{path}: two tokens of bytes {token!r}")
+            ranks[token] = len(ids)
+            ids.append(vocab[name])
+
+        if p.kind == "word":
+            for b, c in enumerate(shown):
+                add(bytes([b, 0]), c + p.suffix)
+        for b, c in enumerate(shown):
+            add(bytes([b]), c)
+        for m in p.spec["model"]["merges"]:
+            name = "".join(m.split(" ") if isinstance(m, str) else m)
+            end = b"\0" if p.suffix and name.endswith(p.suffix) else b""
+            add(bytes(map(p.byte_of.__getitem__, name.removesuffix(p.suffix) if end else name)) + end, name)
+        special = {} if p.kind == "word" else {t: len(ids) + i for i, t in enumerate(p.added)}
+        self.ids = np.array(ids + [p.added[t] for t in special], "<u4")
+        self.engine = tiktoken.Encoding("own", pat_str="[^\0]+\0" if p.kind == "word" else BYTE_PATTERN, mergeable_ranks=ranks,
+                                        special_tokens=special)
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit integers."""
+        p = self.pieces
+        if p.kind == "byte":
+            return self.ids[self.engine.encode_to_numpy(text, allowed_special="all")].tobytes()
+        if "\0" in text or not text.isascii() and _WIDE.search(text) or "<|" in text and p._added.search(text):
+            return np.array(p.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        text = text.lower()  # a few lower-case letters leave the Latin blocks
+        found = (p._find if not text.isascii() and _WIDE.search(text) else _find_latin)(text)
+        if not found:
+            return b""
+        found.append("")
+        return self.ids[self.engine.encode_to_numpy("\0".join(found))].tobytes()
 
-    return solve
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        return [self.encode(t) for t in texts]
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, WholeTexts] = {}
 
 
-def library_encoder(path: str) -> ChunkEncoder:
-    """Encoding by the tokenizers library's model; one encoder (and cache) a Python worker."""
+def whole_texts(path: str) -> WholeTexts:
+    """One encoder a Python worker."""
     if path not in _ENCODERS:
-        pieces = Pieces(path)
-        _ENCODERS[path] = ChunkEncoder(pieces, _by_library(pieces))
+        _ENCODERS[path] = WholeTexts(path)
     return _ENCODERS[path]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import open_folder, stored
-from .pieces import in_passes, library_encoder
+from .pieces import in_passes, whole_texts
 
 MANIFEST = "part int, bin string, idx string, documents long, tokens long, width int"
 DOCUMENT = "doc_id long, start long, n_tokens long, ids binary"
@@ -37,7 +37,7 @@ def write(df: DataFrame, path: str, end_id: int, folder: str | None = None, doc_
     folder = folder or scratch_path(df.sparkSession, "tokens")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(path)
+        encoder = whole_texts(path)
         top = max(end_id, encoder.pieces.library.get_vocab_size(True) - 1)
         kind = np.dtype("<u2" if top < 1 << 16 else "<u4")
         store, place = open_folder(folder)
