@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, ngram_join, packing, pii, quality, token_files, warc
+from . import bpe, fingerprints, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
 from .common import documents
 
 QUERIES: dict = {}
@@ -87,3 +87,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as flat token files and read back."""
     manifest = token_files.write(documents(spark, sf_dir), WORD_BPE, END_ID)
     return token_files.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 50-byte strings removed from every text."""
+    out = suffix_dedup.spans_removed(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
