@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
+from . import bpe, fingerprints, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
 from .common import documents
 
 QUERIES: dict = {}
@@ -70,6 +70,17 @@ select p.page_id, payload_bytes::bigint payload_bytes, payload_digest,
 from p join g using (payload_digest)"""
 
 
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every text."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = licenses.scan(docs, licenses.train(docs)).drop("text")
+    families = F.expr("array_sort(array_distinct(transform(filter(licences, x -> x.confirmed), x -> x.family)))")
+    return found.select("doc_id", "n_paragraphs", F.array_join(families, ",").alias("families"),
+                        F.expr("size(filter(licences, x -> x.confirmed))").cast("long").alias("n_confirmed"),
+                        F.expr("size(filter(licences, x -> not x.confirmed))").cast("long").alias("n_unconfirmed"))
+
+
 @query
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates by word 5-grams: class and number of links of every document."""
