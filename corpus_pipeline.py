@@ -1,27 +1,52 @@
-"""From raw documents to packed training sequences: STAGES in order, each on what the one before kept."""
+"""From raw documents to packed training sequences: STAGES in order, each on all that the one before kept.
+
+Each function takes (spark, docs, sf_dir); all but the last return the columns of documents. ``run`` writes the rows
+of each stage to the shared folder and reads them again for the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from zonekit.llm import ngram_join, packing, pii, quality, queries, suffix_dedup
+from zonekit.llm.common import documents, stored
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or the fences of their language and source go."""
+    return quality.filtered(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of 0.8 or more join, the one with the least id stays."""
+    return ngram_join.deduplicated(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of strings that a document with a smaller id has go."""
+    return suffix_dedup.deduplicated(docs).withColumn("n_chars", F.length("text").cast("long"))
+
 
-from zonekit.llm import packing, queries as Q
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind."""
+    return pii.redacted(docs, pii.train(docs)).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing into sequences of 1024 tokens."""
-    cut = packing.pieces(docs, Q.BYTE_BPE, Q.END_ID, Q.SEQUENCE)
-    return packing.pack(cut, Q.SEQUENCE)
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens, one row a piece, with its ids."""
+    return packing.pack(packing.pieces(docs, queries.BYTE_BPE, queries.END_ID, queries.SEQUENCE), queries.SEQUENCE)
 
 
-STAGES = [("best_fit_packing", pack)]
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("repeated_strings", repeated_strings),
+          ("personal_data", personal_data), ("best_fit_packing", best_fit_packing)]
 
-#: Tokens, personal data and near duplicates aren't SQL's; the tests hold the rows against a brute-force version.
+#: N-gram links, suffixes and tokens aren't SQL's; the tests hold the rows against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from zonekit.llm.common import stored
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
