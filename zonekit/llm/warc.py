@@ -81,7 +81,7 @@ class Archive:
 
     def __init__(self, store, place: str):
         self.path = f"{place}/{uuid.uuid4().hex}.warc.zst"
-        self.out = store.open_output_stream(self.path)
+        self.out = store.open_output_stream(self.path, compression=None)  # else taken from the name
         self.waiting: list[bytes] = []
         self.size = self.records = 0
         self.compress = None
@@ -179,7 +179,7 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 store, _ = open_folder(row["folder"])
-                with store.open_input_stream(row["path"]) as stream:
+                with store.open_input_stream(row["path"], compression=None) as stream:
                     part = []
                     for r in records(stream):
                         part.append(r if payloads else r | {"payload": None})
