@@ -51,7 +51,7 @@ def cyclical(c, period: float, shift: float = 0.0) -> tuple[Column, Column]:
 
 def grid_axis(c, size: float = GRID_SIZE) -> Column:
     """C4: cell index along one axis, ``trunc(coord / size)`` as LONG."""
-    return F.floor(_c(c) / F.lit(size)).cast("long")
+    return (_c(c) / F.lit(size)).cast("long")  # a cast truncates towards zero
 
 
 def grid_id(lon_cell, lat_cell, mult: int = GRID_MULT) -> Column:
@@ -145,9 +145,14 @@ def fold_of(c="row_id", k: int = 5, seed: int = 0) -> Column:
 
 
 def mix32(c="row_id", seed: int = 0) -> Column:
-    """Deterministic 32-bit order key for sampling (same bijection as folds)."""
-    key = (_c(c) + F.lit(seed)) % F.lit(2147483648)
-    return (key * F.lit(2654435761)) % F.lit(4294967296)
+    """Deterministic 32-bit order key for sampling, independent of the folds.
+
+    A second multiplication follows the fold's first one, after its halves change places, so rows with
+    near order keys are spread over all folds; ``seed`` enters both rounds. Same value in DuckDB.
+    """
+    h = (((_c(c) + F.lit(seed)) % F.lit(2147483648)) * F.lit(2654435761)) % F.lit(4294967296)
+    swapped = (h % F.lit(65536)) * F.lit(65536) + F.floor(h / F.lit(65536)).cast("long")
+    return (((swapped + F.lit(seed * 40503)) % F.lit(2147483648)) * F.lit(2246822519)) % F.lit(4294967296)
 
 
 def round_half_away(c, digits: int) -> Column:

@@ -2,9 +2,9 @@
 
 ``enc(k) = (n_k * mean_k + s * mu) / (n_k + s)``, ``mu`` the train mean.
 
-K-fold in one pass: sums per ``(key, fold)`` (partial aggregation on the map
-side, so a hot key costs one row per map task), totals per key from that small
-table, the own fold subtracted, and the result joined back on ``(key, fold)``.
+K-fold: sums per ``(key, fold)`` (partial aggregation on the map side, so a hot
+key costs one row per map task), totals per key by a window over that small table,
+the own fold subtracted, and the result joined back on ``(key, fold)``.
 The per-fold loop of the reference (one groupBy per fold) becomes one shuffle.
 A hot key is already split ``k`` ways by the fold in the join key; AQE's skew
 join splits further. The encoding table is never broadcast blindly: AQE
@@ -13,7 +13,7 @@ broadcasts it only when its measured size is under the threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -69,11 +69,12 @@ def kfold_table(train: DataFrame, key: str, y: str = "invalid_ratio", fold: str
     """
     mu = global_mean(train, y) if mu is None else mu
     c = fold_stats(train, key, y, fold).where(F.col(key).isNotNull())
-    t = c.groupBy(key).agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
-    other_n = F.col("_tn") - F.col("_n")
-    other_s = F.col("_ts") - F.col("_s")
-    te = F.when(other_n > 0, smooth_expr(other_s, other_n, smooth, mu)).otherwise(mu)
-    return c.join(t, on=key, how="inner").select(key, fold, as_stored(te).alias(out))
+    of_key = Window.partitionBy(key)  # over the aggregate: as many rows a key as there are folds
+    other_n = F.sum("_n").over(of_key) - F.col("_n")
+    other_s = F.sum("_s").over(of_key) - F.col("_s")
+    c = c.select(key, fold, other_s.alias("_os"), other_n.alias("_on"))
+    te = F.when(F.col("_on") > 0, smooth_expr(F.col("_os"), F.col("_on"), smooth, mu)).otherwise(mu)
+    return c.select(key, fold, as_stored(te).alias(out))
 
 
 def kfold_encode(train: DataFrame, key: str, y: str = "invalid_ratio", fold: str = "fold",
@@ -102,7 +103,7 @@ def encode_train_test(train: DataFrame, test: DataFrame, key: str, y: str = "inv
     mu = global_mean(train, y)
     tr = kfold_encode(train, key, y, fold, smooth, out, mu)
     enc = fit_encoding(train, key, y, smooth, mu)
-    te = apply_encoding(test, enc, key, out, fill=mu if unseen == "mean" else None)
+    te = apply_encoding(test, enc, key, out, fill=as_stored(mu) if unseen == "mean" else None)
     return tr, te, enc
 
 

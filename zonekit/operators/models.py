@@ -16,12 +16,13 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .stats import auc, spearman
 
 DEFAULT_GBT = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "seed": 42, "maxBins": 64}
@@ -94,7 +95,13 @@ def oof_train(train: DataFrame, test: DataFrame | None, features: Sequence[str],
         oof = o if oof is None else oof.unionByName(o)
         if t is not None:
             tests = t if tests is None else tests.unionByName(t)
-    test_mean = tests.groupBy("row_id").agg(F.avg("pred").alias("pred")) if tests is not None else None
+    test_mean = None
+    if tests is not None:
+        test_mean = stored(tests.groupBy("row_id").agg(F.avg("pred").alias("pred"), F.count(F.lit(1)).alias("n_folds")), "test_mean")
+        te.unpersist()
+    # predictions are written once, so nothing stays cached behind the result
+    oof = stored(oof, "oof")
+    tr.unpersist()
     scores = spearman(oof, "pred", score_col, by=["fold"])
     return OOFResult(oof.select("row_id", "fold", "pred", score_col), test_mean, scores, [m for _, m, _, _ in res])
 
@@ -179,11 +186,18 @@ def categorical_index(df: DataFrame, col: str, out: str) -> DataFrame:
     return StringIndexer(inputCol=col, outputCol=out, handleInvalid="keep").fit(df).transform(df)
 
 
-def standardise(fit: DataFrame, apply: DataFrame, features: Sequence[str]):
-    """Scaler fitted on the training fold only, applied to both (Spark uses ddof 1)."""
-    a = assemble(fit, features, "raw_features")
-    s = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True).fit(a)
-    return s.transform(a), s.transform(assemble(apply, features, "raw_features"))
+def standardise(fit: DataFrame, apply: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with ``features`` scaled by the mean and deviation (ddof 0) of ``fit``; a constant one becomes 0."""
+    from .lookup import with_scalars
+    moments = fit.agg(*[x for f in features for x in (F.avg(f).alias(f"_zk_m_{f}"), F.stddev_pop(f).alias(f"_zk_s_{f}"))])
+
+    def scaled(df: DataFrame) -> DataFrame:
+        out = with_scalars(df, moments)
+        out = out.withColumns({f: F.when(F.col(f).isNotNull(), F.coalesce(
+            F.try_divide(F.col(f) - F.col(f"_zk_m_{f}"), F.col(f"_zk_s_{f}")), F.lit(0.0))) for f in features})
+        return out.drop(*moments.columns)
+
+    return scaled(fit), scaled(apply)
 
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], label: str, key: str = "row_id") -> DataFrame:

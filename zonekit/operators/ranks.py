@@ -31,13 +31,25 @@ from ..session import default_parts, shared_dir
 _PID = "_zk_pid"
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on null-safe equality of ``keys``: null is a key like any other. The keys of ``left`` are kept."""
+    renamed = right.withColumnsRenamed({k: f"_zk_key_{k}" for k in keys})
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        one = F.col(k).eqNullSafe(F.col(f"_zk_key_{k}"))
+        cond = one if i == 0 else cond & one
+    return left.join(renamed, cond, how).drop(*[f"_zk_key_{k}" for k in keys])
+
+
 def running_totals(counts: DataFrame, order: Sequence[str], sums: Sequence[str],
                    by: Sequence[str] = (), parts: int | None = None,
                    suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``sums`` ordered by ``order`` within ``by``.
 
-    ``counts`` should have one row per ``(by, order)`` key. Adds ``<c>_cum``
-    columns (inclusive) for every column in ``sums``.
+    ``counts`` should have one row per ``(by, order)`` key; null is a group and an
+    order value like any other. Adds ``<c>_cum`` (inclusive) and ``<c>_all`` (the
+    total of the group) for every column in ``sums``. Totals come from the
+    per-partition sums, so no join has the group alone as its key.
     """
     by, order, sums = list(by), list(order), list(sums)
     spark = counts.sparkSession
@@ -50,40 +62,51 @@ def running_totals(counts: DataFrame, order: Sequence[str], sums: Sequence[str],
     local = rp.select("*", *[F.sum(c).over(w_local).alias(f"_zk_loc_{c}") for c in sums])
     tot = rp.groupBy(_PID, *by).agg(*[F.sum(c).alias(f"_zk_tot_{c}") for c in sums])
     w_off = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*by)
     off = tot.select(_PID, *by, *[F.coalesce(F.sum(f"_zk_tot_{c}").over(w_off), F.lit(0))
-                                  .alias(f"_zk_off_{c}") for c in sums])
-    joined = local.join(off, on=[_PID, *by], how="inner")
-    out = joined.select(*counts.columns,
-                        *[(F.col(f"_zk_loc_{c}") + F.col(f"_zk_off_{c}")).alias(f"{c}{suffix}")
-                          for c in sums])
-    return out
+                                  .alias(f"_zk_off_{c}") for c in sums],
+                     *[F.sum(f"_zk_tot_{c}").over(w_all).alias(f"{c}_all") for c in sums])
+    joined = join_keys(local, off, [_PID, *by], "inner")
+    return joined.select(*counts.columns,
+                         *[(F.col(f"_zk_loc_{c}") + F.col(f"_zk_off_{c}")).alias(f"{c}{suffix}") for c in sums],
+                         *[F.col(f"{c}_all") for c in sums])
 
 
 def value_intervals(df: DataFrame, col: str, by: Sequence[str] = (), weight: str | None = None,
                     parts: int | None = None) -> DataFrame:
     """Distinct values of ``col`` with their position interval ``[lo, hi)``.
 
-    Returns ``by..., col, n, lo, hi`` where ``n`` is the row count (or weight
-    sum) of the value; ``lo``/``hi`` count rows before / through the value.
-    Nulls are excluded, as in rank and quantile functions.
+    Returns ``by..., col, n, lo, hi, total`` where ``n`` is the row count (or weight
+    sum) of the value; ``lo``/``hi`` count rows before / through the value and
+    ``total`` those of the group. Null values are excluded, as in rank and
+    quantile functions; a null group is a group.
     """
     by = list(by)
     cnt = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(cnt.alias("n"))
     cum = running_totals(counts, [col], ["n"], by, parts)
     return cum.select(*by, col, "n", (F.col("n_cum") - F.col("n")).alias("lo"),
-                      F.col("n_cum").alias("hi"))
+                      F.col("n_cum").alias("hi"), F.col("n_all").alias("total"))
 
 
 def rank_table(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "rank",
-               parts: int | None = None) -> DataFrame:
-    """Distinct values with their average rank (1-based, ties averaged)."""
-    iv = value_intervals(df, col, by, parts=parts)
-    return iv.select(*by, col, (F.col("lo") + (F.col("n") + F.lit(1)) / F.lit(2.0)).alias(out))
+               parts: int | None = None, weight: str | None = None, centred: bool = False) -> DataFrame:
+    """Distinct values with their average rank (1-based, ties averaged).
+
+    ``weight`` counts pre-aggregated rows. ``centred`` subtracts the group's mean
+    rank ``(total + 1) / 2``; ranks are multiples of one half, so the result is
+    exact and zero throughout for a constant column.
+    """
+    iv = value_intervals(df, col, by, weight, parts=parts)
+    rank = F.col("lo") + (F.col("n") + F.lit(1)) / F.lit(2.0)
+    if centred:
+        rank = rank - (F.col("total") + F.lit(1)) / F.lit(2.0)
+    return iv.select(*by, col, rank.alias(out))
 
 
 def stacked_rank_table(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-                       out: str = "rank", parts: int | None = None) -> DataFrame:
+                       out: str = "rank", parts: int | None = None, weight: str | None = None,
+                       centred: bool = False) -> DataFrame:
     """Rank tables of several columns in one pass: ``by..., _zk_col, _zk_val, out``.
 
     The columns are unpivoted (values as DOUBLE) and ranked with ``_zk_col``
@@ -92,8 +115,9 @@ def stacked_rank_table(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (
     by = list(by)
     items = F.array(*[F.struct(F.lit(c).alias("_zk_col"), F.col(c).cast("double").alias("_zk_val"))
                       for c in cols])
-    long = df.select(*by, F.explode(items).alias("_zk_s")).select(*by, "_zk_s._zk_col", "_zk_s._zk_val")
-    return rank_table(long, "_zk_val", [*by, "_zk_col"], out, parts)
+    extra = [weight] if weight else []
+    long = df.select(*by, *extra, F.explode(items).alias("_zk_s")).select(*by, *extra, "_zk_s._zk_col", "_zk_s._zk_val")
+    return rank_table(long, "_zk_val", [*by, "_zk_col"], out, parts, weight, centred)
 
 
 def average_rank(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "rank",
@@ -104,16 +128,13 @@ def average_rank(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "ra
     Rows with a null value get a null rank.
     """
     by = list(by)
-    rt = rank_table(df, col, by, out, parts)
-    if normalise:
-        nn = df.where(F.col(col).isNotNull())
-        if by:
-            tot = nn.groupBy(*by).agg(F.count(F.lit(1)).alias("_zk_n"))
-            rt = rt.join(tot, on=by, how="inner").select(*by, col, (F.col(out) / F.col("_zk_n")).alias(out))
-        else:
-            n_all = nn.select(F.count(F.lit(1))).scalar()
-            rt = rt.select(col, (F.col(out) / n_all).alias(out))
-    return df.join(rt, on=[*by, col], how="left")
+    if not normalise:
+        rt = rank_table(df, col, by, out, parts)
+    else:
+        iv = value_intervals(df, col, by, parts=parts)
+        rank = F.col("lo") + (F.col("n") + F.lit(1)) / F.lit(2.0)
+        rt = iv.select(*by, col, (rank / F.col("total")).alias(out))
+    return join_keys(df, rt, [*by, col], "left")
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
@@ -125,29 +146,19 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     """
     by = list(by)
     iv = value_intervals(df, col, by, parts=parts)
-    tot = iv.groupBy(*by).agg(F.max("hi").alias("_zk_N"))
-    pos = (tot.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-           .withColumn("_zk_h", F.col("q") * (F.col("_zk_N") - F.lit(1)))
-           .withColumn("_zk_f", F.floor("_zk_h"))
-           .withColumn("_zk_c", F.ceil("_zk_h")))
-    lo_iv = iv.select(*by, F.col(col).alias("_zk_vf"), F.col("lo").alias("_zk_lof"),
-                      F.col("hi").alias("_zk_hif"))
-    hi_iv = iv.select(*by, F.col(col).alias("_zk_vc"), F.col("lo").alias("_zk_loc"),
-                      F.col("hi").alias("_zk_hic"))
-
-    def _cond(left, right, p, lo, hi):
-        c = (left[p] >= right[lo]) & (left[p] < right[hi])
-        for b in by:
-            c = c & (left[b] == right[b])
-        return c
-
-    a = pos.alias("p").join(lo_iv.alias("a"), _cond(pos, lo_iv, "_zk_f", "_zk_lof", "_zk_hif"), "inner") \
-        .select(*[pos[b] for b in by], "q", "_zk_h", "_zk_f", "_zk_c", "_zk_vf")
-    b = a.join(hi_iv, _cond(a, hi_iv, "_zk_c", "_zk_loc", "_zk_hic"), "inner") \
-        .select(*[a[c] for c in by], "q", "_zk_h", "_zk_f", "_zk_vf", "_zk_vc")
-    frac = F.col("_zk_h") - F.col("_zk_f")
+    at = F.array(*[F.lit(float(q)) for q in qs])
+    h = lambda q: q * (F.col("total") - F.lit(1))
+    inside = lambda p: (p >= F.col("lo")) & (p < F.col("hi"))
+    # each interval keeps the few positions that fall into it: no pairing of positions with values
+    hits = iv.withColumn("_zk_q", F.filter(at, lambda q: inside(F.floor(h(q))) | inside(F.ceil(h(q))))) \
+        .where(F.size("_zk_q") > 0).withColumn("q", F.explode("_zk_q"))
+    value = F.col(col)
+    ends = hits.groupBy(*by, "q").agg(
+        F.max(F.when(inside(F.floor(h(F.col("q")))), value)).alias("_zk_vf"),
+        F.max(F.when(inside(F.ceil(h(F.col("q")))), value)).alias("_zk_vc"), F.max("total").alias("total"))
+    frac = h(F.col("q")) - F.floor(h(F.col("q")))
     val = F.col("_zk_vf") + (F.col("_zk_vc") - F.col("_zk_vf")) * frac
-    return b.select(*by, "q", val.alias("value"))
+    return ends.select(*by, "q", val.alias("value"))
 
 
 def quantile_columns(df: DataFrame, col: str, qs: Sequence[float], names: Sequence[str],
@@ -170,12 +181,13 @@ def row_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     no single-task window over the data is needed. Rows that are identical on
     the whole order key (for example a duplicated row id) share one tie group
     and are numbered ``lo+1 .. hi`` inside it by a window over that key only.
+    Null groups and order values take part (nulls first).
     """
     by, order = list(by), list(order)
     counts = df.groupBy(*by, *order).agg(F.count(F.lit(1)).alias("_zk_one"))
     cum = running_totals(counts, order, ["_zk_one"], by, parts)
     pos = cum.select(*by, *order, "_zk_one", (F.col("_zk_one_cum") - F.col("_zk_one")).alias("_zk_lo"))
-    j = df.join(pos, on=[*by, *order], how="inner")
+    j = join_keys(df, pos, [*by, *order], "inner")
     single = j.where(F.col("_zk_one") == 1).withColumn(out, F.col("_zk_lo") + F.lit(1))
     w = Window.partitionBy(*by, *order).orderBy(*order)  # only rows of a tie group
     ties = j.where(F.col("_zk_one") > 1).withColumn(out, F.col("_zk_lo") + F.row_number().over(w))

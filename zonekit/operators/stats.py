@@ -8,12 +8,13 @@ divide-by-zero that ``corr`` raises.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import rank_table, running_totals, stacked_rank_table
+from .ranks import join_keys, rank_table, running_totals, stacked_rank_table
 
 
 def safe_corr(a, b) -> Column:
@@ -23,28 +24,22 @@ def safe_corr(a, b) -> Column:
 
 
 def with_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-               prefix: str = "_r_", parts: int | None = None) -> DataFrame:
+               prefix: str = "_r_", parts: int | None = None, weight: str | None = None,
+               centred: bool = False) -> DataFrame:
     """Attach the average rank of each column in ``cols`` (within ``by``)."""
     by = list(by)
-    if len(cols) == 1:
-        c = cols[0]
-        return df.join(rank_table(df, c, by, f"{prefix}{c}", parts), on=[*by, c], how="left")
-    rt = stacked_rank_table(df, cols, by, "_zk_r", parts)
+    rt = stacked_rank_table(df, cols, by, "_zk_r", parts, weight, centred)
     out = df
     for c in cols:
         part = rt.where(F.col("_zk_col") == F.lit(c)).select(
-            *by, F.col("_zk_val").alias(f"_zk_k_{c}"), F.col("_zk_r").alias(f"{prefix}{c}"))
-        out = (out.withColumn(f"_zk_k_{c}", F.col(c).cast("double"))
-               .join(part, on=[*by, f"_zk_k_{c}"], how="left").drop(f"_zk_k_{c}"))
+            *by, F.col("_zk_val").alias("_zk_v"), F.col("_zk_r").alias(f"{prefix}{c}"))
+        out = join_keys(out.withColumn("_zk_v", F.col(c).cast("double")), part, [*by, "_zk_v"], "left").drop("_zk_v")
     return out
 
 
-def rho_from_sums(n, sx, sxx, sy, syy, sxy) -> Column:
-    """Pearson correlation from count and sums (NULL when a side is constant)."""
-    cov = sxy - sx * sy / n
-    vx = sxx - sx * sx / n
-    vy = syy - sy * sy / n
-    return F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+def rho_from_sums(sxx, syy, sxy) -> Column:
+    """Correlation from sums of centred values (NULL when a side is constant: its sum is exactly 0)."""
+    return F.when((sxx > 0) & (syy > 0), sxy / (F.sqrt(sxx) * F.sqrt(syy)))
 
 
 def spearman(df: DataFrame, a: str, b: str, by: Sequence[str] = (), out: str = "rho",
@@ -52,32 +47,27 @@ def spearman(df: DataFrame, a: str, b: str, by: Sequence[str] = (), out: str = "
     """Spearman rho with average ties, per ``by`` group.
 
     Rows with a null in either column are dropped first (pairwise complete).
-    The rank of ``b`` is attached once; rows are then aggregated per
-    ``(group, a)`` keeping ``n``, ``sum r_b`` and ``sum r_b^2``, the rank of
-    ``a`` comes from the running count over that distinct table, and rho
-    follows from sums - only one join of the rows, none for ``a``.
+    Rows are counted per ``(group, a, b)`` before anything else, so heavy ties
+    collapse in the map tasks. The centred rank of ``b`` is attached to those
+    counts, the rank of ``a`` comes from the running count over its distinct
+    values, and rho follows from sums of centred ranks.
     """
     by = list(by)
-    d = df.select(*by, a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    if a == b:
-        d = d.select(*by, a, F.col(a).alias("_zk_b"))
-        b = "_zk_b"
-    rb = rank_table(d, b, by, "_zk_rb", parts)
-    rows = d.join(rb, on=[*by, b], how="inner")
-    g = rows.groupBy(*by, a).agg(F.count(F.lit(1)).alias("_zk_n"), F.sum("_zk_rb").alias("_zk_sy"),
-                                 F.sum(F.col("_zk_rb") * F.col("_zk_rb")).alias("_zk_syy"))
-    cum = running_totals(g, [a], ["_zk_n"], by, parts)
-    ra = F.col("_zk_n_cum") - F.col("_zk_n") + (F.col("_zk_n") + F.lit(1)) / F.lit(2.0)
+    d = df.select(*by, F.col(a).alias("_zk_a"), F.col(b).alias("_zk_b"))
+    d = d.where(F.col("_zk_a").isNotNull() & F.col("_zk_b").isNotNull()).groupBy(*by, "_zk_a", "_zk_b").agg(F.count(F.lit(1)).alias("_zk_m"))
+    rb = rank_table(d, "_zk_b", by, "_zk_rb", parts, "_zk_m", centred=True)
+    rows = join_keys(d, rb, [*by, "_zk_b"], "inner")
+    m, r = F.col("_zk_m"), F.col("_zk_rb")
+    g = rows.groupBy(*by, "_zk_a").agg(F.sum(m).alias("_zk_n"), F.sum(m * r).alias("_zk_sy"), F.sum(m * r * r).alias("_zk_syy"))
+    cum = running_totals(g, ["_zk_a"], ["_zk_n"], by, parts)
+    ra = F.col("_zk_n_cum") - F.col("_zk_n") / F.lit(2.0) - F.col("_zk_n_all") / F.lit(2.0)
     c = cum.withColumn("_zk_ra", ra)
-    aggs = [F.sum("_zk_n").cast("double").alias("_N"), F.sum(F.col("_zk_n") * F.col("_zk_ra")).alias("_Sx"),
-            F.sum(F.col("_zk_n") * F.col("_zk_ra") * F.col("_zk_ra")).alias("_Sxx"),
-            F.sum("_zk_sy").alias("_Sy"), F.sum("_zk_syy").alias("_Syy"),
-            F.sum(F.col("_zk_ra") * F.col("_zk_sy")).alias("_Sxy")]
+    aggs = [F.sum("_zk_n").alias("n"), F.sum(F.col("_zk_n") * F.col("_zk_ra") * F.col("_zk_ra")).alias("_Sxx"),
+            F.sum("_zk_syy").alias("_Syy"), F.sum(F.col("_zk_ra") * F.col("_zk_sy")).alias("_Sxy")]
     s = c.groupBy(*by).agg(*aggs) if by else c.agg(*aggs)
-    cols = [*by, rho_from_sums(F.col("_N"), F.col("_Sx"), F.col("_Sxx"), F.col("_Sy"), F.col("_Syy"),
-                               F.col("_Sxy")).alias(out)]
+    cols = [*by, rho_from_sums(F.col("_Sxx"), F.col("_Syy"), F.col("_Sxy")).alias(out)]
     if with_n:
-        cols.append(F.col("_N").cast("long").alias("n"))
+        cols.append(F.col("n").cast("long").alias("n"))
     return s.select(*cols)
 
 
@@ -86,16 +76,20 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence
     """Rho for many column pairs, pairwise-complete, in one pass.
 
     Rows are unpivoted to ``(pair, a, b)`` (DOUBLE), pairs with a null are
-    dropped, then both sides are ranked per pair with one stacked rank table
-    and one grouped correlation. Returns ``by..., a, b, rho`` (long form).
+    dropped and equal ones counted; then both sides are ranked per pair with one
+    stacked rank table and rho follows from sums of centred ranks. Returns
+    ``by..., a, b, rho`` (long form).
     """
     by = list(by)
     items = F.array(*[F.struct(F.lit(i).alias("_zk_p"), F.col(x).cast("double").alias("_zk_a"),
                                F.col(y).cast("double").alias("_zk_b")) for i, (x, y) in enumerate(pairs)])
     long = df.select(*by, F.explode(items).alias("_zk_s")).select(*by, "_zk_s.*") \
-        .where(F.col("_zk_a").isNotNull() & F.col("_zk_b").isNotNull())
-    r = with_ranks(long, ["_zk_a", "_zk_b"], [*by, "_zk_p"], parts=parts)
-    rho = r.groupBy(*by, "_zk_p").agg(safe_corr("_r__zk_a", "_r__zk_b").alias("rho"))
+        .where(F.col("_zk_a").isNotNull() & F.col("_zk_b").isNotNull()) \
+        .groupBy(*by, "_zk_p", "_zk_a", "_zk_b").agg(F.count(F.lit(1)).alias("_zk_m"))
+    r = with_ranks(long, ["_zk_a", "_zk_b"], [*by, "_zk_p"], parts=parts, weight="_zk_m", centred=True)
+    m, x, y = F.col("_zk_m"), F.col("_r__zk_a"), F.col("_r__zk_b")
+    sums = r.groupBy(*by, "_zk_p").agg(F.sum(m * x * x).alias("_Sxx"), F.sum(m * y * y).alias("_Syy"), F.sum(m * x * y).alias("_Sxy"))
+    rho = sums.select(*by, "_zk_p", rho_from_sums(F.col("_Sxx"), F.col("_Syy"), F.col("_Sxy")).alias("rho"))
     names = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b")) for x, y in pairs])
     return rho.select(*by, names[F.col("_zk_p")].getField("a").alias("a"),
                       names[F.col("_zk_p")].getField("b").alias("b"), "rho")
@@ -120,45 +114,45 @@ def ks_two_sample(df: DataFrame, value: str, sample: str, first="train", second=
     counts = d.groupBy(*by, value).agg(
         F.sum(F.when(F.col(sample) == F.lit(first), 1).otherwise(0)).cast("long").alias("_a"),
         F.sum(F.when(F.col(sample) == F.lit(second), 1).otherwise(0)).cast("long").alias("_b"))
-    cum = running_totals(counts, [value], ["_a", "_b"], by, parts)
-    if by:
-        tot = counts.groupBy(*by).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
-        j = cum.join(tot, on=by, how="inner")
-    else:
-        j = cum.withColumns({"_na": counts.select(F.sum("_a")).scalar(),
-                             "_nb": counts.select(F.sum("_b")).scalar()})
-    gap = F.abs(F.col("_a_cum") / F.col("_na") - F.col("_b_cum") / F.col("_nb"))
+    j = running_totals(counts, [value], ["_a", "_b"], by, parts)
+    gap = F.abs(F.try_divide("_a_cum", "_a_all") - F.try_divide("_b_cum", "_b_all"))
     return j.groupBy(*by).agg(F.max(gap).alias(out)) if by else j.agg(F.max(gap).alias(out))
 
 
-def ks_pvalue_expr(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
+def ks_pvalue_expr(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sided p-value ``Q(lambda)``, ``lambda = d*sqrt(nm/(n+m))``.
 
-    Kolmogorov series ``2 * sum_{k>=1} (-1)^(k-1) exp(-2 k^2 lambda^2)``,
-    clipped to [0, 1]. This is the large-sample limit; it is not scipy's
-    exact small-n distribution.
+    From lambda 1 on the Kolmogorov series ``2 * sum (-1)^(k-1) exp(-2 k^2 lambda^2)``,
+    below it the theta series ``1 - sqrt(2 pi)/lambda * sum exp(-(2k-1)^2 pi^2/(8 lambda^2))``;
+    on its side of 1 each reaches double precision within the terms taken. Q(0) is 1. This is the
+    large-sample limit; it is not scipy's exact small-n distribution.
     """
-    en = n * m / (n + m)
-    lam = d * F.sqrt(en)
-    ks = F.sequence(F.lit(1), F.lit(terms))
-    series = F.aggregate(
-        ks, F.lit(0.0),
-        lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam * lam))
-    return F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0))
+    lam = d * F.sqrt(n * m / (n + m))
+    tail = theta = None
+    for k in range(1, 6):
+        term = F.exp(F.lit(-2.0 * k * k) * lam * lam) * F.lit(2.0 if k % 2 else -2.0)
+        tail = term if tail is None else tail + term
+        term = F.exp(F.lit(-((2 * k - 1) ** 2) * math.pi ** 2 / 8.0) / (lam * lam))
+        theta = term if theta is None else theta + term
+    low = F.lit(1.0) - F.lit(math.sqrt(2.0 * math.pi)) / lam * theta
+    return F.when(lam <= 0, F.lit(1.0)).when(lam < 1, F.least(low, F.lit(1.0))).otherwise(F.greatest(tail, F.lit(0.0)))
 
 
 def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (), out: str = "auc",
         parts: int | None = None) -> DataFrame:
     """ROC AUC by Mann-Whitney: ``(sum rank_pos - n1(n1+1)/2) / (n0 n1)``."""
     by = list(by)
-    d = df.select(*by, score, label).where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    r = d.join(rank_table(d, score, by, "_zk_r", parts), on=[*by, score], how="inner")
     pos = F.col(label) == F.lit(1)
-    n1 = F.sum(F.when(pos, 1).otherwise(0)).cast("double")
-    n0 = F.sum(F.when(pos, 0).otherwise(1)).cast("double")
-    s1 = F.sum(F.when(pos, F.col("_zk_r")).otherwise(0.0))
+    # both classes are counted per distinct score; the rank of a score follows from the running count
+    g = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score).agg(
+        F.count(F.lit(1)).alias("_zk_n"), F.count_if(pos).alias("_zk_pos"))
+    c = running_totals(g, [score], ["_zk_n"], by, parts)
+    rank = F.col("_zk_n_cum") - F.col("_zk_n") + (F.col("_zk_n") + F.lit(1)) / F.lit(2.0)
+    n1 = F.sum("_zk_pos").cast("double")
+    n0 = F.sum(F.col("_zk_n") - F.col("_zk_pos")).cast("double")
+    s1 = F.sum(rank * F.col("_zk_pos"))
     val = F.try_divide(s1 - n1 * (n1 + F.lit(1.0)) / F.lit(2.0), n0 * n1).alias(out)
-    return r.groupBy(*by).agg(val) if by else r.agg(val)
+    return c.groupBy(*by).agg(val) if by else c.agg(val)
 
 
 def leakage_gate(rho: Column, lo: float = 0.1, hi: float = 0.7) -> Column:

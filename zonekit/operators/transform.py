@@ -23,11 +23,6 @@ def cast_schema(df: DataFrame, schema: StructType | Mapping[str, str]) -> DataFr
     return df.withColumns({c: F.col(c).cast(t) for c, t in types.items() if c in df.columns})
 
 
-def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pandas treats NaN as missing; make NaN a real NULL."""
-    return df.withColumns({c: F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)) for c in cols})
-
-
 def trim_outliers(df: DataFrame, cols: Sequence[str], q: float = 0.001) -> DataFrame:
     """Keep rows whose every column is above its exact ``q`` quantile."""
     cond = None

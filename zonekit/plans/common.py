@@ -17,28 +17,35 @@ def keyed_split(spark: SparkSession, sf_dir: str, folds: int = 5) -> tuple[DataF
     return z.where("split = 'train'"), z.where("split = 'test'")
 
 
-_TIER_VERSION = "v1"
+_TIER_VERSION = "v2"
 
 
 def tier2(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Tier-2 train/test features, written once per input folder to the shared
     folder and re-read afterwards (the reference's tier files).
 
-    Whole-table overwrite, then a ``_SUCCESS`` marker decides reuse, so a job
-    that died mid-write is recomputed instead of read half-written.
+    The folder's name holds the input files with their sizes and times, so changed input is computed anew. A
+    run writes to a folder of its own and then renames it, so jobs that race or die leave no half-written tables.
     """
     import hashlib
-    from ..session import shared_dir
+    from ..session import scratch_path, shared_dir
     from .pipeline import features
-    tag = hashlib.sha1(f"{_TIER_VERSION}:{sf_dir}".encode()).hexdigest()[:12]
-    base = f"{shared_dir(spark)}/zonekit/tier2-{tag}"
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(f"{base}/train/_SUCCESS")
+    source = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    sfs = source.getFileSystem(conf)
+    status = sfs.listStatus(source)
+    state = [f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in status]
+    tag = hashlib.sha1("|".join([_TIER_VERSION, *sorted(state)]).encode()).hexdigest()[:16]
+    base = f"{shared_dir(spark)}/zonekit/tier2-{tag}"
+    path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(conf)
-    if not (fs.exists(path) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/test/_SUCCESS"))):
+    if not fs.exists(path):
+        own = scratch_path(spark, "tier2")
         tr, te = keyed_split(spark, sf_dir)
         ftr, fte = features(tr, te)
-        ftr.write.mode("overwrite").parquet(f"{base}/train")
-        fte.write.mode("overwrite").parquet(f"{base}/test")
+        ftr.write.parquet(f"{own}/train")
+        fte.write.parquet(f"{own}/test")
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(own), path) and not fs.exists(path):
+            raise OSError(f"could not rename {own} to {base}")
     return spark.read.parquet(f"{base}/train"), spark.read.parquet(f"{base}/test")

@@ -83,10 +83,10 @@ def features(train: DataFrame, test: DataFrame, folds: int = 5, cell_smooth: flo
     mu = encode.global_mean(train, y)
     tr = encode.kfold_encode(train, "grid_id", y, "fold", cell_smooth, "grid_te", mu)
     enc = encode.fit_encoding(train, "grid_id", y, cell_smooth, mu)
-    te = encode.apply_encoding(test, enc, "grid_id", "grid_te", fill=mu)
+    te = encode.apply_encoding(test, enc, "grid_id", "grid_te", fill=encode.as_stored(mu))
     tr = encode.kfold_encode(tr, "grid_period", y, "fold", period_smooth, "grid_period_te", mu)
     enc_p = encode.fit_encoding(train, "grid_period", y, period_smooth, mu)
-    te = encode.apply_encoding(te, enc_p, "grid_period", "grid_period_te", fill=mu)
+    te = encode.apply_encoding(te, enc_p, "grid_period", "grid_period_te", fill=encode.as_stored(mu))
     ind = {"is_raining": fx.indicator("precip"), "has_snow": fx.indicator("snow")}
     tr, te = tr.withColumns(ind), te.withColumns(ind)
     stats = transform.cell_stats(train, "grid_id", y)

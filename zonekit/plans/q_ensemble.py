@@ -34,7 +34,7 @@ def curve_sql(src: str, models, steps: int = 20, by: str | None = None, tag: str
     jp = f"b.{by} = rp.{by} AND " if by else ""
     return f"""
 , {tag}_w AS (SELECT * FROM (VALUES {vals}) AS t(point, {wcols}))
-, {tag}_b AS (SELECT {bsel}w.point, z.{_Y} AS y, round(({blend}) / {steps}e0, 9) AS p FROM {src} z CROSS JOIN {tag}_w w
+, {tag}_b AS (SELECT {bsel}w.point, z.{_Y} AS y, ({blend}) / {steps}e0 AS p FROM {src} z CROSS JOIN {tag}_w w
   WHERE z.{_Y} IS NOT NULL AND {nn})
 , {tag}_ry AS (SELECT {bl}point, y, sum(n) OVER ({part} ORDER BY y ROWS UNBOUNDED PRECEDING) - n + (n + 1) / 2e0 AS r
   FROM (SELECT {bl}point, y, count(*) n FROM {tag}_b GROUP BY {bl}point, y) t)

@@ -132,19 +132,19 @@ def b9_clip01(spark, sf):
 
 
 @query("b10_overwrite_when", sql="""
-SELECT row_id, round(CASE WHEN total_count = 1 AND ((pred_b < 0.15 AND invalid_ratio = 1e0) OR (pred_b > 0.85 AND invalid_ratio = 0e0))
+SELECT row_id, round(CASE WHEN total_count = 1 AND ((pred_a < 0.15 AND invalid_ratio = 1e0) OR (pred_a > 0.85 AND invalid_ratio = 0e0))
  THEN 1e-1 ELSE ln(1 + total_count) END, 6) AS weight,
- round(CASE WHEN total_count = 1 AND invalid_ratio = 1e0 THEN 8e-1 WHEN total_count = 1 AND invalid_ratio = 0e0 THEN 2e-1
+ round(CASE WHEN total_count = 1 AND pred_a < 0.15 AND invalid_ratio = 1e0 THEN 8e-1
+ WHEN total_count = 1 AND pred_a > 0.85 AND invalid_ratio = 0e0 THEN 2e-1
  ELSE invalid_ratio END, 6) AS y_smooth FROM zone_obs WHERE split = 'train'""")
 def b10_overwrite_when(spark, sf):
     tr = zone_obs(spark, sf).where("split = 'train'").withColumn("weight", fx.sample_weight("total_count"))
-    noise = transform.noise_candidates("pred_b", _Y)
-    tc1 = F.col("total_count") == 1
+    noise = transform.noise_candidates("pred_a", _Y)
     out = tr.withColumn("weight", transform.overwrite_when("weight", noise, 0.1)) \
         .withColumn("y_smooth", transform.overwrite_when(
-            _Y, tc1 & (F.col(_Y) == 1.0), 0.8)) \
+            _Y, noise & (F.col(_Y) == 1.0), 0.8)) \
         .withColumn("y_smooth", transform.overwrite_when(
-            "y_smooth", tc1 & (F.col(_Y) == 0.0), 0.2))
+            "y_smooth", noise & (F.col(_Y) == 0.0), 0.2))
     return out.select("row_id", r6("weight"), r6("y_smooth"))
 
 
@@ -173,10 +173,10 @@ def b12_temp_column(spark, sf):
 
 @query("b13_noise_candidates", sql="""
 SELECT row_id FROM zone_obs WHERE split = 'train' AND total_count = 1
- AND ((pred_b < 0.15 AND invalid_ratio = 1e0) OR (pred_b > 0.85 AND invalid_ratio = 0e0))""")
+ AND ((pred_a < 0.15 AND invalid_ratio = 1e0) OR (pred_a > 0.85 AND invalid_ratio = 0e0))""")
 def b13_noise_candidates(spark, sf):
     tr = zone_obs(spark, sf).where("split = 'train'")
-    return tr.where(transform.noise_candidates("pred_b", _Y)).select("row_id")
+    return tr.where(transform.noise_candidates("pred_a", _Y)).select("row_id")
 
 
 @query("b14_confidence_layer", sql="""

@@ -40,6 +40,13 @@ def k2_oof_train(spark, sf):
     return _fold_table(res)
 
 
+@query("k2_test_mean")
+def k2_test_mean(spark, sf):
+    """K2's second output: the mean of the fold models for every test row."""
+    tr, te = tier2(spark, sf)
+    return M.oof_train(tr, te, _feats(tr), _Y, params=_FAST).test.select("row_id", r6("pred"), "n_folds")
+
+
 @query("k3_early_stop")
 def k3_early_stop(spark, sf):
     tr, te = tier2(spark, sf)
@@ -132,21 +139,22 @@ def k11_av_weighted(spark, sf):
 
 @query("k12_noise_strategies")
 def k12_noise_strategies(spark, sf):
-    """Noise rows (tc=1 and confidently contradicted by an OOF prediction): remove from fit,
-    down-weight to 0.1, or smooth labels to 0.8/0.2; always scored on the original target."""
+    """Noise rows (tc=1 and confidently contradicted by an OOF prediction): remove from fit, down-weight
+    to 0.1, or smooth labels to 0.8/0.2. All fits weight by log1p(count) and are scored on the original target."""
     tr, _ = tier2(spark, sf)
     feats = _feats(tr)
-    base = M.oof_train(tr, None, feats, _Y, params=_FAST)
+    tr = tr.withColumn("w0", fx.sample_weight("total_count"))
+    base = M.oof_train(tr, None, feats, _Y, params=_FAST, weight="w0")
     d = tr.join(base.oof.select("row_id", F.col("pred").alias("oof")), on="row_id")
     noise = transform.noise_candidates("oof", _Y)
     tc1 = F.col("total_count") == 1
-    d = d.withColumns({"w": F.when(noise, F.lit(0.1)).otherwise(F.lit(1.0)),
+    d = d.withColumns({"w": F.when(noise, F.lit(0.1)).otherwise(F.col("w0")),
                        "y_smooth": F.when(noise & tc1 & (F.col(_Y) == 1), 0.8).when(noise & tc1 & (F.col(_Y) == 0), 0.2).otherwise(F.col(_Y)),
                        "is_noise": noise})
     out = [("baseline", base)]
-    out.append(("remove", M.oof_train(d, None, feats, _Y, params=_FAST, fit_filter=lambda k: ~F.col("is_noise"))))
+    out.append(("remove", M.oof_train(d, None, feats, _Y, params=_FAST, weight="w0", fit_filter=lambda k: ~F.col("is_noise"))))
     out.append(("downweight", M.oof_train(d, None, feats, _Y, params=_FAST, weight="w")))
-    out.append(("smooth", M.oof_train(d, None, feats, "y_smooth", params=_FAST, score_col=_Y)))
+    out.append(("smooth", M.oof_train(d, None, feats, "y_smooth", params=_FAST, weight="w0", score_col=_Y)))
     rows = []
     for name, res in out:
         rho = stats.spearman(res.oof, "pred", _Y).select("rho").collect()[0][0]
@@ -240,11 +248,12 @@ def k17_categorical(spark, sf):
 def k18_standardise(spark, sf):
     tr, _ = tier2(spark, sf)
     feats = ["total_count", "temp", "wind", "grid_te"]
-    fit, app = M.standardise(tr.where("fold != 0"), tr.where("fold = 0"), feats)
-    arr = fit.select(M.vector_to_array("features").alias("v"))
-    return arr.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(
-        r6(F.avg("x"), "mean"), r6(F.stddev_samp("x"), "std")).withColumn(
-        "feature", F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("i") + 1)).drop("i")
+    _, held = M.standardise(tr.where("fold != 0"), tr.where("fold = 0"), feats)
+    parts = [held.select(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in feats]
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    return long.groupBy("feature").agg(r6(F.avg("x"), "mean"), r6(F.stddev_pop("x"), "std"))
 
 
 @query("k19_permutation_importance")

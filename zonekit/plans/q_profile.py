@@ -211,13 +211,13 @@ def e17_first_per_key(spark, sf):
 
 
 @query("e18_rate_by", sql="""
-SELECT month, CAST(sum(CASE WHEN total_count = 1 AND ((pred_b < 0.15 AND invalid_ratio = 1e0) OR (pred_b > 0.85 AND invalid_ratio = 0e0)) THEN 1 ELSE 0 END) AS BIGINT) AS num,
+SELECT month, CAST(sum(CASE WHEN total_count = 1 AND ((pred_a < 0.15 AND invalid_ratio = 1e0) OR (pred_a > 0.85 AND invalid_ratio = 0e0)) THEN 1 ELSE 0 END) AS BIGINT) AS num,
  CAST(sum(CASE WHEN total_count = 1 THEN 1 ELSE 0 END) AS BIGINT) AS den,
- round(sum(CASE WHEN total_count = 1 AND ((pred_b < 0.15 AND invalid_ratio = 1e0) OR (pred_b > 0.85 AND invalid_ratio = 0e0)) THEN 1 ELSE 0 END)
+ round(sum(CASE WHEN total_count = 1 AND ((pred_a < 0.15 AND invalid_ratio = 1e0) OR (pred_a > 0.85 AND invalid_ratio = 0e0)) THEN 1 ELSE 0 END)
  / greatest(sum(CASE WHEN total_count = 1 THEN 1 ELSE 0 END), 1), 6) AS rate FROM zone_obs WHERE split = 'train' GROUP BY month""")
 def e18_rate_by(spark, sf):
     tr = zone_obs(spark, sf).where("split = 'train'")
-    r = P.rate_by(tr, ["month"], transform.noise_candidates("pred_b", _Y), F.col("total_count") == 1)
+    r = P.rate_by(tr, ["month"], transform.noise_candidates("pred_a", _Y), F.col("total_count") == 1)
     return r.select("month", "num", "den", r6("rate"))
 
 
@@ -256,7 +256,7 @@ def e21_calibration(spark, sf):
 SELECT count(*) AS n, CAST(sum(CASE WHEN total_count = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tc1,
  CAST(sum(CASE WHEN total_count = 1 AND invalid_ratio = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tc1_y0,
  CAST(sum(CASE WHEN total_count = 1 AND invalid_ratio = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tc1_y1,
- CAST(sum(CASE WHEN total_count = 1 AND ((pred_b < 0.15 AND invalid_ratio = 1e0) OR (pred_b > 0.85 AND invalid_ratio = 0e0)) THEN 1 ELSE 0 END) AS BIGINT) AS noise,
+ CAST(sum(CASE WHEN total_count = 1 AND ((pred_a < 0.15 AND invalid_ratio = 1e0) OR (pred_a > 0.85 AND invalid_ratio = 0e0)) THEN 1 ELSE 0 END) AS BIGINT) AS noise,
  round(100e0 * sum(CASE WHEN total_count = 1 THEN 1 ELSE 0 END) / count(*), 6) AS tc1_pct FROM zone_obs WHERE split = 'train'""")
 def e22_segment_counts(spark, sf):
     tr = zone_obs(spark, sf).where("split = 'train'")
@@ -266,7 +266,7 @@ def e22_segment_counts(spark, sf):
         return F.sum(F.when(c, 1).otherwise(0)).cast("long")
     return tr.agg(F.count(F.lit(1)).alias("n"), cnt(tc1).alias("tc1"), cnt(tc1 & (F.col(_Y) == 0)).alias("tc1_y0"),
                   cnt(tc1 & (F.col(_Y) == 1)).alias("tc1_y1"),
-                  cnt(transform.noise_candidates("pred_b", _Y)).alias("noise"),
+                  cnt(transform.noise_candidates("pred_a", _Y)).alias("noise"),
                   r6(cnt(tc1) * F.lit(100.0) / F.count(F.lit(1)), "tc1_pct"))
 
 

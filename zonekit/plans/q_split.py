@@ -10,7 +10,7 @@ from . import sqltext as S
 from .registry import query, r6
 
 _Y = "invalid_ratio"
-_NOISE = "(total_count = 1 AND ((pred_b < 0.15 AND invalid_ratio = 1e0) OR (pred_b > 0.85 AND invalid_ratio = 0e0)))"
+_NOISE = "(total_count = 1 AND ((pred_a < 0.15 AND invalid_ratio = 1e0) OR (pred_a > 0.85 AND invalid_ratio = 0e0)))"
 
 
 @query("i1_assign_fold", sql=f"SELECT row_id, {S.fold_sql(5)} AS fold FROM zone_obs WHERE split = 'train'")
@@ -102,6 +102,6 @@ SELECT 'fit' AS role, count(*) AS n FROM tr WHERE fold <> 0 AND NOT {_NOISE}
 UNION ALL SELECT 'valid', count(*) FROM tr WHERE fold = 0""")
 def i10_exclude_noise(spark, sf):
     tr = split.assign_fold(zone_obs(spark, sf).where("split = 'train'"), 5)
-    fit, valid = split.exclude_noise_train_only(tr, transform.noise_candidates("pred_b", _Y), 0)
+    fit, valid = split.exclude_noise_train_only(tr, transform.noise_candidates("pred_a", _Y), 0)
     return fit.agg(F.count(F.lit(1)).alias("n")).select(F.lit("fit").alias("role"), "n") \
         .unionByName(valid.agg(F.count(F.lit(1)).alias("n")).select(F.lit("valid").alias("role"), "n"))

@@ -124,7 +124,9 @@ def g8_ks_two_sample(spark, sf):
 @query("g9_ks_pvalue", sql=S.ks_sql("k", "(SELECT pred_b AS x, split AS s FROM zone_obs)") + """
 , lam AS (SELECT ks, na, nb, ks * sqrt(CAST(na AS DOUBLE) * nb / (na + nb)) AS l FROM k)
 SELECT round(ks, 6) AS ks, CAST(na AS BIGINT) AS n_train, CAST(nb AS BIGINT) AS n_test,
- round(least(greatest(2e0 * (SELECT sum(pow(-1e0, i - 1) * exp(-2e0 * i * i * l * l)) FROM range(1, 101) r(i)), 0e0), 1e0), 6) AS p_value FROM lam""")
+ round(CASE WHEN l <= 0 THEN 1e0
+  WHEN l < 1 THEN 1e0 - sqrt(2e0 * pi()) / l * (SELECT sum(exp(-(2e0 * i - 1) * (2e0 * i - 1) * pi() * pi() / (8e0 * l * l))) FROM range(1, 101) r(i))
+  ELSE 2e0 * (SELECT sum(pow(-1e0, i - 1) * exp(-2e0 * i * i * l * l)) FROM range(1, 101) r(i)) END, 6) AS p_value FROM lam""")
 def g9_ks_pvalue(spark, sf):
     z = zone_obs(spark, sf)
     ks = stats.ks_two_sample(z, "pred_b", "split")

@@ -12,8 +12,8 @@ from ..sources.fixtures import zone_obs_sql
 
 ZONE = zone_obs_sql("lineitem")
 
-GRID_LON = "CAST(floor(lon / 5e-5) AS BIGINT)"
-GRID_LAT = "CAST(floor(lat / 5e-5) AS BIGINT)"
+GRID_LON = "CAST(trunc(lon / 5e-5) AS BIGINT)"
+GRID_LAT = "CAST(trunc(lat / 5e-5) AS BIGINT)"
 GRID_ID = f"({GRID_LON} * 100000 + {GRID_LAT})"
 COUNT_BIN = ("CASE WHEN total_count > 0 AND total_count <= 1 THEN 0 WHEN total_count > 1 AND total_count <= 3 THEN 1 "
              "WHEN total_count > 3 AND total_count <= 10 THEN 2 WHEN total_count > 10 AND total_count <= 30 THEN 3 "
@@ -29,7 +29,9 @@ def fold_sql(k: int, key: str = "row_id", seed: int = 0) -> str:
 
 def mix_sql(key: str = "row_id", seed: int = 0) -> str:
     kk = f"({key} + {seed})" if seed else key
-    return f"((({kk} % 2147483648) * 2654435761) % 4294967296)"
+    h = f"((({kk} % 2147483648) * 2654435761) % 4294967296)"
+    swapped = f"(({h} % 65536) * 65536 + CAST(floor({h} / 65536) AS BIGINT))"
+    return f"(((({swapped} + {seed * 40503}) % 2147483648) * 2246822519) % 4294967296)"
 
 
 KEYS = (f"{GRID_LON} AS grid_lon, {GRID_LAT} AS grid_lat, {GRID_ID} AS grid_id, "

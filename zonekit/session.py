@@ -7,7 +7,6 @@ Arrow for the few pandas hand-offs, UI off.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="zonekit-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
@@ -75,9 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/zonekit/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def stored(df, name: str):
+    """Write ``df`` to the shared folder and read it again: computed once, its lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("ZONEKIT_SF_DIR", default)
+def default_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # The bound-view expressions (inner projection over lineitem).
 INNER_EXPRS = [
-    ("((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey", "row_id"),
+    # order and line in the upper 33 bits, a hash of the other keys and the price in the lower 30: no product leaves
+    # 63 bits, whatever the keys (orders repeat beyond 1e9, where the hash still tells their lines apart)
+    ("((l_orderkey * 8 + l_linenumber) % 8589934592) * 1073741824 + ((l_partkey % 1073741824) * 1000003 + "
+     "(l_suppkey % 1073741824) * 10007 + CAST(round(l_extendedprice * 1e2) AS BIGINT) % 1073741824) % 1073741789", "row_id"),
     ("l_suppkey", "l_suppkey"),
     ("CAST(l_quantity AS INT)", "total_count"),
     ("9.95e-1 + 6e-5 * CAST(l_suppkey % 40 AS DOUBLE)", "lon"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
@@ -75,9 +76,9 @@ def save_encoder(tables: dict[str, DataFrame], constants: DataFrame, path: str)
     return spark.read.parquet(f"{path}/maps"), spark.read.parquet(f"{path}/constants")
 
 
-def load_encoder(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A5: one encoder map back as ``(key, te, n)`` (partition-pruned read)."""
-    return spark.read.parquet(f"{path}/maps").where(F.col("encoder") == name).drop("encoder")
+def _absent(error: AnalysisException) -> bool:
+    """Whether the path isn't there or holds no table (anything else is an error to raise)."""
+    return (error.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def write_submission(pred: DataFrame, path: str, col: str = "pred", key: str = "row_id",
@@ -101,8 +102,10 @@ def fold_done(spark: SparkSession, path: str, model: str) -> list[int]:
     """Folds of ``model`` already checkpointed (reads partition values only)."""
     try:
         df = spark.read.parquet(path)
-    except Exception:  # nothing written yet
-        return []
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
+        return []  # nothing written yet
     rows = df.where(F.col("model") == model).select("fold").distinct().collect()
     return sorted(int(r["fold"]) for r in rows)
 
@@ -137,6 +140,8 @@ def load_first(spark: SparkSession, paths: Sequence[str]) -> tuple[str, DataFram
             df = spark.read.parquet(p)
             df.schema  # resolves the file listing
             return p, df
-        except Exception as e:  # try the next version
-            errors.append(f"{p}: {type(e).__name__}")
+        except AnalysisException as e:
+            if not _absent(e):
+                raise
+            errors.append(f"{p}: {e.getCondition()}")  # try the next version
     raise FileNotFoundError("no prediction version found: " + "; ".join(errors))
