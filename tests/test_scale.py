@@ -119,6 +119,22 @@ def test_raw_blends_tie_only_if_equal(spark):
     assert {r.point: r.rho for r in ensemble.blend_curve(d, ["a", "b"], "y", 1, digits=9).collect()}[1] is None
 
 
+@pytest.mark.parametrize("bins", [7, 4096])
+def test_bounds_hold(spark, bins):
+    r = np.random.default_rng(3)
+    y = r.integers(0, 6, 800)
+    rows = [(float(a), float(b), float(c), float(v)) for a, b, c, v in zip(y + r.normal(0, 2, 800), r.normal(0, 1, 800) ** 3, -y + r.normal(0, 1, 800), y)]
+    d = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    exact = {x.point: x.rho for x in ensemble.blend_curve(d, ["a", "b", "c"], "y", 10).collect()}
+    bounds = {x.point: (x.low, x.high) for x in ensemble.rho_bounds(d, ["a", "b", "c"], "y", 10, bins=bins).collect()}
+    assert set(exact) == set(bounds)
+    assert all(bounds[p][0] <= rho <= bounds[p][1] for p, rho in exact.items())
+    if bins > 1000:
+        assert sum(h >= max(low for low, _ in bounds.values()) for _, h in bounds.values()) < len(bounds) / 4
+    best = ensemble.blend_search(d, ["a", "b", "c"], "y", 10).first()
+    assert (best.point, best.rho) == (max(exact, key=lambda p: (exact[p], -p)), pytest.approx(max(exact.values())))
+
+
 def test_fold_models_leave_their_fold_out(spark):
     """Rows whose target can't be guessed from others: the model of a fold must not know them."""
     d = spark.range(400).select(F.col("id").alias("row_id"), (F.col("id") % 4).cast("int").alias("fold"),

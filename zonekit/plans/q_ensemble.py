@@ -126,8 +126,8 @@ SELECT strategy, round(rho, 6) AS rho, CASE WHEN strategy = (CASE WHEN (SELECT r
 def l6_choose_strategy(spark, sf):
     """A third model joins only when it adds at least 0.001 rho; else keep the two-model blend."""
     d = _enc_train(spark, sf)
-    b2 = E.blend_curve(d, _M2, _Y, 20).agg(F.max("rho").alias("rho")).withColumn("strategy", F.lit("blend2"))
-    b3 = E.blend_curve(d, _M3, _Y, 20).agg(F.max("rho").alias("rho")).withColumn("strategy", F.lit("blend3"))
+    b2 = E.blend_search(d, _M2, _Y, 20).select("rho").withColumn("strategy", F.lit("blend2"))
+    b3 = E.blend_search(d, _M3, _Y, 20).select("rho").withColumn("strategy", F.lit("blend3"))
     s = b2.unionByName(b3)
     r2, r3 = b2.select("rho").scalar(), b3.select("rho").scalar()
     pick = F.when(r3 >= r2 + F.lit(0.001), F.lit("blend3")).otherwise(F.lit("blend2"))
