@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from zonekit.functions import features as fx
-from zonekit.operators import checks, ensemble, lookup, models as M, ranks, split, stats
+from zonekit.operators import checks, ensemble, hexbin, lookup, models as M, ranks, split, stats
 from zonekit.plans import common, sqltext
 from zonekit.sources import fixtures, io
 
@@ -71,6 +71,12 @@ def test_quantiles_pair_nothing(spark, no_broadcast):
             assert r.value == pytest.approx(np.quantile(own.v, r.q))
 
 
+def test_hex_bin_scans_once(spark):
+    z = fixtures.zone_obs(spark, SF_SMALL)
+    assert _plan(hexbin.hex_bin(z, "lon", "lat", "invalid_ratio")).count("FileScan") <= 2
+    assert hexbin.hex_bin(z.where("lon > 5"), "lon", "lat").collect() == []
+
+
 def test_rank_joins_see_counts_only(spark, no_broadcast):
     """The side that is joined on the hot value is an aggregate."""
     d = spark.range(4000).select((F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 50).cast("double").alias("p"))

@@ -1,7 +1,7 @@
 """Hexagonal binning of two coordinates (C11, C12), as a grouped aggregate.
 
-Two offset lattices; each point goes to the nearer centre. Bounds are scalar
-subqueries (min/max), so the whole thing is one scan plus one aggregation
+Two offset lattices; each point goes to the nearer centre. The bounds are read as
+one row (min/max), so the whole thing is a scan for them and one for the aggregation
 keyed by ``(lattice, ix, iy)`` with map-side partial aggregation.
 Semantics follow the common plotting convention: ``ny = int(nx / sqrt(3))``,
 x extent padded by ``1e-9`` of its span, round-half-even to the first lattice,
@@ -22,17 +22,16 @@ def hex_bin(df: DataFrame, x: str, y: str, value: str | None = None, gridsize: i
     """Returns ``lattice, ix, iy, n`` and ``mean_value`` when ``value`` is given."""
     nx = int(gridsize)
     ny = int(nx / math.sqrt(3))
-    b = df.select(F.min(x).alias("a"), F.max(x).alias("b"), F.min(y).alias("c"), F.max(y).alias("d"))
-    xmin0, xmax0 = b.select("a").scalar(), b.select("b").scalar()
-    ymin, ymax = b.select("c").scalar(), b.select("d").scalar()
-    pad = F.lit(1e-9) * (xmax0 - xmin0)
-    xmin, xmax = xmin0 - pad, xmax0 + pad
-    sx = (xmax - xmin) / F.lit(float(nx))
-    sy = (ymax - ymin) / F.lit(float(ny))
-    px = (F.col(x) - xmin) / sx
-    py = (F.col(y) - ymin) / sy
-    p = df.select(px.alias("px"), py.alias("py"),
-                  (F.col(value) if value else F.lit(1.0)).alias("v"))
+    # the bounds are read as one row: as subqueries they would be planned again in each of the nested expressions below
+    a, b, c, d = (float(v) if v is not None else None for v in df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first())
+    if a is None or c is None:
+        a = b = c = d = 0.0  # no point with both coordinates: the lattices stay empty
+    pad = 1e-9 * (b - a)
+    xmin, xmax = a - pad, b + pad
+    sx, sy = (xmax - xmin) / float(nx), (d - c) / float(ny)
+    px = F.try_divide(F.col(x) - F.lit(xmin), F.lit(sx))
+    py = F.try_divide(F.col(y) - F.lit(c), F.lit(sy))
+    p = df.select(px.alias("px"), py.alias("py"), (F.col(value) if value else F.lit(1.0)).alias("v"))
     p = p.withColumns({"ix1": F.bround("px", 0), "iy1": F.bround("py", 0),
                        "ix2": F.floor("px").cast("double"), "iy2": F.floor("py").cast("double")})
     d1 = (F.col("px") - F.col("ix1")) ** 2 + F.lit(3.0) * (F.col("py") - F.col("iy1")) ** 2

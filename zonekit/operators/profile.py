@@ -107,10 +107,10 @@ def share(df: DataFrame, conds: dict[str, Column]) -> DataFrame:
 
 
 def _bounds(df: DataFrame, col: str) -> tuple[Column, Column]:
-    b = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
-    lo, hi = b.getField("lo"), b.getField("hi")
-    same = lo == hi
-    return (F.when(same, lo - F.lit(0.5)).otherwise(lo), F.when(same, hi + F.lit(0.5)).otherwise(hi))
+    lo, hi = F.min(col), F.max(col)
+    half = F.when(lo == hi, F.lit(0.5)).otherwise(F.lit(0.0))
+    b = df.select(F.struct((lo - half).alias("lo"), (hi + half).alias("hi"))).scalar()
+    return b.getField("lo"), b.getField("hi")
 
 
 def with_bins(df: DataFrame, col: str, lo: Column, hi: Column, bins: int, out: str = "bin") -> DataFrame:

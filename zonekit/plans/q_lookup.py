@@ -49,19 +49,34 @@ def d4_semi(spark, sf):
     return lookup.semi(tr, te.select("grid_id").distinct(), "grid_id").select("row_id")
 
 
-@query("d5_nearest_fallback", sql=K + """
+_D5 = K + """
 , k AS (SELECT DISTINCT grid_lon AS gx, grid_lat AS gy FROM ktr)
 , u AS (SELECT DISTINCT grid_lon AS gx, grid_lat AS gy FROM kte WHERE grid_id NOT IN (SELECT grid_id FROM ktr))
 , d AS (SELECT u.gx AS ux, u.gy AS uy, k.gx AS kx, k.gy AS ky, (u.gx - k.gx) * (u.gx - k.gx) + (u.gy - k.gy) * (u.gy - k.gy) AS d2,
   row_number() OVER (PARTITION BY u.gx, u.gy ORDER BY (u.gx - k.gx) * (u.gx - k.gx) + (u.gy - k.gy) * (u.gy - k.gy), k.gx * 100000 + k.gy) AS rn
   FROM u CROSS JOIN k)
-SELECT ux AS grid_lon, uy AS grid_lat, kx AS near_x, ky AS near_y, round(sqrt(CAST(d2 AS DOUBLE)), 6) AS dist FROM d WHERE rn = 1""")
-def d5_nearest_fallback(spark, sf):
+"""
+
+
+def _nearest(spark, sf):
     tr, te = keyed_split(spark, sf)
     known = tr.select("grid_lon", "grid_lat").distinct()
     unseen = te.join(tr.select("grid_id").distinct(), on="grid_id", how="left_anti")
-    n = lookup.nearest_known(unseen, known, "grid_lon", "grid_lat")
-    return n.select("grid_lon", "grid_lat", "near_x", "near_y", r6("dist"))
+    return lookup.nearest_known(unseen, known, "grid_lon", "grid_lat")
+
+
+@query("d5_nearest_fallback", sql=_D5 + """
+SELECT ux AS grid_lon, uy AS grid_lat, kx AS near_x, ky AS near_y, round(sqrt(CAST(d2 AS DOUBLE)), 6) AS dist FROM d WHERE rn = 1""")
+def d5_nearest_fallback(spark, sf):
+    return _nearest(spark, sf).select("grid_lon", "grid_lat", "near_x", "near_y", r6("dist"))
+
+
+@query("d5_mean_distance", sql=_D5 + """
+SELECT count(*) AS cells, round(avg(sqrt(CAST(d2 AS DOUBLE))), 6) AS mean_dist, round(max(sqrt(CAST(d2 AS DOUBLE))), 6) AS max_dist FROM d WHERE rn = 1""")
+def d5_mean_distance(spark, sf):
+    """How far the fallback reaches: unseen cells, mean and largest distance in cells."""
+    n = _nearest(spark, sf).agg(F.count(F.lit(1)).alias("cells"), F.avg("dist").alias("mean_dist"), F.max("dist").alias("max_dist"))
+    return n.select("cells", r6("mean_dist"), r6("max_dist"))
 
 
 @query("d6_coalesce_chain", sql=K + S.full_enc_cte("ec", "ktr", "grid_id", 100) + S.full_enc_cte("ep", "ktr", "grid_period", 150) + """

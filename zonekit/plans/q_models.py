@@ -92,14 +92,24 @@ def k7_mean_importance(spark, sf):
 _ADV_FEATS = ["total_count", "lon", "lat", "precip", "snow", "temp", "wind", "hour", "dow", "month"]
 
 
-@query("k8_adversarial_validation")
-def k8_adversarial_validation(spark, sf):
-    tr, te = tier2(spark, sf)
+def _adversarial(tr, te):
     fold_auc, _, _ = M.adversarial_validation(tr, te, _ADV_FEATS, params=_FAST)
     mean = fold_auc.agg(F.avg("auc").alias("auc")).select(F.lit("mean").alias("fold"), "auc")
     return fold_auc.select(F.col("fold").cast("string"), "auc").unionByName(mean).select("fold", r6("auc"))
 
 
+@query("k8_adversarial_validation")
+def k8_adversarial_validation(spark, sf):
+    return _adversarial(*tier2(spark, sf))
+
+
+@query("k8_adversarial_months")
+def k8_adversarial_months(spark, sf):
+    """The same against the train rows of the test months (1 to 5) only."""
+    tr, te = tier2(spark, sf)
+    return _adversarial(tr.where("month <= 5"), te)
+
+
 def _adv_model(spark, sf):
     tr, te = tier2(spark, sf)
     lab = split.label_sources(split.balance(tr, te), te, ["row_id", *_ADV_FEATS], "is_test")

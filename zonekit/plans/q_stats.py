@@ -226,10 +226,10 @@ _G13_C, _G13_R = S.spearman_sql("gl", "p", "invalid_ratio", ["model", "split"],
 @query("g13_score_gap", sql=""", gl AS (SELECT 'pred_a' AS model, split, pred_a AS p, invalid_ratio FROM zone_obs
  UNION ALL SELECT 'pred_b', split, pred_b, invalid_ratio FROM zone_obs)""" + _G13_C + f"""
 , sc AS (SELECT model, split, {_G13_R} AS rho FROM s_j GROUP BY model, split)
-SELECT a.model, round(a.rho, 6) AS offline, round(b.rho, 6) AS online, round(a.rho - b.rho, 6) AS gap
-FROM sc a JOIN sc b ON a.model = b.model AND a.split = 'train' AND b.split = 'test'""")
+SELECT a.model, round(a.rho, 6) AS offline, round(b.rho, 6) AS online, round(a.rho - b.rho, 6) AS gap,
+ round(avg(a.rho - b.rho) OVER (), 6) AS mean_gap FROM sc a JOIN sc b ON a.model = b.model AND a.split = 'train' AND b.split = 'test'""")
 def g13_score_gap(spark, sf):
-    """Offline (train) vs held-out (test) rank score per model and their gap."""
+    """Offline (train) vs held-out (test) rank score per model, their gap and its mean over the models."""
     z = zone_obs(spark, sf)
     long = z.select("split", _Y, F.explode(F.array(
         F.struct(F.lit("pred_a").alias("model"), F.col("pred_a").alias("p")),
@@ -238,7 +238,8 @@ def g13_score_gap(spark, sf):
     a = sc.where("split = 'train'").select("model", F.col("rho").alias("offline"))
     b = sc.where("split = 'test'").select("model", F.col("rho").alias("online"))
     j = a.join(b, on="model")
-    return j.select("model", r6("offline"), r6("online"), r6(F.col("offline") - F.col("online"), "gap"))
+    mean = j.select(F.avg(F.col("offline") - F.col("online"))).scalar()
+    return j.select("model", r6("offline"), r6("online"), r6(F.col("offline") - F.col("online"), "gap"), r6(mean, "mean_gap"))
 
 
 _G14_SQL = (S.kfold_extra(10, "fold10") + ", k2tr AS (SELECT *, grid_id * 100 + CAST(month AS BIGINT) AS grid_month FROM kz_fold10 WHERE split = 'train')"
