@@ -38,7 +38,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle_or_is_model_job():
     import __spark_entry__ as E
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = {n for n in E.queries() if not n.startswith("op") and n != "pipeline"} - set(E.oracle_sql())
     allowed = {n for n in missing if n.startswith("k") or n in {"m3_check_columns", "m6_gate", "a8_checkpoint_fold",
                                                                    "a10_load_first", "g16_drift_importance", "l3_blend_search4"}}
     assert missing == allowed
