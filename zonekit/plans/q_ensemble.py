@@ -95,6 +95,13 @@ def l3_blend_search4(spark, sf):
     return b.select("point", r6("rho"), *_sel(_M4))
 
 
+@query("l3_blend_search4_coarse", sql=K + _ENC + curve_sql("enc", _M4, 5) + _best_sql("c", _M4, 5))
+def l3_blend_search4_coarse(spark, sf):
+    """The same search on the 0.2 grid (56 points), small enough for the SQL oracle."""
+    b = E.blend_search(_enc_train(spark, sf), _M4, _Y, 5)
+    return b.select("point", r6("rho"), *_sel(_M4))
+
+
 @query("l4_blend_search_subset", sql=curve_sql(_TR, _M2, by="sub", tag="c").replace(
     f"FROM {_TR} z", f"FROM (SELECT *, CASE WHEN month <= 5 THEN 'm1_5' ELSE 'other' END AS sub FROM zone_obs WHERE split = 'train' "
     "UNION ALL SELECT *, 'all' FROM zone_obs WHERE split = 'train') z") + """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import features as fx
 from ..operators import encode, models as M, ranks, split, stats, transform
 from . import pipeline
+from . import sqltext as S
 from .common import keyed_split, tier2
 from .registry import query, r6
 
@@ -254,10 +255,20 @@ def k17_categorical(spark, sf):
     return _fold_table(res).withColumn("cells", F.lit(card))
 
 
-@query("k18_standardise")
+_K18_FEATS = ["total_count", "temp", "wind", "grid_te"]
+
+
+@query("k18_standardise", sql=S.keyed_cte() + S.kfold_cte("e", "ktr", "grid_id", 30) + """
+, g AS (SELECT t.fold, t.total_count, t.temp, coalesce(t.wind, (SELECT quantile_cont(wind, 0.5) FROM ktr)) AS wind, e.te AS grid_te
+  FROM ktr t JOIN e ON t.grid_id = e.grid_id AND t.fold = e.fold)
+, l AS (""" + " UNION ALL ".join(f"SELECT '{f}' AS feature, fold, CAST({f} AS DOUBLE) AS x FROM g" for f in _K18_FEATS) + """)
+, m AS (SELECT feature, avg(x) AS mu, stddev_pop(x) AS sd FROM l WHERE fold <> 0 GROUP BY feature)
+SELECT l.feature, round(avg((x - mu) / sd), 6) AS mean, round(stddev_pop((x - mu) / sd), 6) AS std
+FROM l JOIN m ON l.feature = m.feature WHERE fold = 0 GROUP BY l.feature""")
 def k18_standardise(spark, sf):
+    """Moments of the held-out fold under the scaler fitted on the other folds."""
     tr, _ = tier2(spark, sf)
-    feats = ["total_count", "temp", "wind", "grid_te"]
+    feats = _K18_FEATS
     _, held = M.standardise(tr.where("fold != 0"), tr.where("fold = 0"), feats)
     parts = [held.select(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in feats]
     long = parts[0]
