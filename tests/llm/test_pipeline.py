@@ -59,7 +59,7 @@ def pii_text(text, model):
 def test_run(spark):
     import corpus_pipeline
     out = corpus_pipeline.run(spark, SF_SMALL)
-    assert {"doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"} == set(out.columns) and out.count() > 0
+    assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} == set(out.columns) and out.count() > 0
 
 
 @pytest.mark.parametrize("name", ["op1_bpe", "op2_pii", "op3_fingerprints", "op4_packing", "op5_warc", "op6_licenses", "op7_ngram_join", "op8_quality",

@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import stored
 from .pieces import in_passes, whole_texts
@@ -85,19 +84,21 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
 
 def pack(df: DataFrame, capacity: int, length: str = "length") -> DataFrame:
-    """``df`` with sequence_id and offset: sequences of at most ``capacity`` tokens, gapless from 0."""
+    """``df`` with sequence_id and offset: sequences of at most ``capacity`` tokens, gapless from 0.
+
+    Tasks pack lengths alone, whatever else a row holds (ids are a hundred times as large), and the places are joined back.
+    """
     df = df.drop("sequence_id", "offset")
-    fixed = stored(df, "pieces")
+    fixed = stored(df.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-fixed.count() // SHARD))
-    schema = T.StructType([*df.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    keys = [c for c in ("doc_id", "piece") if c in df.columns]
 
     def place(key: tuple, table: pa.Table) -> pa.Table:
-        shard = table.column("_shard")[0].as_py() if table.num_rows else 0
-        table = table.drop_columns(["_shard"])
-        keys = [(c, "ascending") for c in ("doc_id", "piece") if c in table.column_names]
-        table = table.sort_by([(length, "descending"), *keys])
-        number, offset = sum_of_squares(table.column(length).to_numpy(), capacity)
-        return table.append_column("sequence_id", pa.array(number * shards + shard)).append_column("offset", pa.array(offset))
-
-    return (fixed.withColumn("_shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)))
-            .groupBy("_shard").applyInArrow(place, schema))
+        table = table.sort_by([("_length", "descending"), *[(c, "ascending") for c in keys], ("_row", "ascending")])
+        number, offset = sum_of_squares(table.column("_length").to_numpy(), capacity)
+        return pa.table({"_row": table.column("_row"), "sequence_id": pa.array(number * shards + key[0].as_py()), "offset": pa.array(offset)})
+
+    slim = fixed.select("_row", F.col(length).cast("long").alias("_length"), *[k for k in keys if k != length],
+                        F.pmod("_row", F.lit(shards)).alias("_shard"))
+    places = slim.groupBy("_shard").applyInArrow(place, "_row long, sequence_id long, offset long")
+    return fixed.join(places, "_row").drop("_row")
