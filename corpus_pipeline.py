@@ -34,8 +34,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in sequences of at most 1024 tokens, one row a piece, with its ids."""
-    return packing.pack(packing.pieces(docs, queries.BYTE_BPE, queries.END_ID, queries.SEQUENCE), queries.SEQUENCE)
+    """All documents in sequences of at most 1024 tokens, one row a piece: where its ids come from and go to, and their checksum."""
+    cut = packing.pieces(docs, queries.BYTE_BPE, queries.END_ID, queries.SEQUENCE)
+    return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), queries.SEQUENCE)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("repeated_strings", repeated_strings),
