@@ -218,7 +218,7 @@ def test_quality_fences(spark):
         return " ".join(words)
 
     rows = [(i, text(0), "en", "clean") for i in range(300)] + [(1000 + i, text(r.randint(10, 40)), "en", "noisy") for i in range(300)]
-    rows += [(2000, text(60), "en", "clean"), (2001, text(60), "en", "noisy"), (2002, text(0), "en", "tiny"), (2003, text(0), None, None)]
+    rows += [(2000, text(45), "en", "clean"), (2001, text(45), "en", "noisy"), (2002, text(0), "en", "tiny"), (2003, text(0), None, None)]
     out = {x.doc_id: x for x in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert not out[2000].kept and out[2001].kept and out[2002].kept and out[2003].kept
     assert all(out[i].kept for i in range(300))
