@@ -89,7 +89,7 @@ def pack(df: DataFrame, capacity: int, length: str = "length") -> DataFrame:
     Tasks pack lengths alone, whatever else a row holds (ids are a hundred times as large), and the places are joined back.
     """
     df = df.drop("sequence_id", "offset")
-    fixed = stored(df.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    fixed = stored(df.withColumn("_row", F.monotonically_increasing_id()), "pieces", "zstd")
     shards = max(1, -(-fixed.count() // SHARD))
     keys = [c for c in ("doc_id", "piece") if c in df.columns]
 

@@ -50,8 +50,8 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
-    cut = packing.pieces(documents(spark, sf_dir), BYTE_BPE, END_ID, SEQUENCE)
-    return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), SEQUENCE)
+    out = packing.pack(packing.pieces(documents(spark, sf_dir), BYTE_BPE, END_ID, SEQUENCE), SEQUENCE)
+    return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 @query
