@@ -1,6 +1,7 @@
 """What the operators once left out."""
 
 import collections
+import random
 import zlib
 
 import numpy as np
@@ -44,3 +45,27 @@ def test_packing_digest_is_taken_after_packing(spark, monkeypatch):
     pack = packing.pack
     monkeypatch.setattr(packing, "pack", lambda df, n: pack(df, n).withColumn("ids", F.lit(b"lost")))
     assert {r.ids_crc32 for r in queries.op4_packing(spark, SF_SMALL).collect()} == {zlib.crc32(b"lost")}
+
+
+def test_fences_reject_outliers_of_every_ratio(spark):
+    """Documents that pass the base rules, in a source whose documents hardly differ."""
+    from zonekit.llm import quality
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+
+    def lines(n=20, length=(3, 4, 5, 6)):
+        return [" ".join(word(r.choice(length)) for _ in range(5)) for _ in range(n)]
+
+    plain = lines()
+    symbols = [x + "#" if i < 15 else x for i, x in enumerate(" ".join(lines()).split())]  # 0.15
+    repeated = lines(11) + 3 * [" ".join(word(4) for _ in range(15))]  # 45 of 100 words
+    cases = {1000: "\n".join(plain), 1001: " ".join(symbols),
+             1002: "\n".join(lines(13) + [x for i in range(7) for x in ("ab", "cd efg hijk lmno pq" + word(3))]),
+             1003: "\n".join(repeated).replace("\n", " "), 1004: "\n".join(lines(length=(1, 2, 3))), 1005: "\n".join(lines(length=(6, 7, 8)))}
+    rows = [(i, "\n".join(lines()), "en", "narrow") for i in range(400)] + [(k, t, "en", "narrow") for k, t in cases.items()]
+    out = {x.doc_id: x for x in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(out[k].base_failed for k in cases) and out[1000].word_length > 4
+    for k, ratio in ((1001, "symbol_ratio"), (1002, "dup_line_ratio"), (1003, "repeat_ratio"), (1005, "word_length")):
+        assert out[k][ratio] > out[k][f"most_{ratio}"] and not out[k].kept, ratio
+    assert out[1004].word_length < out[1004].least_word_length and not out[1004].kept
+    assert sum(out[i].kept for i in range(400)) > 380

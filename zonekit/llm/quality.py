@@ -6,7 +6,7 @@ quantiles; ``filtered`` joins the fences to the rows. A group of fewer than ``GR
 sketch of its language, and a language of so few that of all texts.
 
 A ratio is rejected beyond ``median + WIDTH * max(q75 - median, floor)``; mean word length also below the mirrored
-fence. The floors keep a fence off a source whose values hardly differ.
+fence. The floors only keep a fence apart from the median where the sketch has no spread.
 
 Null text counts as empty: no words, so it fails the base rules. Null language or source is a group like any other.
 Repeated rows count each. Columns named like a result are replaced, others kept; an empty table stays empty.
@@ -21,8 +21,8 @@ from .common import lookup, stored, text_or_empty
 
 #: Texts that a group needs for fences of its own, width of the fences, size parameter of the sketches.
 GROUP_DOCS, WIDTH, SKETCH_K = 100, 4.0, 400
-#: Ratios and the least spread that counts for each.
-FLOORS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.10, "repeat_ratio": 0.125, "word_length": 1.0}
+#: Ratios and the least spread that counts for each (word length in characters).
+FLOORS = {"symbol_ratio": 0.005, "dup_line_ratio": 0.005, "repeat_ratio": 0.005, "word_length": 0.125}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SPACES = " \t\n\x0b\x0c\r"
 
