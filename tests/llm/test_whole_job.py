@@ -69,3 +69,40 @@ def test_fences_reject_outliers_of_every_ratio(spark):
         assert out[k][ratio] > out[k][f"most_{ratio}"] and not out[k].kept, ratio
     assert out[1004].word_length < out[1004].least_word_length and not out[1004].kept
     assert sum(out[i].kept for i in range(400)) > 380
+
+
+JWT = ".".join("eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9"[:36] + "aB3_x-9Z" * 5 for _ in range(3))
+
+
+def test_generators_propose_whole_strings():
+    """Every form by itself, as the only one in its text."""
+    from zonekit.llm import pii
+    for text, want in [("ask jane at example.com today", "jane at example.com"), ("ask jane @ example.com today", "jane @ example.com"),
+                       ("ask jane(AT)example(DOT)com today", "jane(AT)example(DOT)com"), ("ask jane AT example DOT com today", "jane AT example DOT com"),
+                       ("x" * 100 + "(at)example.com", "x" * 100 + "(at)example.com"), (f"token={JWT} end", f"token={JWT}"),
+                       ("key " + "0a1b2c3d" * 16 + " end", "0a1b2c3d" * 16), ("sk_live_" + "4eC39HqLyjWD" * 9, "sk_live_" + "4eC39HqLyjWD" * 9),
+                       ("host 2001:db8::1 is", "2001:db8::1"), ("host fe80::1ff:fe23:4567:890a%eth0", "fe80::1ff:fe23:4567:890a"),
+                       ("to ::1 and", "::1"), ("net 2001:db8::/32", "2001:db8::")]:
+        assert want in {text[a:b] for _, a, b in pii.candidates(text)}, text
+    assert pii.candidates("std::vector and a :: b") == []
+
+
+def test_generators_are_linear():
+    import time
+    from zonekit.llm import pii
+    for text in ("a" * 300_000 + " at " + "b" * 300_000, "a_" * 300_000, "a1_" * 200_000, "token=" * 100_000, "a at " * 100_000, "b." * 200_000 + "@" * 1000,
+                 "1:" * 200_000, "x at " + "b. " * 200_000, "::" * 200_000):
+        start = time.process_time()
+        pii.candidates(text)
+        assert time.process_time() - start < 5
+
+
+def test_whole_strings_are_redacted(spark):
+    from zonekit.llm import pii
+    model = pii.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    print(model.held_out, model.thresholds)
+    texts = ["please write to jane.doe at example.com today", "contact jane_roe @ example.org for it", f"use token={JWT} here",
+             "the key " + "0a1b2c3d" * 16 + " of it", "host 2001:db8::12 is down", "mail joe.doe(AT)example(DOT)org now", "the book is available at example.com today"]
+    found = [[t[a:b] for _, a, b, _, _ in s] for t, s in zip(texts, pii.find(texts, model))]
+    assert found == [["jane.doe at example.com"], ["jane_roe @ example.org"], [f"token={JWT}"], ["0a1b2c3d" * 16], ["2001:db8::12"],
+                     ["joe.doe(AT)example(DOT)org"], []]

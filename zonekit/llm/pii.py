@@ -4,8 +4,8 @@ Rules with a check (``base_spans``) always redact. Beside them high-recall gener
 overlap: addresses spelled out, national phone numbers, account numbers, IPv6 addresses, keys and passwords. Boosted
 trees score each candidate by its format and context; a Platt fit on held-out candidates turns scores into
 probabilities, and each generator's threshold is the least probability at which the held-out precision reaches
-``PRECISION`` (none: the generator redacts nothing). Of overlapping accepted candidates the likeliest stays, and none
-that touches a base span.
+``PRECISION`` (none: the generator redacts nothing). Of overlapping accepted candidates one that holds another whole
+goes before it, so that no part of it is left over, else the likeliest stays; none stays that touches a base span.
 
 No labels of personal data exist, so ``train`` makes them: into windows of the ``SAMPLE_DOCS`` documents with the least
 hashes (a bounded sample) it plants ``PLANTED`` strings from templates, half personal data and half look-alikes.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -83,29 +84,53 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-#: Generators: name, kind, what a text must hold, pattern.
+#: An "at" of an address spelled out, and the domain after it.
+_AT = re.compile(r"(?i) ?(?:@|\(at\)|\[at\]| at ) ?")
+_SPELLED = re.compile(r"(?i)[a-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[a-z0-9-]{2,}+)++")
+_HEX = "[0-9A-Fa-f]{1,4}"
+_GROUPS = f"{_HEX}(?::{_HEX}){{0,6}}"
+
+
+def _spelled_emails(text: str) -> Iterator[tuple[int, int]]:
+    """As in ``_emails`` the local part reaches left from each "at", to the end of the match before."""
+    end = 0
+    for m in _AT.finditer(text):
+        local = m.start()
+        while local > end and (c := text[local - 1]) < "\x80" and (c.isalnum() or c in "._%+-"):
+            local -= 1
+        if local < m.start() and (d := _SPELLED.match(text, m.end())):
+            end = d.end()
+            yield local, end
+
+
+def _all(pattern: str) -> Callable[[str], Iterator[tuple[int, int]]]:
+    found = re.compile(pattern).finditer
+    return lambda text: (m.span() for m in found(text))
+
+
+#: Generators: name, kind, what each of its matches must hold (none: a digit), spans. Runs end where the token ends.
 GENERATORS = [
-    ("spelled_email", "email", ("(at)", "[at]", "(dot)", "[dot]", " dot "), re.compile(
-        r"[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,63}){1,4}")),
-    ("numbers", "phone", None, re.compile(r"[+(]?[0-9](?:[ ()./-]{0,2}[0-9]){6,15}")),
-    ("groups", "account", None, re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")),
-    ("iban", "account", None, re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")),
-    ("ipv6", "ip", (":",), re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")),
-    ("long_key", "secret", None, re.compile(r"(?<![0-9A-Za-z])(?=[A-Za-z]{0,64}[0-9])[0-9A-Za-z_]{18,64}(?![0-9A-Za-z])")),
-    ("assigned", "secret", ("=", ":"), re.compile(r"(?i)(?:password|passwd|secret|token|api[_-]?key) ?[=:] ?[\"']?[^\s\"']{8,80}[\"']?")),
+    ("spelled_email", "email", re.compile(r"(?i)@|\(at\)|\[at\]| at "), _spelled_emails),
+    ("numbers", "phone", None, _all(r"[+(]?[0-9](?:[ ()./-]{0,2}[0-9]){6,15}")),
+    ("groups", "account", None, _all(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")),
+    ("iban", "account", None, _all(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")),
+    ("ipv6", "ip", re.compile(":"), _all(
+        rf"(?<![0-9A-Za-z:])(?:(?:{_HEX}:){{3,7}}{_HEX}|{_GROUPS}::(?:{_GROUPS})?|::{_GROUPS})(?![0-9A-Za-z:])")),
+    ("long_key", "secret", None, _all(r"(?<![0-9A-Za-z_])(?=[A-Za-z_]*+[0-9])[0-9A-Za-z_]{18,}+")),
+    ("assigned", "secret", re.compile("[=:]"), _all(r"(?i)(?:password|passwd|secret|token|api[_-]?key) ?[=:] ?[\"']?[^\s\"']{8,}+[\"']?")),
 ]
 #: Context words (lower case, before or after a span) and what they speak for.
 CONTEXT = [re.compile(p) for p in (
     r"tel|phone|call|fax|mobil|cell|whatsapp|sms", r"mail|contact|write|reach", r"ssn|iban|passport|account|konto|social|tax",
     r"passw|token|secret|key|login|credential", r"version|v\.|build|release|section|chapter|page|isbn|issn|doi",
     r"order|invoice|ticket|ref|item|sku|total|price|eur|usd|qty|sum", r"date|since|until|year|born|time|clock")]
+#: Words before "at" and a domain that name a place, not a person.
+_PROSE = re.compile(r"(?i)(?:available|found|look|online|hosted|read|see|visit|here|more|us|them|him|it|is|are) ")
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(generator, start, end) of all generators; spans may overlap."""
-    digit = _DIGIT.search(text) is not None
-    return [(g, *m.span()) for g, (_, _, needs, pattern) in enumerate(GENERATORS)
-            if (digit if needs is None else any(n in text for n in needs)) for m in pattern.finditer(text)]
+    return [(g, a, b) for g, (_, _, needs, spans) in enumerate(GENERATORS) if (needs or _DIGIT).search(text) for a, b in spans(text)]
 
 
 def features(text: str, g: int, start: int, end: int) -> list[float]:
@@ -118,7 +143,8 @@ def features(text: str, g: int, start: int, end: int) -> list[float]:
             len(groups), len(groups[0]) if groups else 0, len(groups[-1]) if groups else 0, s.startswith("+"), s.startswith("("), "." in s,
             "/" in s, " " in s, "-" in s, bool(digits) and luhn(digits), len(set(s)) / len(s),
             bool(re.fullmatch(r"(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}.*", s)),
-            text[start - 1:start].isalnum() if start else 0, text[end:end + 1].isalnum()]
+            text[start - 1:start].isalnum() if start else 0, text[end:end + 1].isalnum(),
+            ". " in s, "::" in s, "@" in s, "(" in s or "[" in s, len(s) - max(map(s.rfind, ". :)]")), bool(_PROSE.match(s))]
     return own + [float(x) for x in form] + [float(bool(p.search(near))) for p in CONTEXT]
 
 
@@ -188,8 +214,11 @@ def planted(r: random.Random) -> tuple[str, bool]:
     """A string in a short context, and whether it is personal data."""
     n = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     a = lambda k, s="abcdefghijklmnopqrstuvwxyz": "".join(r.choice(s) for _ in range(k))
-    at, dot = r.choice([(" at ", " dot "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" (at) ", " (dot) "), ("(at)", ".")])
+    at, dot = r.choice([(" at ", " dot "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" (at) ", " (dot) "), ("(at)", "."), (" at ", "."), (" @ ", "."),
+                       ("(AT)", "(DOT)"), (" AT ", " DOT "), ("[AT]", ".")])
     hexes, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
+    group = lambda: a(r.randint(1, 4), hexes)
     name = a(r.randint(3, 8)) + r.choice(["", ".", "_"]) + a(r.randint(2, 6))
     yes = [
         f"{r.choice(['contact', 'mail', 'write to', 'e-mail:'])} |{name}{at}{a(r.randint(3, 8))}{dot}{r.choice(['com', 'org', 'net', 'de', 'fr', 'es'])}|",
@@ -197,12 +226,16 @@ def planted(r: random.Random) -> tuple[str, bool]:
         f"{r.choice(['Tel.', 'phone', 'fax'])} |0{n(r.randint(2, 4))}/{n(r.randint(5, 8))}|", f"{r.choice(['SSN', 'social security', 'ssn:'])} |{n(3)}-{n(2)}-{n(4)}|",
         f"{r.choice(['IBAN', 'account', 'konto'])} |{r.choice(['DE', 'FR', 'ES'])}{n(2)} {n(4)} {n(4)} {n(4)} {n(4)} {n(2)}|",
         f"|{':'.join(a(4, hexes) for _ in range(8))}|", f"|AKIA{a(16, upper)}|", f"|password={a(r.randint(10, 20), hexes)}|", f"|token = \"{a(40, hexes)}\"|",
-        f"|api_key: {a(r.randint(20, 32), hexes)}|"]
+        f"|api_key: {a(r.randint(20, 32), hexes)}|", f"|{a(r.choice([64, 96, 128]), hexes)}|",
+        f"|token={'.'.join(a(r.randint(20, 120), base64) for _ in range(3))}|",
+        f"|{r.choice(['2001:db8', 'fe80', '2a02:' + group()])}::{':'.join(group() for _ in range(r.randint(1, 4)))}|"]
     no = [
         f"met {r.choice(['him', 'them'])} |{a(5)} at {a(4)}. {a(5)}|", f"a |{a(5)} at {a(6)} dot {a(3)}| or two", f"order |{n(10)}|", f"ISBN |978-{n(1)}-{n(4)}-{n(4)}-{n(1)}|",
         f"version |{n(1)}.{n(2)}.{n(4)}.{n(2)}|", f"on |{r.randint(1950, 2030)}-{n(2)}-{n(2)}| at |{n(2)}:{n(2)}:{n(2)}:{n(2)}|", f"invoice |{n(3)}-{n(2)}-{n(4)}| total",
         f"|{n(2)}.{n(2)}.{r.randint(1950, 2030)}|", f"total |{n(3)} {n(3)} {n(3)}| EUR", f"|{a(r.randint(18, 40))}{n(1)}|", f"item |{a(4, upper)} {n(4)} {n(4)}| in stock",
-        f"ref |{n(4)}/{n(4)}/{n(3)}|", f"ticket |{n(r.randint(8, 16))}|", f"doi |{n(2)}.{n(4)}/{n(6)}|", f"|{a(24)}_{a(6)}{n(2)}|", f"a token: |{a(9)}| of"]
+        f"ref |{n(4)}/{n(4)}/{n(3)}|", f"ticket |{n(r.randint(8, 16))}|", f"doi |{n(2)}.{n(4)}/{n(6)}|", f"|{a(24)}_{a(6)}{n(2)}|", f"a token: |{a(9)}| of",
+        f"|{r.choice(['available', 'found', 'look', 'online', 'read', 'see', 'us'])} at {a(r.randint(3, 8))}.{r.choice(['com', 'org', 'net'])}|",
+        f"|{'_'.join(a(r.randint(3, 9)) for _ in range(r.randint(4, 14)))}_{n(1)}|", f"call |{a(3, 'abcdef')}::{a(3, 'abcdef')}|()"]
     good = r.random() < 0.5
     return r.choice(yes if good else no), good
 
@@ -277,9 +310,17 @@ def find(texts: list[str], model: Model) -> list[list[tuple[str, int, int, bool,
     if rows:
         p = model.probabilities(np.array(x))
         taken: dict[int, list[tuple[int, int]]] = {}
-        for j in sorted(range(len(rows)), key=lambda j: (-p[j], rows[j])):
+        good = [j for j in range(len(rows)) if p[j] >= limits[rows[j][1]]]
+        inner, last, reach = set(), -1, 0  # those that lie in another one
+        for j in sorted(good, key=lambda j: (rows[j][0], rows[j][2], -rows[j][3], -p[j])):
+            i, _, _, b = rows[j]
+            if i == last and b <= reach:
+                inner.add(j)
+            else:
+                last, reach = i, b
+        for j in sorted(good, key=lambda j: (j in inner, -p[j], rows[j])):
             i, g, a, b = rows[j]
-            if p[j] >= limits[g] and not any(a < e and s < b for s, e in taken.get(i, ())):
+            if not any(a < e and s < b for s, e in taken.get(i, ())):
                 taken.setdefault(i, []).append((a, b))
                 out[i].append((GENERATORS[g][1], a, b, False, float(p[j])))
     for spans in out:
