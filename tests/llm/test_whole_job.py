@@ -106,3 +106,23 @@ def test_whole_strings_are_redacted(spark):
     found = [[t[a:b] for _, a, b, _, _ in s] for t, s in zip(texts, pii.find(texts, model))]
     assert found == [["jane.doe at example.com"], ["jane_roe @ example.org"], [f"token={JWT}"], ["0a1b2c3d" * 16], ["2001:db8::12"],
                      ["joe.doe(AT)example(DOT)org"], []]
+
+
+def test_wrapped_notices(spark):
+    from zonekit.llm import licenses
+    model = licenses.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    notices = {"MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""", "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""", "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above""", "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""}
+    for family, notice in notices.items():
+        for mark in ("", " * ", "# "):
+            text = "int x;\n\n" + "\n".join(mark + x for x in notice.split("\n")) + "\n\nint main() {}"
+            found = licenses.scan_texts([text], model)[0][1]
+            assert [f["family"] for f in found if f["confirmed"]] == [family], (family, mark, found)
+    apart = notices["BSD"].replace("\n", "\n\n")
+    assert not any(f["confirmed"] for f in licenses.scan_texts([apart], model)[0][1])

@@ -4,7 +4,8 @@ A paragraph is a line of a text. Its features are the words and word pairs of th
 its words; a multinomial logistic regression gives the family or ``unknown``. A temperature and the least probability of a known
 family are calibrated on held-out paragraphs so that at most ``FALSE_RATE`` of the unknown ones pass. A passing paragraph
 is confirmed if its word pairs and those of a template of that family contain each other to ``CONTAINED``; without confirmation it is
-reported as unknown. Only paragraphs with a word pair of a template can be confirmed, so only those are scored.
+reported as unknown. A notice that is wrapped over several lines without an empty one between them (comment markers hold no words) is
+scored and confirmed as the run of words that holds so many of a template's pairs; ``paragraph`` is its first line. Only paragraphs with a word pair of a template can be confirmed, so only those are scored.
 
 ``train`` makes its paragraphs: templates with words dropped, cut and added, and as unknown ones lines of the ``SAMPLE_DOCS`` documents
 with the least hashes (a bounded sample) and sentences that use the same words for other things.
@@ -169,6 +170,43 @@ def train(df: DataFrame, text: str = "text") -> Model:
     return model
 
 
+def wrapped(codes: np.ndarray, line: np.ndarray, model: Model) -> list[tuple[int, int, dict]]:
+    """First and last line, and what is found, of notices that go over line ends."""
+    v, out = model.vocabulary, []
+    words = codes != 1
+    c, at = codes[words], line[words]
+    if len(c) < 2 or at[0] == at[-1]:
+        return out
+    pairs = np.where(np.diff(at) > 1, -1, v.pairs(c))  # an empty line ends a paragraph
+    places = np.flatnonzero(pairs >= 0)
+    feature = pairs[places]
+    present = set(feature.tolist())
+    block = np.concatenate([[0], np.cumsum(np.diff(at) > 1)])
+    for t, (family, _) in zip(v.templates, TEMPLATES):
+        if len(present & t) < CONTAINED * len(t):
+            continue
+        own = np.isin(feature, list(t))
+        seen: list[tuple[int, int]] = []  # place and pair in the window
+        for place, f in zip(places[own].tolist(), feature[own].tolist()):
+            seen = [x for x in seen if place - x[0] <= 2 * len(t) and block[x[0]] == block[place]] + [(place, f)]
+            contained = len({x for _, x in seen}) / len(t)
+            if contained < CONTAINED:
+                continue
+            first, last = seen[0][0], place + 1
+            if at[first] == at[last]:
+                continue
+            p = model.probabilities(v.row(c[first:last + 1])[None, :])[0]
+            best = 1 + int(p[1:].argmax())
+            if FAMILIES[best] == family and p[best] >= model.least:
+                out.append((int(at[first]), int(at[last]), {"paragraph": int(at[first]), "family": family, "probability": float(p[best]),
+                                                            "contained": contained, "confirmed": True}))
+    chosen: list[tuple[int, int, dict]] = []
+    for x in sorted(out, key=lambda x: (-x[2]["contained"], -x[2]["probability"], x[0], x[1])):
+        if all(x[1] < y[0] or y[1] < x[0] for y in chosen):
+            chosen.append(x)
+    return chosen
+
+
 def scan_texts(texts: list[str], model: Model) -> list[tuple[int, list[dict]]]:
     """For each text its lines with words, and what is found in them; ``paragraph`` counts all lines from 0."""
     v, out = model.vocabulary, []
@@ -192,6 +230,11 @@ def scan_texts(texts: list[str], model: Model) -> list[tuple[int, list[dict]]]:
                 sure = contained >= CONTAINED
                 found.append({"paragraph": int(n), "family": FAMILIES[best] if sure else "unknown", "probability": float(p[best]),
                               "contained": contained, "confirmed": sure})
+            for first, last, notice in wrapped(codes, line, model):
+                inside = [f for f in found if first <= f["paragraph"] <= last]
+                if not any(f["confirmed"] and f["family"] == notice["family"] for f in inside):
+                    found = [f for f in found if f["confirmed"] or f not in inside] + [notice]
+            found.sort(key=lambda f: f["paragraph"])
         out.append((lines, found))
     return out
 
