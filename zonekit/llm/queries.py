@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
+from . import bpe, curriculum, fingerprints, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
 from .common import documents
 
 QUERIES: dict = {}
@@ -105,3 +105,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of repeated 50-byte strings removed from every text."""
     out = suffix_dedup.spans_removed(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes of every document."""
+    return curriculum.taken(documents(spark, sf_dir), keep=["doc_id"])
+
+
+ORACLES["op11_mixing"] = r"""
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size from documents),
+s as (select source, sum(size)::bigint s from d group by source),
+w as (select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5e0 when 1 then 2e0 else 1e0 end w from s),
+f as (select *, s * 2e0 cap, s * 2e0 / w as full_at from w),
+l as (select full_at, sum(cap) c, sum(w) w from f group by full_at),
+r as (select full_at, (1.5e0 * (select sum(s)::double from s) - (sum(c) over (order by full_at) - c)) / ((select sum(w) from f) - (sum(w) over (order by full_at) - w)) lv from l),
+t as (select source, s, least(cap, coalesce(w * (select arg_min(lv, full_at) from r where lv <= full_at), cap)) target from f),
+o as (select d.*, t.s, t.target, floor(t.target)::bigint goal,
+ sum(size) over (partition by d.source order by md5(coalesce(doc_id::varchar, '')), size) - size before
+ from d join t on d.source is not distinct from t.source)
+select doc_id, size, s source_size, target,
+ (greatest(0, least(size, goal - before)) + greatest(0, least(size, goal - s - before)))::bigint taken from o"""
