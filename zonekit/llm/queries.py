@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, curriculum, fingerprints, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
-from .common import documents
+from . import bpe, curriculum, fingerprints, lexical_search, licenses, ngram_join, packing, pii, prefix_trie, quality, suffix_dedup, token_files, warc
+from .common import documents, stored
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,62 @@ o as (select d.*, t.s, t.target, floor(t.target)::bigint goal,
  from d join t on d.source is not distinct from t.source)
 select doc_id, size, s source_size, target,
  (greatest(0, least(size, goal - before)) + greatest(0, least(size, goal - s - before)))::bigint taken from o"""
+
+
+def rebuilt(own: DataFrame, group: int = 5, most: int = 9) -> DataFrame:
+    """Sequences whose first turns come from another: the first h of conversation c - c % group, then the own ones after the first h; h is
+    the checksum of the decimal id modulo ``most`` (null id: 0)."""
+    own = stored(own, "own_turns")
+    head = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % most, F.lit(0)).cast("int")
+    heads = own.where(F.col("conv_id") % group == 0).select(F.col("conv_id").alias("_base"), F.slice("turns", 1, most - 1).alias("_head"))
+    both = own.withColumn("_h", head).join(heads, F.col("conv_id") - F.col("conv_id") % group == F.col("_base"), "left")
+    first = F.expr("slice(coalesce(_head, slice(turns, 1, 0)), 1, _h)")
+    return both.select("conv_id", F.concat(first, F.expr("slice(turns, _h + 1, size(turns))")).alias("turns"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the rebuilt conversations."""
+    own = prefix_trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.trie(rebuilt(own)).drop("node", "parent")
+
+
+ORACLES["op12_prefix_trie"] = """
+with o as (select conv_id c, coalesce(role, '') role, coalesce(text, '') txt,
+ row_number() over (partition by conv_id order by turn nulls first, role, text) p from conversations),
+h as (select c, xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(c::varchar, ''), lambda x: ord(x)::bigint)),
+ lambda a, b: list_reduce([xor(a, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 h from (select distinct c from o)),
+r as (select h.c, 0 part, o.p, role, txt from h join o on o.c = h.c - h.c % 5 and o.p <= h.h
+ union all select h.c, 1, o.p, role, txt from h join o on o.c = h.c and o.p > h.h),
+s as (select c, row_number() over (partition by c order by part, p) d, md5(strlen(role) || ':' || role || txt) k, strlen(txt) b from r),
+x as (select c, d, string_agg(k, '') over (partition by c order by d) path, b from s union all select c, 0, '', 0 from h),
+n as (select path, any_value(d) depth, min(c) conv_id, count(*) n_convs, any_value(b) b from x group by path),
+u as (select left(path, length(path) - 32) path, count(*) n_children from n where depth > 0 group by 1),
+m as (select n.*, coalesce(n_children, 0) n_children from n left join u using (path)),
+e as (select path, string_agg(c::varchar, ',' order by c) ids from (select c, arg_max(path, d) path from x group by c) group by path),
+t as (select a.path, sum(case when b.n_children = 0 then 1 else 0 end) n_leaves, sum((b.n_convs - 1) * b.b) saved_tokens
+ from m a join m b on starts_with(b.path, a.path) group by a.path)
+select m.conv_id, m.depth::bigint depth, q.conv_id parent_conv_id, m.n_convs, m.n_children::bigint n_children, t.n_leaves::bigint n_leaves,
+ t.saved_tokens::bigint saved_tokens, sha256(coalesce(e.ids, '')) ends_sha256
+from m join t using (path) left join e using (path) left join m q on m.depth > 0 and q.path = left(m.path, length(m.path) - 32)"""
+
+
+@query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents of highest score for every benchmark item."""
+    return lexical_search.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
+
+
+ORACLES["op13_search"] = r"""
+with t as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+ '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) w from documents),
+b as (select item_id, w, count(*) times from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+ '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) w from benchmark) group by all),
+n as (select doc_id, count(*) n from t group by doc_id),
+g as (select count(*) docs, sum(n)::bigint len from n),
+f as (select doc_id, w, count(*) tf from t where w in (select w from b) group by all),
+v as (select w, floor(1000 * ln((2 * (select docs from g) + 2)::double / (2 * count(*) + 1)))::bigint wt from f group by w),
+s as (select item_id, doc_id, sum(times * wt * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len))))::bigint score
+ from b join f using (w) join v using (w) join n using (doc_id) cross join g group by item_id, doc_id)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int rank, doc_id, score from s where score > 0
+qualify rank <= 20"""
