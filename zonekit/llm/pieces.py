@@ -86,6 +86,13 @@ class Pieces:
             return out
         return self._plain(chunk)
 
+    def words(self, text: str) -> list[str] | None:
+        """Pieces of a whole text of the Latin blocks without added tokens, by the word rules; None for other texts."""
+        if not text.isascii() and _WIDE.search(text) or "<" in text and self._added and self._added.search(text):
+            return None
+        text = text.lower()  # a few lower-case letters leave the Latin blocks
+        return (self._find if not text.isascii() and _WIDE.search(text) else _find_latin)(text)
+
     def _plain(self, chunk: str) -> list[bytes]:
         if not chunk.isascii() and _WIDE.search(chunk):  # beyond the Latin blocks the library's own rules decide
             if self.library.normalizer is not None:
@@ -108,7 +115,8 @@ class ChunkEncoder:
 
     def __init__(self, pieces: Pieces, solve):
         self.pieces, self.solve = pieces, solve
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}   # by chunk
+        self.known: dict[str, bytes] = {}   # by piece
 
     def _solved(self, chunks: set[str]) -> dict[str, bytes]:
         cut = {c: self.pieces.pieces(c) for c in chunks}
@@ -125,7 +133,38 @@ class ChunkEncoder:
                 out[c] = b"".join(ids[p] if p.__class__ is bytes else p.to_bytes(4, "little") for p in ps)
         return out
 
+    def _learnt(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of new pieces."""
+        names = list(new)
+        flat, counts = self.solve([w.encode() for w in names])
+        data, ends = flat.astype("<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
+        return {w: data[a:b] for w, a, b in zip(names, [0, *ends], ends)}
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Words are split off whole texts at once where the plain rules hold; other texts go by chunks."""
+        if self.pieces.kind != "word":
+            return self._by_chunks(texts)
+        split = [self.pieces.words(t) for t in texts]
+        other = [i for i, ws in enumerate(split) if ws is None]
+        out = dict(zip(other, self._by_chunks([texts[i] for i in other]))) if other else {}
+        if len(self.known) > CACHE_ENTRIES:
+            self.known.clear()
+        known, new = self.known, set()
+        for ws in split:
+            if ws:
+                new.update(ws)
+        new = new.difference(known)
+        long = {}
+        if new:
+            made = self._learnt(new)
+            long = {w: v for w, v in made.items() if len(w) > CACHE_CHARS}
+            known.update(made)
+        done = [out[i] if ws is None else b"".join(map(known.__getitem__, ws)) for i, ws in enumerate(split)]
+        for w in long:
+            del known[w]
+        return done
+
+    def _by_chunks(self, texts: list[str]) -> list[bytes]:
         chunks = [self.pieces.chunks(t) for t in texts]
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
