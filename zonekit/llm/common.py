@@ -22,6 +22,15 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def packed(columns: list[str]) -> Column:
+    """The caller's columns as one struct, so that none of their names meets a name used here."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]) if columns else F.struct(F.lit(0).alias("none"))
+
+
+def unpacked(columns: list[str], pack: str = "_own") -> list[Column]:
+    return [F.col(pack).getField(c).alias(c) for c in columns]
+
+
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, groups, lookup, stored
+from .common import components, groups, lookup, packed, stored
 
 #: Words of an n-gram, similarity of a link, share of such pairs that banding finds at the threshold itself.
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -120,7 +120,7 @@ def signed(df: DataFrame, text: str, n: int, bands: int, rows: int) -> DataFrame
                                            pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], fields=list(kind))
 
     out = df.withColumn("_s", sign(F.col(text).cast("string"))).withColumn("_row", F.monotonically_increasing_id())
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], "_row", F.col("_s.c").alias("_c"), F.col("_s.n").alias("_n"),
+    return out.select(*df.columns, "_row", F.col("_s.c").alias("_c"), F.col("_s.n").alias("_n"),
                       F.col("_s.bands").alias("_bands"))
 
 
@@ -179,13 +179,24 @@ def compared(candidates: DataFrame, n: int, threshold: float) -> DataFrame:
     return rows.mapInArrow(compare, "_c binary, links long, root binary")
 
 
+MADE = ["class_id", "text_class", "copies", "n_links", "is_first"]
+
+
 def linked(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, threshold: float = THRESHOLD,
            recall: float = RECALL, keep: list[str] | None = None) -> DataFrame:
     """``df`` (or its columns ``keep``) with class_id, text_class, copies, n_links, and ``is_first``: whether the row is
     the one of its class_id that stays when one is to."""
-    made = ["class_id", "text_class", "copies", "n_links", "is_first"]
-    df = df.drop(*made)
+    keep = [c for c in (df.columns if keep is None else keep) if c not in MADE]
+    out = classed(df, doc_id, text, n, threshold, recall, keep)
+    return out.select(*[F.col("_text").alias(c) if c == text else F.col("_own").getField(c).alias(c) for c in keep], *MADE)
+
+
+def classed(df: DataFrame, doc_id: str, text: str, n: int, threshold: float, recall: float, keep: list[str]) -> DataFrame:
+    """(_own, _text, *MADE): _own has the columns ``keep`` but for the text."""
     bands, rows = banding(threshold, recall)
+    whole = text in keep
+    df = df.select(packed([c for c in keep if c != text]).alias("_own"), F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    doc_id, text = "_id", "_text"
     base = stored(signed(df, text, n, bands, rows), "signed")
     # a row without words is a class of its own
     named = base.withColumn("_c", F.coalesce("_c", F.encode(F.concat(F.lit("row "), "_row"), "UTF-8")))
@@ -200,9 +211,9 @@ def linked(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = W
     # parts of a block: by size (neighbours only can be similar), then by hash into as many as needed
     size = F.floor(F.log("_n") / math.log(1 / threshold)).cast("int")
     inner = stored(blocks.join(classes, F.col("node") == F.col("_c")).select("root", "_c", "first", size.alias("size")), "inner")
-    whole = inner.groupBy("root").agg(F.count("*").alias("all"))
+    totals = inner.groupBy("root").agg(F.count("*").alias("all"))
     counts = inner.groupBy("root", "size").agg(F.count("*").alias("here"))
-    parts = counts.withColumn("parts", F.ceil(F.col("here") / BLOCK).cast("int")).join(whole, "root")
+    parts = counts.withColumn("parts", F.ceil(F.col("here") / BLOCK).cast("int")).join(totals, "root")
     up = parts.select("root", (F.col("size") - 1).alias("size"), F.col("parts").alias("up"))
     down = parts.select("root", (F.col("size") + 1).alias("size"), F.col("parts").alias("down"))
     plan = stored(parts.join(up, ["root", "size"], "left").join(down, ["root", "size"], "left")
@@ -225,11 +236,14 @@ def linked(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = W
     result = stored(top.join(firsts, "root").select(
         "_c", "copies", F.col("lead.id").alias("class_id"), F.col("first.id").alias("text_class"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.col("lead.row").alias("lead_row")), "text_classes")
-    kept = df.columns if keep is None else keep
-    out = lookup(named.select(*kept, "_row", "_c"), result, ["_c"], "copies", base.count())
-    return out.select(*[F.col(f"`{c}`") for c in kept], "class_id", "text_class", "copies", "n_links", (F.col("_row") == F.col("lead_row")).alias("is_first"))
+    own = ["_own", "_text"] if whole else ["_own"]
+    out = lookup(named.select(*own, "_row", "_c"), result, ["_c"], "copies", base.count())
+    return out.select("_own", F.col("_text") if whole else F.lit(None).alias("_text"), "class_id", "text_class", "copies", "n_links",
+                      (F.col("_row") == F.col("lead_row")).alias("is_first"))
 
 
-def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """One row of each class_id: the one with the least id."""
-    return linked(df, doc_id, text, **how).where("is_first").select(*[F.col(f"`{c}`") for c in df.columns])
+def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, threshold: float = THRESHOLD,
+                 recall: float = RECALL) -> DataFrame:
+    """One row of each class_id: the one with the least id. All columns stay as they are."""
+    out = classed(df, doc_id, text, n, threshold, recall, df.columns).where("is_first")
+    return out.select(*[F.col("_text").alias(c) if c == text else F.col("_own").getField(c).alias(c) for c in df.columns])

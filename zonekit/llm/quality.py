@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, stored, text_or_empty
+from .common import lookup, packed, stored, text_or_empty, unpacked
 
 #: Texts that a group needs for fences of its own, width of the fences, size parameter of the sketches.
 GROUP_DOCS, WIDTH, SKETCH_K = 100, 4.0, 400
@@ -36,9 +36,8 @@ def _without(text: str, chars: str) -> Column:
 
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the counts of COUNTS, ``base_failed`` and the ratios of FLOORS."""
-    rest = df.drop(*COUNTS, *FLOORS, "base_failed")
-    own = rest.columns
-    d = rest.withColumn("_t", text_or_empty(text))
+    own = [c for c in df.columns if c not in {*COUNTS, *FLOORS, "base_failed"}]
+    d = df.select(packed(own).alias("_own"), text_or_empty(f"`{text}`").alias("_t"))  # no name of the caller's meets one of these
     d = d.withColumn("_w", F.expr(r"array_remove(split(_t, '[ \\t-\\r]+'), '')"))
     d = d.withColumn("_l", F.expr(r"filter(split(_t, '\\n'), x -> x rlike '[^ \\t-\\r]')"))
     d = d.withColumn("n_words", F.size("_w").cast("long"))
@@ -58,7 +57,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     d = d.withColumn("n_dup_lines", (F.col("_n") - F.size(F.array_distinct("_l"))).cast("long"))
     words = F.greatest(F.col("n_words"), F.lit(1))
     return d.select(
-        *[F.col(f"`{c}`") for c in own], *COUNTS,
+        *unpacked(own), *COUNTS,
         F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words").alias("base_failed"),
         (F.col("n_symbols") / words).alias("symbol_ratio"), (F.col("n_dup_lines") / F.greatest("_n", F.lit(1))).alias("dup_line_ratio"),
         (F.col("n_repeat_words") / words).alias("repeat_ratio"), (F.col("word_chars") / words).alias("word_length"))
@@ -86,25 +85,41 @@ def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source")
                          (middle["word_length"] - WIDTH * spread["word_length"]).alias("least_word_length"))
 
 
-def judged(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-           keep: list[str] | None = None) -> DataFrame:
-    """``df`` (or its columns ``keep``) with counts, ratios, base_failed, the fences of each row and ``kept``."""
-    fences = [f"most_{r}" for r in FLOORS] + ["least_word_length"]
-    measured = measure(df.drop(*fences, "kept", "rows"), text)
-    if keep is not None:
-        made = [*COUNTS, "base_failed", *FLOORS]
-        measured = measured.select(*dict.fromkeys([*keep, lang, source, *made]))
-    measured = stored(measured, "measured")
-    limits = stored(thresholds(measured, lang, source), "thresholds")
-    limits = limits.withColumnsRenamed({"lang": lang, "source": source})
-    out = lookup(measured, limits, [lang, source], "rows", measured.count()).drop("rows")
+def verdict() -> Column:
+    """Whether a measured row passes the base rules and its fences."""
     inside = F.col("word_length") >= F.col("least_word_length")
     for r in FLOORS:
         inside &= F.col(r) <= F.col(f"most_{r}")
-    out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
-    return out if keep is None else out.drop(*{lang, source}.difference(keep))
+    return ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
+
+
+FENCES = [*[f"most_{r}" for r in FLOORS], "least_word_length"]
+
+
+def judged(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
+           keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with counts, ratios, base_failed, the fences of each row and ``kept``."""
+    made = {*COUNTS, "base_failed", *FLOORS, *FENCES, "kept"}
+    keep = [c for c in (df.columns if keep is None else keep) if c not in made]
+    rows = df.select(packed(keep).alias("_own"), F.col(f"`{lang}`").alias("_lang"), F.col(f"`{source}`").alias("_source"), F.col(f"`{text}`").alias("_text"))
+    measured = stored(measure(rows, "_text").drop("_text"), "measured")
+    limits = stored(thresholds(measured, "_lang", "_source"), "thresholds").withColumnsRenamed({"lang": "_lang", "source": "_source", "rows": "_rows"})
+    out = lookup(measured, limits, ["_lang", "_source"], "_rows", measured.count())
+    return out.select(*unpacked(keep), *COUNTS, "base_failed", *FLOORS, *FENCES, verdict().alias("kept"))
 
 
 def filtered(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of ``df`` that pass the base rules and the fences of their language and source."""
-    return judged(df, text, lang, source).where("kept").select(*[F.col(f"`{c}`") for c in df.columns])
+    """The rows of ``df`` that pass the base rules and the fences of their language and source; all columns as they are.
+
+    Texts are measured twice, for the sketches and for the verdict, so that no copy of them is written.
+    """
+    own = df.columns
+    rows = df.select(F.col(f"`{text}`").alias("_text"), F.col(f"`{lang}`").alias("_lang"), F.col(f"`{source}`").alias("_source"),
+                     packed([c for c in own if c != text]).alias("_rest"))
+    measured = measure(rows.drop("_rest"), "_text").drop("_text")
+    limits = stored(thresholds(measured, "_lang", "_source"), "thresholds").withColumnsRenamed({"lang": "_lang", "source": "_source", "rows": "_rows"})
+    total = limits.agg(F.sum("_rows")).first()[0] or 0
+    # fences first: each row is then measured once, behind the join
+    fenced = lookup(rows, limits.select("_lang", "_source", "_rows", *FENCES), ["_lang", "_source"], "_rows", total)
+    out = measure(fenced, "_text").where(verdict())
+    return out.select(*[F.col("_text").alias(c) if c == text else F.col("_rest").getField(c).alias(c) for c in own])
