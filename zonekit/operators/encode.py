@@ -62,10 +62,10 @@ def fold_stats(train: DataFrame, key: str, y: str, fold: str = "fold") -> DataFr
 
 
 def kfold_table(train: DataFrame, key: str, y: str = "invalid_ratio", fold: str = "fold",
-                smooth: float = 30.0, mu: Column | None = None, out: str = "te") -> DataFrame:
+                smooth: float = 30.0, mu: Column | None = None, out: str = "te", absent: str = "mean") -> DataFrame:
     """H2 encoding table ``(key, fold, te)``: statistics of all other folds.
 
-    A key absent from every other fold gets ``mu``.
+    A key absent from every other fold gets ``mu``, with ``absent='null'`` no value, for a fallback of the caller's.
     """
     mu = global_mean(train, y) if mu is None else mu
     c = fold_stats(train, key, y, fold).where(F.col(key).isNotNull())
@@ -73,7 +73,8 @@ def kfold_table(train: DataFrame, key: str, y: str = "invalid_ratio", fold: str
     other_n = F.sum("_n").over(of_key) - F.col("_n")
     other_s = F.sum("_s").over(of_key) - F.col("_s")
     c = c.select(key, fold, other_s.alias("_os"), other_n.alias("_on"))
-    te = F.when(F.col("_on") > 0, smooth_expr(F.col("_os"), F.col("_on"), smooth, mu)).otherwise(mu)
+    te = F.when(F.col("_on") > 0, smooth_expr(F.col("_os"), F.col("_on"), smooth, mu))
+    te = te.otherwise(mu) if absent == "mean" else te
     return c.select(key, fold, as_stored(te).alias(out))
 
 
@@ -107,6 +108,32 @@ def encode_train_test(train: DataFrame, test: DataFrame, key: str, y: str = "inv
     return tr, te, enc
 
 
+def subset_encodings(sub: DataFrame, rows: DataFrame, chain, y: str = "invalid_ratio", mu: Column | None = None) -> DataFrame:
+    """H5: ``rows`` with the full encodings of ``sub`` for each (key, smoothing, column) of ``chain``; a key that ``sub``
+    lacks takes the column before it, the first one the mean of ``sub``."""
+    mu = global_mean(sub, y) if mu is None else mu
+    before = as_stored(mu)
+    for key, smooth, out in chain:
+        rows = apply_encoding(rows, fit_encoding(sub, key, y, smooth, mu), key, out, fill=before)
+        before = F.col(out)
+    return rows
+
+
+def chained_encodings(train: DataFrame, test: DataFrame | None, chain, y: str = "invalid_ratio", fold: str = "fold") -> tuple[DataFrame, DataFrame | None]:
+    """H6: (train with K-fold encodings, test with full ones) for each (key, smoothing, column) of ``chain``.
+
+    Within each fold a key that no other fold has takes the encoding before it in the chain, the first one the mean. So a
+    period cell of a single fold carries its cell's out-of-fold encoding.
+    """
+    mu = global_mean(train, y)
+    before, out = as_stored(mu), train
+    for key, smooth, name in chain:
+        table = kfold_table(train, key, y, fold, smooth, mu, "_zk_te", absent="null")
+        out = out.join(table, on=[key, fold], how="left").withColumn(name, F.coalesce("_zk_te", before)).drop("_zk_te")
+        before = F.col(name)
+    return out, None if test is None else subset_encodings(train, test, chain, y, mu)
+
+
 def encoding_report(df: DataFrame, col: str, enc: DataFrame | None = None,
                     key: str | None = None) -> DataFrame:
     """H8: categories, unseen rows and %, mean, std, range of an encoded column."""

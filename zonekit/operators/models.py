@@ -5,24 +5,31 @@ what is reproduced is the job around it: fold loop, weights, OOF assembly,
 test averaging, scoring by Spearman, comparisons. Folds are independent Spark
 jobs submitted from a small thread pool, so the cluster runs them side by side.
 Every prediction table is keyed by ``row_id`` - nothing relies on row order.
+
+A fold is a unit of work: its OOF rows, its part of the test rows and its model are written to one folder, which
+gets its name when all of them are there. A run that names the folder (``path``) finds the folds that an
+earlier run finished, reads them, and fits the others (K2).
 """
 
 from __future__ import annotations
 
+import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import scratch_path
+from ..sources import io
+from . import trees
 from .stats import auc, spearman
 
 DEFAULT_GBT = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "seed": 42, "maxBins": 64}
@@ -38,9 +45,14 @@ class OOFResult:
     test: DataFrame | None              # row_id, pred (mean over folds)
     fold_scores: DataFrame              # fold, rho
     models: list = field(default_factory=list)
+    best_iters: list = field(default_factory=list)    # trees kept by fold, under patience
+    resumed: list = field(default_factory=list)       # folds read from an earlier run
+
+
+_MODELS = {"gbt": GBTRegressionModel, "gbt_clf": GBTClassificationModel, "rf": RandomForestRegressionModel}
 
 
-def _learner(kind: str, label: str, params: dict, weight: str | None, validation: str | None):
+def _learner(kind: str, label: str, params: dict, weight: str | None = None):
     p = dict(DEFAULT_GBT)
     p.update(params or {})
     common = {"featuresCol": "features", "labelCol": label, "predictionCol": "pred"}
@@ -49,8 +61,7 @@ def _learner(kind: str, label: str, params: dict, weight: str | None, validation
     if kind == "rf":
         keep = {k: v for k, v in p.items() if k in ("maxDepth", "seed", "maxBins", "numTrees", "subsamplingRate")}
         return RandomForestRegressor(**common, **keep)
-    if validation:
-        common["validationIndicatorCol"] = validation
+    p.pop("numTrees", None)
     if kind == "gbt_clf":
         return GBTClassifier(**common, **p).setProbabilityCol("prob").setRawPredictionCol("raw")
     return GBTRegressor(**common, **p)
@@ -58,52 +69,65 @@ def _learner(kind: str, label: str, params: dict, weight: str | None, validation
 
 def oof_train(train: DataFrame, test: DataFrame | None, features: Sequence[str], label: str,
               fold_col: str = "fold", folds: Sequence[int] = (0, 1, 2, 3, 4), kind: str = "gbt",
-              params: dict | None = None, weight: str | None = None, early_stop: bool = False,
-              score_col: str | None = None, parallel: int = 5, fit_filter=None) -> OOFResult:
+              params: dict | None = None, weight: str | None = None, patience: int | None = None,
+              score_col: str | None = None, parallel: int = 5, fit_filter=None, extra_fit: DataFrame | None = None,
+              per_fold: Callable[[int, DataFrame], DataFrame] | None = None, path: str | None = None) -> OOFResult:
     """K2-K5: one model per fold; OOF prediction for every train row, mean-of-folds for test.
 
-    ``early_stop`` uses the held-out fold as the validation set (K3, MLlib's
-    ``validationTol`` rule). ``weight`` weights training rows only (K4).
-    ``score_col`` is the column scored against (the raw target for K5).
-    ``fit_filter(fold) -> Column`` removes rows from the fit side only (I10).
+    ``patience`` (K3): the held-out fold's squared error is taken after every tree; the model keeps the trees up to the
+    best one found before so many in a row brought nothing, and predicts with those alone.
+    ``weight`` weights training rows only (K4). ``score_col`` is the column scored against (the raw target for K5).
+    ``fit_filter(fold) -> Column`` removes rows from the fit side only (I10); ``extra_fit`` rows join every fit side and
+    no held-out fold (I8). ``per_fold(fold, df)`` adds columns that only the fit side of a fold may shape (K17).
+    ``path``: a folder that keeps finished folds with their models; folds found there aren't fitted again.
     """
     score_col = score_col or label
-    tr = assemble(train, features).persist(StorageLevel.MEMORY_AND_DISK)
-    te = assemble(test, features).persist(StorageLevel.MEMORY_AND_DISK) if test is not None else None
+    spark = train.sparkSession
+    own = per_fold or (lambda k, df: df)
+    base, keep = path or scratch_path(spark, "folds"), path is not None
+    tr = train if per_fold else assemble(train, features).persist(StorageLevel.MEMORY_AND_DISK)
+    te = test if test is None or per_fold else assemble(test, features).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = (lambda k, df: assemble(own(k, df), features)) if per_fold else (lambda k, df: df)
+    more = None if extra_fit is None or per_fold else assemble(extra_fit, features)
 
     def run(k: int):
+        home = f"{base}/fold-{k}"
+        if io.exists(spark, home):
+            model = _MODELS[kind].load(f"{home}/model") if keep else None
+            return model, True
         fit = tr.where(F.col(fold_col) != k)
         if fit_filter is not None:
             fit = fit.where(fit_filter(k))
-        valid = tr.where(F.col(fold_col) == k)
-        vcol = None
-        if early_stop:
-            vcol = "_zk_is_valid"
-            fit = fit.withColumn(vcol, F.lit(False)).unionByName(valid.withColumn(vcol, F.lit(True)))
-        model = _learner(kind, label, params or {}, weight, vcol).fit(fit)
+        fit, valid = ready(k, fit), ready(k, tr.where(F.col(fold_col) == k))
+        used = [c for c in ("features", label, weight) if c]
+        fit = fit.select(*used)
+        if extra_fit is not None:
+            fit = fit.unionByName((more if more is not None else ready(k, extra_fit)).select(*used))
+        model = _learner(kind, label, params or {}, weight).fit(fit)
+        if patience is not None:
+            losses = trees.staged_loss(trees.read_trees(model, spark), valid, features, label)
+            model = trees.truncated(model, trees.best_prefix(losses, patience), spark)
         # classifiers are scored on P(class 1), regressors on the prediction
         score = vector_to_array("prob")[1] if kind == "gbt_clf" else F.col("pred").cast("double")
-        oof = model.transform(valid).select("row_id", F.lit(k).alias("fold"), score.alias("pred"), score_col)
-        tp = model.transform(te).select("row_id", score.alias("pred")) if te is not None else None
-        return k, model, oof, tp
+        parts = {"oof": model.transform(valid).select("row_id", F.lit(k).alias("fold"), score.alias("pred"), score_col)}
+        if te is not None:
+            parts["test"] = model.transform(ready(k, te)).select("row_id", score.alias("pred"))
+        io.commit(spark, home, parts, model if keep else None)
+        return model, False
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        res = list(pool.map(run, folds))
-    oof = None
-    tests = None
-    for _, _, o, t in res:
-        oof = o if oof is None else oof.unionByName(o)
-        if t is not None:
-            tests = t if tests is None else tests.unionByName(t)
+        done = list(pool.map(run, folds))
+    for frame in (tr, te):
+        if frame is not None and not per_fold:
+            frame.unpersist()
+    oof, tests = (io.read_parts(spark, [f"{base}/fold-{k}/{part}" for k in folds]) if part == "oof" or te is not None else None for part in ("oof", "test"))
     test_mean = None
     if tests is not None:
-        test_mean = stored(tests.groupBy("row_id").agg(F.avg("pred").alias("pred"), F.count(F.lit(1)).alias("n_folds")), "test_mean")
-        te.unpersist()
-    # predictions are written once, so nothing stays cached behind the result
-    oof = stored(oof, "oof")
-    tr.unpersist()
+        test_mean = tests.groupBy("row_id").agg(F.avg("pred").alias("pred"), F.count(F.lit(1)).alias("n_folds"))
     scores = spearman(oof, "pred", score_col, by=["fold"])
-    return OOFResult(oof.select("row_id", "fold", "pred", score_col), test_mean, scores, [m for _, m, _, _ in res])
+    models = [m for m, _ in done]
+    return OOFResult(oof.select("row_id", "fold", "pred", score_col), test_mean, scores, models,
+                     [m.getNumTrees for m in models] if models[0] is not None else [], [k for k, (_, old) in zip(folds, done) if old])
 
 
 def rf_baseline(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 10, seed: int = 42) -> DataFrame:
@@ -150,40 +174,132 @@ def test_likeness(model, df: DataFrame, features: Sequence[str], out: str = "p_t
 def fit_score(fit: DataFrame, valid: DataFrame, features: Sequence[str], label: str, params: dict | None = None,
               weight: str | None = None) -> DataFrame:
     """K10 building block: one fit, Spearman on the validation rows."""
-    m = _learner("gbt", label, params or {}, weight, None).fit(assemble(fit, features))
+    m = _learner("gbt", label, params or {}, weight).fit(assemble(fit, features))
     p = m.transform(assemble(valid, features))
     return spearman(p, "pred", label)
 
 
-def random_search(train: DataFrame, features: Sequence[str], label: str, space: dict, n_trials: int = 4,
-                  folds: Sequence[int] = (0, 1, 2), seed: int = 42) -> DataFrame:
-    """Random draws from the parameter ranges, mean OOF Spearman over 3 folds each.
+# ---- guided search (K16) -------------------------------------------------------------------------------------
+
+def _unit(bounds: tuple, value: float) -> float:
+    """Place of a value in its range, 0 to 1; ranges (low, high) or (low, high, 'log')."""
+    low, high = map(math.log, bounds[:2]) if "log" in bounds else map(float, bounds[:2])
+    value = math.log(value) if "log" in bounds else float(value)
+    return (value - low) / (high - low) if high > low else 0.0
+
+
+def _value(bounds: tuple, at: float):
+    low, high = map(math.log, bounds[:2]) if "log" in bounds else map(float, bounds[:2])
+    x = low + min(max(at, 0.0), 1.0) * (high - low)
+    x = math.exp(x) if "log" in bounds else x
+    if all(isinstance(b, int) for b in bounds[:2]):
+        return min(max(int(round(x)), bounds[0]), bounds[1])
+    return round(min(max(x, bounds[0]), bounds[1]), 6)
+
+
+def _density(at: float, seen: Sequence[float]) -> float:
+    """A normal kernel on every value seen and a flat part of weight 1, on 0 to 1."""
+    width = max(0.08, 1.0 / (1 + len(seen)))
+    mass = lambda c: 0.5 * (math.erf((1 - c) / width / math.sqrt(2)) + math.erf(c / width / math.sqrt(2)))
+    kernels = sum(math.exp(-((at - c) / width) ** 2 / 2) / (width * math.sqrt(2 * math.pi) * mass(c)) for c in seen)
+    return (1.0 + kernels) / (1 + len(seen))
+
+
+def propose(space: dict, trials: Sequence[tuple[dict, float]], rng: random.Random, startup: int = 4, good_share: float = 0.25, draws: int = 24) -> dict:
+    """Parameters of the next trial: at random before ``startup`` scores are known; then, for each parameter, the draw from the density of the
+    good trials (the best ``good_share``) at which it exceeds the density of the others most."""
+    scored = sorted((t for t in trials if t[1] is not None), key=lambda t: -t[1])
+    out = {}
+    n_good = max(1, math.ceil(good_share * len(scored)))
+    for name, bounds in space.items():
+        if isinstance(bounds, list):  # choices
+            if len(scored) < startup:
+                out[name] = rng.choice(bounds)
+                continue
+            share = lambda c, part: (1 + sum(t[0][name] == c for t in part)) / (len(bounds) + len(part))
+            out[name] = max(bounds, key=lambda c: share(c, scored[:n_good]) / share(c, scored[n_good:]) * (1 + 1e-3 * rng.random()))
+            continue
+        if len(scored) < startup:
+            out[name] = _value(bounds, rng.random())
+            continue
+        good, bad = ([_unit(bounds, t[0][name]) for t in part] for part in (scored[:n_good], scored[n_good:]))
+        width = max(0.08, 1.0 / (1 + len(good)))
+
+        def draw() -> float:
+            centre = rng.choice([None, *good])
+            return rng.random() if centre is None else min(max(rng.gauss(centre, width), 0.0), 1.0)
+        out[name] = _value(bounds, max((draw() for _ in range(draws)), key=lambda a: _density(a, good) / _density(a, bad)))
+    return out
+
+
+def guided_search(train: DataFrame, features: Sequence[str], label: str, space: dict, n_trials: int = 12, together: int = 4,
+                  fold_col: str = "fold", folds: Sequence[int] = (0, 1, 2), weight: str | None = None, params: dict | None = None,
+                  seed: int = 42) -> list[tuple[dict, float]]:
+    """(parameters, mean OOF rho) of every trial, in order. Trials run ``together`` at a time as concurrent jobs; each such
+    round is proposed from the scores of all rounds before, so results don't depend on which job ends first.
+
+    ``space``: name -> (low, high), (low, high, 'log') or a list of choices. The driver holds a row a trial.
+    """
+    rng, done = random.Random(seed), []
+
+    def score(own: dict) -> float | None:
+        res = oof_train(train, None, features, label, fold_col, folds, params={**(params or {}), **own}, weight=weight, parallel=len(folds))
+        return res.fold_scores.agg(F.avg("rho")).first()[0]
+
+    startup = max(together, min(4, n_trials))
+    while len(done) < n_trials:
+        batch = [propose(space, done, rng, startup) for _ in range(min(together, n_trials - len(done)))]
+        with ThreadPoolExecutor(max_workers=len(batch)) as pool:
+            done += list(zip(batch, pool.map(score, batch)))
+    return done
+
+
+def best_trial(trials: Sequence[tuple[dict, float]]) -> dict:
+    """Parameters of the best score, the first of equal ones."""
+    scored = [t for t in trials if t[1] is not None]
+    if not scored:
+        raise ValueError("no trial has a score")
+    return max(scored, key=lambda t: t[1])[0]
+
 
-    Draws are made on the driver (a small parameter list); every trial is a
-    normal distributed fit. Returns one row per trial, best first.
+# ---- categories (K17) ----------------------------------------------------------------------------------------
+
+def dense_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
+    """(col, rows, out): every distinct value with its number from 0, frequent ones first, equal counts by value. Null is no value.
+
+    Values are counted, range-partitioned by count, and numbered by running offsets; none passes through the driver.
     """
-    from pyspark.sql import SparkSession
-    rng = random.Random(seed)
-    trials = []
-    for t in range(n_trials):
-        p = {}
-        for k, v in space.items():
-            if isinstance(v, tuple) and all(isinstance(x, int) for x in v):
-                p[k] = rng.randint(v[0], v[1])
-            elif isinstance(v, tuple):
-                p[k] = round(rng.uniform(v[0], v[1]), 4)
-            else:
-                p[k] = rng.choice(v)
-        res = oof_train(train, None, features, label, folds=folds, params=p)
-        score = res.fold_scores.agg(F.avg("rho")).collect()[0][0]
-        trials.append((t, str(sorted(p.items())), float(score) if score is not None else None))
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(trials, "trial int, params string, mean_rho double")
+    from .ranks import row_position
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
+    placed = row_position(counts.withColumn("_zk_less", -F.col("rows")), ["_zk_less", col], out=out)
+    return placed.select(col, "rows", (F.col(out) - 1).cast("long").alias(out))
+
+
+def ordered_bins(train: DataFrame, col: str, y: str, bins: int, fold_col: str = "fold", folds: Sequence[int] = (0, 1, 2, 3, 4), out: str = "bin",
+                 smooth: float = 10.0) -> DataFrame:
+    """(fold, col, out) for the fit side of every fold: values ordered by their smoothed mean target there and cut to ``bins`` bins of about as
+    many rows, numbered from 0. Whatever the number of values, a learner sees at most ``bins`` and one for unseen values.
+
+    Sums by (value, fold) are one pass over the rows; a fold's sums are those of all less its own. Values order by running
+    totals within each fold, so none is one task's work.
+    """
+    from .encode import fold_stats
+    from .ranks import running_totals
+    sums = fold_stats(train.where(F.col(col).isNotNull()), col, y, fold_col)
+    sides = F.explode(F.array(*[F.lit(int(k)) for k in folds])).alias("_zk_side")
+    side = sums.select(col, "_s", "_n", fold_col, sides).where(F.col(fold_col) != F.col("_zk_side"))
+    side = side.groupBy("_zk_side", col).agg(F.sum("_s").alias("s"), F.sum("_n").alias("n")).where("n > 0")
+    mu = train.select(F.avg(y)).scalar()
+    side = side.withColumn("_zk_mean", ((F.col("s") + F.lit(smooth) * mu) / (F.col("n") + F.lit(smooth))).cast("float"))
+    cum = running_totals(side, ["_zk_mean", col], ["n"], ["_zk_side"])
+    middle = (F.col("n_cum") - F.col("n") / 2) / F.col("n_all")
+    return cum.select(F.col("_zk_side").alias("fold"), col, F.least(F.floor(middle * F.lit(bins)), F.lit(bins - 1)).cast("int").alias(out))
 
 
-def categorical_index(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Cell id as a categorical index; unseen ids get their own bucket."""
-    return StringIndexer(inputCol=col, outputCol=out, handleInvalid="keep").fit(df).transform(df)
+def with_bins(df: DataFrame, table: DataFrame, fold: int, col: str, bins: int, out: str = "bin") -> DataFrame:
+    """``df`` with the bin of ``col`` in the fit side of ``fold``; ``bins`` (a bin of its own) for values not seen there and null."""
+    own = table.where(F.col("fold") == fold).select(F.col(col), F.col(out).alias("_zk_bin"))
+    return df.join(own, on=col, how="left").withColumn(out, F.coalesce("_zk_bin", F.lit(bins)).cast("double")).drop("_zk_bin")
 
 
 def standardise(fit: DataFrame, apply: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -222,6 +338,6 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     return df.sparkSession.createDataFrame(rows, "feature string, rho_drop double")
 
 
-def at_limit(models: list, max_iter: int) -> int:
-    """Number of fold models that used every allowed tree (no early stop)."""
-    return sum(1 for m in models if m.getNumTrees >= max_iter)
+def at_limit(best_iters: Sequence[int], max_iter: int, within: int = 10) -> int:
+    """Number of folds whose best iteration lies within ``within`` of the limit: more trees might have helped."""
+    return sum(1 for b in best_iters if b > 0 and b >= max_iter - within)

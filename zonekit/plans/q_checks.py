@@ -8,7 +8,7 @@ from ..functions import features as fx
 from ..operators import checks, encode, stats
 from ..operators import ensemble as E
 from ..sources.fixtures import zone_obs
-from . import pipeline
+from . import pipeline, q_ensemble
 from . import sqltext as S
 from .common import keyed_split
 from .registry import query, r6
@@ -57,8 +57,10 @@ def m3_check_columns(spark, sf):
     return checks.check_columns(ftr, fte)
 
 
-@query("m4_check_rows", sql=K + """
-SELECT (SELECT count(*) FROM ktr) AS rows_before, (SELECT count(*) FROM ktr) AS rows_after, 'PASS' AS status""")
+@query("m4_check_rows", sql=K + S.kfold_cte("ec", "ktr", "grid_id", 30) + S.kfold_cte("ep", "ktr", "grid_period", 50) + """
+SELECT rows_before, rows_after, CASE WHEN rows_before = rows_after THEN 'PASS' ELSE 'FAIL' END AS status FROM
+ (SELECT (SELECT count(*) FROM ktr) AS rows_before, (SELECT count(*) FROM ktr g JOIN ec ON g.grid_id = ec.grid_id AND g.fold = ec.fold
+   JOIN ep ON g.grid_period = ep.grid_period AND g.fold = ep.fold JOIN (SELECT grid_id, count(*) n FROM ktr GROUP BY grid_id) st ON st.grid_id = g.grid_id) AS rows_after) t""")
 def m4_check_rows(spark, sf):
     tr, te = keyed_split(spark, sf)
     ftr, _ = pipeline.features(tr, te)
@@ -120,6 +122,30 @@ def m7_compare(spark, sf):
                                         F.when(F.col("rho") >= best, "BEST").otherwise("").alias("status"))
 
 
+_M7_PAIRS = {"plain": ("pred_a", "pred_b"), "cell": ("grid_te", "pred_b"), "period": ("grid_period_te", "pred_b")}
+_M7_LONG = " UNION ALL ".join(f"SELECT '{s}{sub}' AS k, '{s}' AS strategy, {a} AS a, {b} AS b, {_Y} FROM enc{where}" for s, (a, b) in _M7_PAIRS.items()
+                              for sub, where in (("", ""), (":sub", " WHERE month <= 5")))
+
+
+@query("m7_strategies", sql=K + q_ensemble._ENC + f", lg AS ({_M7_LONG})" + q_ensemble.curve_sql("lg", ["a", "b"], by="k") + """
+, r AS (SELECT strategy, corr(a, b) AS correlation FROM lg WHERE k = strategy GROUP BY strategy)
+, t AS (SELECT k AS strategy, arg_max(c.point, (c.rho, -c.point)) AS point, max(c.rho) AS rho, max(CASE WHEN w.i1 = 0 THEN c.rho END) AS rho_a,
+  max(CASE WHEN w.i0 = 0 THEN c.rho END) AS rho_b FROM c JOIN c_w w ON w.point = c.point WHERE k NOT LIKE '%:sub' GROUP BY k)
+, u AS (SELECT t.*, w.i0 / 20e0 AS weight_a, w.i1 / 20e0 AS weight_b, s.rho AS rho_subset, correlation FROM t JOIN c_w w ON w.point = t.point
+  LEFT JOIN c s ON s.k = t.strategy || ':sub' AND s.point = t.point JOIN r ON r.strategy = t.strategy)
+, b AS (SELECT rho, rho_subset FROM u WHERE strategy = 'plain')
+SELECT strategy, round(rho_a, 6) AS rho_a, round(rho_b, 6) AS rho_b, round(rho, 6) AS rho, round(rho_subset, 6) AS rho_subset, round(correlation, 6) AS correlation,
+ round(weight_a, 6) AS weight_a, round(weight_b, 6) AS weight_b, round(rho - (SELECT rho FROM b), 6) AS delta,
+ round(rho_subset - (SELECT rho_subset FROM b), 6) AS delta_subset, CASE WHEN strategy = (SELECT min(strategy) FROM u WHERE rho = (SELECT max(rho) FROM u)) THEN 'BEST'
+ WHEN rho >= (SELECT rho FROM b) - 0.0005 THEN 'PASS' ELSE 'FAIL' END AS status FROM u""")
+def m7_strategies(spark, sf):
+    """Three strategies, each a pair of predictions: scores, best weights, months 1-5, correlation, deltas and status."""
+    d = q_ensemble._enc_train(spark, sf)
+    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("strategy"), F.col(a).alias("a"), F.col(b).alias("b")) for s, (a, b) in _M7_PAIRS.items()])).alias("m")
+    t = E.compare_strategies(d.select(_Y, "month", pairs).select(_Y, "month", "m.*"), "strategy", "a", "b", _Y, F.col("month") <= 5, "plain")
+    return t.select("strategy", *[r6(c) for c in ("rho_a", "rho_b", "rho", "rho_subset", "correlation", "weight_a", "weight_b", "delta", "delta_subset")], "status")
+
+
 _M8_C, _M8_R = S.spearman_sql("(SELECT month, split, 0.5e0 * pred_a + 0.5e0 * pred_b AS p, invalid_ratio FROM zone_obs)",
                               "p", "invalid_ratio", ["split", "month"], "s")
 

@@ -91,8 +91,9 @@ def h5_subset_encoding(spark, sf):
     return t.select("row_id", r6(F.coalesce("c_te", m), "grid_te"), r6(F.coalesce("p_te", "c_te", m), "grid_period_te"))
 
 
-_H6 = (", s5 AS (SELECT * FROM ktr WHERE month <= 5)" + S.kfold_cte("c6", "s5", "grid_id", 100)
-       + S.kfold_cte("p6", "s5", "grid_period", 150))
+_H6 = (", s5 AS (SELECT * FROM ktr WHERE month <= 5)" + S.kfold_cte("c6", "s5", "grid_id", 30, absent="null")
+       + S.kfold_cte("p6", "s5", "grid_period", 50, absent="null"))
+_CHAIN = [("grid_id", 30.0, "grid_te"), ("grid_period", 50.0, "grid_period_te")]
 
 
 @query("h6_subset_kfold", sql=K + _H6 + f"""
@@ -101,12 +102,27 @@ FROM s5 g LEFT JOIN c6 ON g.grid_id = c6.grid_id AND g.fold = c6.fold LEFT JOIN
 def h6_subset_kfold(spark, sf):
     """K-fold encodings inside the months 1-5 subset, period falling back to cell per fold."""
     tr, _ = keyed_split(spark, sf)
-    sub = tr.where("month <= 5")
-    mu = encode.global_mean(sub, _Y)
-    c = encode.kfold_encode(sub, "grid_id", _Y, "fold", 100.0, "grid_te", mu)
-    tab = encode.kfold_table(sub, "grid_period", _Y, "fold", 150.0, mu, "_p")
-    c = c.join(tab, on=["grid_period", "fold"], how="left")
-    return c.select("row_id", r6("grid_te"), r6(F.coalesce("_p", "grid_te"), "grid_period_te"))
+    out, _ = encode.chained_encodings(tr.where("month <= 5"), None, _CHAIN, _Y)
+    return out.select("row_id", r6("grid_te"), r6("grid_period_te"))
+
+
+# The same one level finer (cell x month x period x day), where many keys stand in a single fold only.
+_FINE = "grid_period * 100 + CAST(month AS BIGINT)"
+_H6F = (f", s5 AS (SELECT *, ({_FINE}) * 10 + CAST(dow AS BIGINT) AS fine FROM ktr WHERE month <= 5)" + S.kfold_cte("c6", "s5", "grid_id", 30, absent="null")
+        + S.kfold_cte("p6", "s5", "grid_period", 50, absent="null") + S.kfold_cte("f6", "s5", "fine", 50, absent="null"))
+
+
+@query("h6_chained_kfold", sql=K + _H6F + f"""
+SELECT g.row_id, round(coalesce(f6.te, p6.te, c6.te, {_mu_sql('s5')}), 6) AS fine_te, CAST(f6.te IS NULL AS INTEGER) AS lone
+FROM s5 g LEFT JOIN c6 ON g.grid_id = c6.grid_id AND g.fold = c6.fold LEFT JOIN p6 ON g.grid_period = p6.grid_period AND g.fold = p6.fold
+ LEFT JOIN f6 ON g.fine = f6.fine AND g.fold = f6.fold""")
+def h6_chained_kfold(spark, sf):
+    """Three levels: cell, period, day of the month's period; ``lone`` marks rows whose finest key no other fold has."""
+    tr, _ = keyed_split(spark, sf)
+    sub = tr.where("month <= 5").withColumn("fine", F.expr(f"({_FINE}) * 10 + CAST(dow AS BIGINT)"))
+    out, _ = encode.chained_encodings(sub, None, [*_CHAIN, ("fine", 50.0, "fine_te")], _Y)
+    lone = encode.kfold_table(sub, "fine", _Y, "fold", 50.0, absent="null").select("fine", "fold", F.col("te").isNull().cast("int").alias("lone"))
+    return out.join(lone, on=["fine", "fold"]).select("row_id", r6("fine_te"), "lone")
 
 
 @query("h7_apply_encodings", sql=K + S.kfold_cte("ec", "ktr", "grid_id", 30) + S.kfold_cte("ep", "ktr", "grid_period", 50)

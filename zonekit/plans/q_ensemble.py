@@ -141,6 +141,52 @@ def l6_choose_strategy(spark, sf):
     return s.select("strategy", r6("rho"), (F.col("strategy") == pick).cast("int").alias("chosen"))
 
 
+_L6_FIRST, _L6_LAYERS = ("pred_a", "pred_b"), {"layer1": ("grid_te", "pred_b"), "layer2": ("grid_period_te", "pred_a")}
+
+
+def _l6_sql(threshold: float) -> str:
+    """Curves of the three pairs, of the second search over their best blends, and the ordered choice."""
+    pairs = {"first": _L6_FIRST, **_L6_LAYERS}
+    long = " UNION ALL ".join(f"SELECT '{s}{sub}' AS k, {a} AS a, {b} AS b, {_Y}, month FROM enc{where}" for s, (a, b) in pairs.items()
+                              for sub, where in (("", ""), (":sub", " WHERE month <= 5")))
+    curve = curve_sql("lg", ["a", "b"], by="k", tag="c")
+    second = curve_sql("lb", ["a", "b"], by="k", tag="d")
+    weight = lambda k: f"(SELECT w.i0 FROM top JOIN c_w w ON w.point = top.point WHERE k = {k})"
+    blend = lambda k, x, y: f"(CAST({weight(k)} AS DOUBLE) * {x} + CAST(20 - {weight(k)} AS DOUBLE) * {y}) / 20e0"
+    layer = (f"CASE WHEN (SELECT k FROM lead) = 'layer1' THEN {blend(chr(39) + 'layer1' + chr(39), 'grid_te', 'pred_b')} "
+             f"ELSE {blend(chr(39) + 'layer2' + chr(39), 'grid_period_te', 'pred_a')} END")
+    return K + _ENC + f", lg AS ({long})" + curve + f"""
+, top AS (SELECT k, arg_max(point, (rho, -point)) AS point, max(rho) AS rho FROM c WHERE k NOT LIKE '%:sub' GROUP BY k)
+, lead AS (SELECT k, rho, rho >= {threshold} AS good FROM top WHERE k <> 'first' ORDER BY rho DESC, k LIMIT 1)
+, bl AS (SELECT {blend("'first'", 'pred_a', 'pred_b')} AS a, {layer} AS b, {_Y}, month FROM enc WHERE (SELECT good FROM lead))
+, lb AS (SELECT 'both' AS k, a, b, {_Y} FROM bl UNION ALL SELECT 'both:sub', a, b, {_Y} FROM bl WHERE month <= 5)""" + second + """
+, two AS (SELECT k, arg_max(point, (rho, -point)) AS point, max(rho) AS rho FROM d WHERE k NOT LIKE '%:sub' GROUP BY k)
+, t AS (SELECT top.k AS strategy, top.rho, s.rho AS rho_subset, w.i0 / 20e0 AS weight,
+  CASE WHEN top.k <> 'first' THEN top.k = (SELECT k FROM lead) AND (SELECT good FROM lead) END AS qualified
+  FROM top JOIN c_w w ON w.point = top.point LEFT JOIN c s ON s.k = top.k || ':sub' AND s.point = top.point
+  UNION ALL SELECT two.k, two.rho, s.rho, w.i0 / 20e0, NULL FROM two JOIN d_w w ON w.point = two.point LEFT JOIN d s ON s.k = 'both:sub' AND s.point = two.point)
+, pick AS (SELECT CASE WHEN (SELECT rho FROM t WHERE strategy = 'both') >= f.rho THEN 'both'
+  WHEN (SELECT good FROM lead) AND (SELECT rho FROM lead) >= f.rho THEN (SELECT k FROM lead) ELSE 'first' END AS s FROM t f WHERE strategy = 'first')
+SELECT strategy, round(rho, 6) AS rho, round(rho_subset, 6) AS rho_subset, round(weight, 6) AS weight, qualified, strategy = (SELECT s FROM pick) AS chosen FROM t"""
+
+
+def _picked(spark, sf, threshold):
+    t = E.final_pick(_enc_train(spark, sf), _L6_FIRST, _L6_LAYERS, _Y, F.col("month") <= 5, threshold)
+    return t.select("strategy", r6("rho"), r6("rho_subset"), r6("weight"), "qualified", "chosen")
+
+
+@query("l6_final_pick", sql=_l6_sql(0.2))
+def l6_final_pick(spark, sf):
+    """Best blend of two stored predictions, of each layer's pair, and of those blends; the layer qualifies."""
+    return _picked(spark, sf, 0.2)
+
+
+@query("l6_final_pick_unqualified", sql=_l6_sql(1.0))
+def l6_final_pick_unqualified(spark, sf):
+    """The same with a threshold that no layer reaches: no second search, the first blend stays."""
+    return _picked(spark, sf, 1.0)
+
+
 @query("l7_top_blends", sql=K + _ENC + curve_sql("(SELECT *, 'all' AS sub FROM enc UNION ALL SELECT *, 'tc1' FROM enc WHERE total_count = 1)",
                                                  _M3, by="sub", tag="c") + """
 , top AS (SELECT point, rho FROM c WHERE sub = 'all' ORDER BY rho DESC, point LIMIT 5)

@@ -8,7 +8,7 @@ from ..functions import features as fx
 from ..operators import encode, lookup, stats
 from ..sources.fixtures import zone_obs
 from . import sqltext as S
-from .common import keyed_split
+from .common import keyed, keyed_split
 from .registry import query, r6
 
 _Y = "invalid_ratio"
@@ -138,6 +138,31 @@ def g9_ks_pvalue(spark, sf):
     return out.select(r6("ks"), "n_train", "n_test", r6("p_value"))
 
 
+_G9_KEYS = ["grid_id", "month", "dow", "time_period"]
+_G9_BY = ", ".join(_G9_KEYS)
+
+
+# The oracle lists every order of both samples (bit masks of up to 14 values) and counts those with as large a gap.
+@query("g9_ks_exact", sql=K + f"""
+, v AS (SELECT {_G9_BY}, pred_b AS x, count(*) FILTER (WHERE split = 'train') a, count(*) FILTER (WHERE split = 'test') b FROM kz GROUP BY ALL)
+, c AS (SELECT *, sum(a) OVER w ca, sum(b) OVER w cb, sum(a) OVER g n, sum(b) OVER g m FROM v
+  WINDOW w AS (PARTITION BY {_G9_BY} ORDER BY x), g AS (PARTITION BY {_G9_BY}))
+, k AS (SELECT {_G9_BY}, CAST(n AS BIGINT) n, CAST(m AS BIGINT) m, CAST(max(abs(ca * m - cb * n)) AS BIGINT) h,
+  max(abs(CAST(ca AS DOUBLE) / n - CAST(cb AS DOUBLE) / m)) ks FROM c WHERE n > 0 AND m > 0 GROUP BY ALL)
+, orders AS (SELECT n, m, CAST(o AS BIGINT) o FROM (SELECT DISTINCT n, m FROM k WHERE n + m <= 14) t, range(0, 16384) r(o)
+  WHERE o < (1 << (n + m)) AND bit_count(CAST(o AS BIGINT)) = n)
+, d AS (SELECT n, m, o, max(abs(bit_count(o & ((1::BIGINT << i) - 1)) * m - (i - bit_count(o & ((1::BIGINT << i) - 1))) * n)) h
+  FROM orders, range(1, 15) t(i) WHERE i <= n + m GROUP BY n, m, o)
+, e AS (SELECT t.n, t.m, t.h, avg(CASE WHEN d.h >= t.h THEN 1e0 ELSE 0e0 END) p FROM (SELECT DISTINCT n, m, h FROM k) t
+  JOIN d ON d.n = t.n AND d.m = t.m GROUP BY ALL)
+SELECT {', '.join('k.' + x for x in _G9_KEYS)}, round(k.ks, 6) ks, k.n n_first, k.m n_second, round(e.p, 6) p_value
+FROM k LEFT JOIN e ON e.n = k.n AND e.m = k.m AND e.h = k.h""")
+def g9_ks_exact(spark, sf):
+    """KS test of train and test within every cell, month, weekday and period: small samples get the exact p-value."""
+    t = stats.ks_test(keyed(spark, sf), "pred_b", "split", by=_G9_KEYS)
+    return t.select(*_G9_KEYS, r6("ks"), "n_first", "n_second", r6("p_value"))
+
+
 _G4_CTES, _G4_RHO = S.spearman_sql("enc", "grid_te", "invalid_ratio", ["count_bin"], "s")
 
 

@@ -89,13 +89,14 @@ def spearman_sql(src: str, a: str, b: str, by: Sequence[str] = (), tag: str = "s
 
 
 def kfold_cte(name: str, src: str, key: str, k_smooth: float, y: str = "invalid_ratio",
-              fold: str = "fold", mu: str | None = None) -> str:
-    """Encoding table ``name(key, fold, te)``: statistics of all other folds."""
+              fold: str = "fold", mu: str | None = None, absent: str = "mean") -> str:
+    """Encoding table ``name(key, fold, te)``: statistics of all other folds; ``absent='null'``: none for a key of one fold."""
+    lone = "NULL" if absent == "null" else None
     mu = mu or f"(SELECT avg({y}) FROM {src})"
     return (f", {name}_c AS (SELECT {key}, {fold}, sum({y}) s, count({y}) n FROM {src} WHERE {key} IS NOT NULL GROUP BY {key}, {fold})"
             f", {name}_t AS (SELECT {key}, sum(s) s, sum(n) n FROM {name}_c GROUP BY {key})"
             f", {name} AS (SELECT c.{key}, c.{fold}, CAST(CAST(CASE WHEN t.n - c.n > 0 THEN (t.s - c.s + {k_smooth} * {mu}) "
-            f"/ (t.n - c.n + {k_smooth}) ELSE {mu} END AS FLOAT) AS DOUBLE) AS te FROM {name}_c c JOIN {name}_t t ON c.{key} = t.{key})")
+            f"/ (t.n - c.n + {k_smooth}) ELSE {lone or mu} END AS FLOAT) AS DOUBLE) AS te FROM {name}_c c JOIN {name}_t t ON c.{key} = t.{key})")
 
 
 def full_enc_cte(name: str, src: str, key: str, k_smooth: float, y: str = "invalid_ratio",

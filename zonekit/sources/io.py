@@ -8,6 +8,7 @@ whole-partition overwrites, so a retried task or job leaves no partial state.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -123,6 +124,42 @@ def checkpoint_fold(pred: DataFrame, path: str, model: str, fold: int) -> None:
      .partitionBy("model", "fold").parquet(path))
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of the store that holds ``path``."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
+def commit(spark: SparkSession, home: str, parts: dict[str, DataFrame], model=None) -> None:
+    """Write ``parts`` (name -> rows) and a model under ``home``, all or nothing.
+
+    Everything goes to a folder beside it, whose rename is the commit; a job that dies before leaves no ``home``, and of two
+    that race the first stays.
+    """
+    parent, _, name = home.rstrip("/").rpartition("/")
+    own = f"{parent}/_writing-{name}-{uuid.uuid4().hex[:12]}"
+    for part, df in parts.items():
+        df.write.parquet(f"{own}/{part}")
+    if model is not None:
+        model.write().save(f"{own}/model")
+    fs, at = _fs(spark, own)
+    to = _fs(spark, home)[1]
+    if fs.exists(to) or not fs.rename(at, to):
+        fs.delete(at, True)
+        if not fs.exists(to):
+            raise OSError(f"could not rename {own} to {home}")
+
+
+def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The rows of several committed parts of one schema."""
+    return spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths)
+
+
 def recover_predictions(spark: SparkSession, path: str, model: str) -> tuple[DataFrame, DataFrame]:
     """OOF = union of each fold's own rows; test = mean over folds per row."""
     p = spark.read.parquet(path).where(F.col("model") == model)
