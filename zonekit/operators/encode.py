@@ -3,8 +3,8 @@
 ``enc(k) = (n_k * mean_k + s * mu) / (n_k + s)``, ``mu`` the train mean.
 
 K-fold: sums per ``(key, fold)`` (partial aggregation on the map side, so a hot
-key costs one row per map task), totals per key by a window over that small table,
-the own fold subtracted, and the result joined back on ``(key, fold)``.
+key costs one row per map task) are written once; mean, totals per key and test maps come from that small table,
+the own fold is subtracted, and the result joined back on ``(key, fold)``.
 The per-fold loop of the reference (one groupBy per fold) becomes one shuffle.
 A hot key is already split ``k`` ways by the fold in the join key; AQE's skew
 join splits further. The encoding table is never broadcast blindly: AQE
@@ -13,9 +13,13 @@ broadcasts it only when its measured size is under the threshold.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def global_mean(df: DataFrame, y: str) -> Column:
     """``mu`` as a scalar subquery (one value, never a row-level collect)."""
@@ -47,6 +51,17 @@ def fit_encoding(train: DataFrame, key: str, y: str = "invalid_ratio", smooth: f
     return stats.select(key, as_stored(smooth_expr(F.col("_s"), F.col("n"), smooth, mu)).alias(out), "n")
 
 
+def mean_of(stats: DataFrame) -> Column:
+    """``mu`` from the sums of a :func:`fold_stats` table: the rows aren't read again."""
+    return stats.select(F.try_divide(F.sum("_s"), F.sum("_n"))).scalar()
+
+
+def full_table(stats: DataFrame, key: str, smooth: float, mu: Column, out: str = "te") -> DataFrame:
+    """H1 from the sums of a :func:`fold_stats` table: (key, out, n) over all folds."""
+    total = stats.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("n"))
+    return total.select(key, as_stored(smooth_expr(F.col("_s"), F.col("n"), smooth, mu)).alias(out), "n")
+
+
 def apply_encoding(df: DataFrame, enc: DataFrame, key: str, out: str, te_col: str = "te",
                    fill: Column | None = None) -> DataFrame:
     """D1 + D6: left lookup of ``key`` in ``enc``; unseen keys -> ``fill`` (or null)."""
@@ -61,17 +76,30 @@ def fold_stats(train: DataFrame, key: str, y: str, fold: str = "fold") -> DataFr
     return train.groupBy(key, fold).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
 
 
+def stored_stats(train: DataFrame, keys: Sequence[str], y: str, fold: str = "fold") -> DataFrame:
+    """Sums and counts per ``(keys, fold)``, written once: as many rows as groups. Mean, fold tables and full tables all
+    come from it, so encoding reads the rows twice in all, however many tables it takes. For several keys that
+    nest (a cell and its periods); the sums of one key are those of its groups."""
+    return stored(train.groupBy(*keys, fold).agg(F.sum(y).alias("_s"), F.count(y).alias("_n")), "fold_stats")
+
+
+def of_key(stats: DataFrame, key: str, fold: str = "fold") -> DataFrame:
+    return stats.groupBy(key, fold).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+
+
 def kfold_table(train: DataFrame, key: str, y: str = "invalid_ratio", fold: str = "fold",
-                smooth: float = 30.0, mu: Column | None = None, out: str = "te", absent: str = "mean") -> DataFrame:
+                smooth: float = 30.0, mu: Column | None = None, out: str = "te", absent: str = "mean",
+                stats: DataFrame | None = None) -> DataFrame:
     """H2 encoding table ``(key, fold, te)``: statistics of all other folds.
 
     A key absent from every other fold gets ``mu``, with ``absent='null'`` no value, for a fallback of the caller's.
     """
-    mu = global_mean(train, y) if mu is None else mu
-    c = fold_stats(train, key, y, fold).where(F.col(key).isNotNull())
-    of_key = Window.partitionBy(key)  # over the aggregate: as many rows a key as there are folds
-    other_n = F.sum("_n").over(of_key) - F.col("_n")
-    other_s = F.sum("_s").over(of_key) - F.col("_s")
+    stats = stored_stats(train, [key], y, fold) if stats is None else stats
+    mu = mean_of(stats) if mu is None else mu
+    c = of_key(stats, key, fold).where(F.col(key).isNotNull())
+    same = Window.partitionBy(key)  # over the aggregate: as many rows a key as there are folds
+    other_n = F.sum("_n").over(same) - F.col("_n")
+    other_s = F.sum("_s").over(same) - F.col("_s")
     c = c.select(key, fold, other_s.alias("_os"), other_n.alias("_on"))
     te = F.when(F.col("_on") > 0, smooth_expr(F.col("_os"), F.col("_on"), smooth, mu))
     te = te.otherwise(mu) if absent == "mean" else te
@@ -80,14 +108,15 @@ def kfold_table(train: DataFrame, key: str, y: str = "invalid_ratio", fold: str
 
 def kfold_encode(train: DataFrame, key: str, y: str = "invalid_ratio", fold: str = "fold",
                  smooth: float = 30.0, out: str = "te", mu: Column | None = None,
-                 fallback: Column | None = None) -> DataFrame:
-    """H2/H3/H4/H6: add the out-of-fold encoding of ``key`` to every train row.
+                 fallback: Column | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """H2/H3/H4/H6: add the out-of-fold encoding of ``key`` to every train row. ``stats``: those of :func:`stored_stats`.
 
     Rows whose key is null get ``fallback`` (default ``mu``), as the
     reference fills unmapped rows with the global mean.
     """
-    mu = global_mean(train, y) if mu is None else mu
-    tab = kfold_table(train, key, y, fold, smooth, mu, "_zk_te")
+    stats = stored_stats(train, [key], y, fold) if stats is None else stats
+    mu = mean_of(stats) if mu is None else mu
+    tab = kfold_table(train, key, y, fold, smooth, mu, "_zk_te", stats=stats)
     joined = train.join(tab, on=[key, fold], how="left")
     fill = mu if fallback is None else fallback
     return joined.withColumn(out, F.coalesce(F.col("_zk_te"), as_stored(fill))).drop("_zk_te")
@@ -101,9 +130,10 @@ def encode_train_test(train: DataFrame, test: DataFrame, key: str, y: str = "inv
     ``unseen='mean'`` fills unseen test keys with ``mu``; ``'null'`` leaves them
     null for a later fallback (H3 -> D5/D6).
     """
-    mu = global_mean(train, y)
-    tr = kfold_encode(train, key, y, fold, smooth, out, mu)
-    enc = fit_encoding(train, key, y, smooth, mu)
+    stats = stored_stats(train, [key], y, fold)
+    mu = mean_of(stats)
+    tr = kfold_encode(train, key, y, fold, smooth, out, mu, stats=stats)
+    enc = full_table(stats, key, smooth, mu)
     te = apply_encoding(test, enc, key, out, fill=as_stored(mu) if unseen == "mean" else None)
     return tr, te, enc
 
@@ -125,10 +155,11 @@ def chained_encodings(train: DataFrame, test: DataFrame | None, chain, y: str =
     Within each fold a key that no other fold has takes the encoding before it in the chain, the first one the mean. So a
     period cell of a single fold carries its cell's out-of-fold encoding.
     """
-    mu = global_mean(train, y)
+    stats = stored_stats(train, [key for key, _, _ in chain], y, fold)
+    mu = mean_of(stats)
     before, out = as_stored(mu), train
     for key, smooth, name in chain:
-        table = kfold_table(train, key, y, fold, smooth, mu, "_zk_te", absent="null")
+        table = kfold_table(train, key, y, fold, smooth, mu, "_zk_te", absent="null", stats=stats)
         out = out.join(table, on=[key, fold], how="left").withColumn(name, F.coalesce("_zk_te", before)).drop("_zk_te")
         before = F.col(name)
     return out, None if test is None else subset_encodings(train, test, chain, y, mu)

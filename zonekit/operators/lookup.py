@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, stored
 from .encode import apply_encoding
 
 
@@ -167,7 +167,9 @@ def fill_from_nearest(df: DataFrame, enc: DataFrame, key: str, out: str, x: str
     nearest known cell. ``cells`` maps known keys to ``(x, y)``.
     """
     known = cells.join(enc.select(key, te_col), on=key, how="inner").select(x, y, te_col)
-    un = df.join(enc.select(key), on=key, how="left_anti").select(x, y).distinct()
+    # a row a cell each, read several times below
+    known = stored(known, "known_cells")
+    un = stored(df.join(enc.select(key), on=key, how="left_anti").select(x, y).distinct(), "unseen_cells")
     near = nearest_known(un, known, x, y, payload=[te_col], tile=tile) \
         .select(x, y, F.col(te_col).alias("_zk_near_te"))
     base = apply_encoding(df, enc, key, "_zk_own_te", te_col)

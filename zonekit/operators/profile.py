@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, FloatType, IntegerType, LongType, ShortType,
                                StringType, ByteType)
 
-from .ranks import exact_quantiles
+from ..session import stored
+from .ranks import exact_quantiles, value_intervals
 
 
 def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), name: str = "feature",
@@ -29,14 +30,16 @@ def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), name: str =
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std (ddof 1), min, 25/50/75%, max per column (long form)."""
-    m = melt(df, cols).where(F.col("value").isNotNull())
-    base = m.groupBy("feature").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                                   F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                                   F.max("value").alias("max"))
-    q = exact_quantiles(m, "value", [0.25, 0.5, 0.75], by=["feature"])
+    # rows are unpivoted once; moments and quantiles come from the distinct values and their counts
+    iv = stored(value_intervals(melt(df, cols), "value", by=["feature"]), "values")
+    n, v = F.col("n"), F.col("value")
+    base = iv.groupBy("feature").agg(F.sum("n").alias("count"), (F.sum(n * v) / F.sum("n")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"))
+    spread = iv.join(base.select("feature", F.col("mean").alias("_zk_m")), on="feature").groupBy("feature").agg(
+        F.sqrt(F.try_divide(F.sum(n * (v - F.col("_zk_m")) ** 2), F.sum("n") - 1)).alias("std"))
+    q = exact_quantiles(iv, "value", [0.25, 0.5, 0.75], by=["feature"], intervals=iv)
     qw = q.groupBy("feature").agg(*[F.max(F.when(F.col("q") == v, F.col("value"))).alias(n)
                                    for v, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
-    return base.join(qw, on="feature", how="left")
+    return base.join(spread, on="feature").join(qw, on="feature", how="left").select("feature", "count", "mean", "std", "min", "max", "p25", "p50", "p75")
 
 
 _SQL_TYPE = {IntegerType: "INTEGER", LongType: "BIGINT", DoubleType: "DOUBLE", FloatType: "FLOAT",

@@ -138,14 +138,14 @@ def average_rank(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "ra
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
-                    parts: int | None = None) -> DataFrame:
+                    parts: int | None = None, intervals: DataFrame | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy 'linear', Spark ``percentile``).
 
-    Returns ``by..., q, value``. The position ``h = q * (N - 1)`` is located in
+    Returns ``by..., q, value``. ``intervals``: those of :func:`value_intervals`, if at hand. The position ``h = q * (N - 1)`` is located in
     the value intervals; no group's values are ever gathered in one task.
     """
     by = list(by)
-    iv = value_intervals(df, col, by, parts=parts)
+    iv = value_intervals(df, col, by, parts=parts) if intervals is None else intervals
     at = F.array(*[F.lit(float(q)) for q in qs])
     h = lambda q: q * (F.col("total") - F.lit(1))
     inside = lambda p: (p >= F.col("lo")) & (p < F.col("hi"))

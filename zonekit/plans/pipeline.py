@@ -80,13 +80,7 @@ def features(train: DataFrame, test: DataFrame, folds: int = 5, cell_smooth: flo
     train, test = fill_missing(train, test)
     train = tier1_columns(with_keys(train, folds))
     test = tier1_columns(with_keys(test, folds))
-    mu = encode.global_mean(train, y)
-    tr = encode.kfold_encode(train, "grid_id", y, "fold", cell_smooth, "grid_te", mu)
-    enc = encode.fit_encoding(train, "grid_id", y, cell_smooth, mu)
-    te = encode.apply_encoding(test, enc, "grid_id", "grid_te", fill=encode.as_stored(mu))
-    tr = encode.kfold_encode(tr, "grid_period", y, "fold", period_smooth, "grid_period_te", mu)
-    enc_p = encode.fit_encoding(train, "grid_period", y, period_smooth, mu)
-    te = encode.apply_encoding(te, enc_p, "grid_period", "grid_period_te", fill=encode.as_stored(mu))
+    tr, te = encodings(train, test, cell_smooth, period_smooth, y)
     ind = {"is_raining": fx.indicator("precip"), "has_snow": fx.indicator("snow")}
     tr, te = tr.withColumns(ind), te.withColumns(ind)
     stats = transform.cell_stats(train, "grid_id", y)
@@ -96,6 +90,17 @@ def features(train: DataFrame, test: DataFrame, folds: int = 5, cell_smooth: flo
     return tr, te
 
 
+def encodings(train: DataFrame, test: DataFrame, cell_smooth: float = 30.0, period_smooth: float = 50.0, y: str = "invalid_ratio"):
+    """Cell and period-cell encodings of keyed rows: out of fold for train, of all train rows for test, both from one table of sums."""
+    stats = encode.stored_stats(train, ["grid_id", "grid_period"], y)
+    mu = encode.mean_of(stats)
+    tr, te = train, test
+    for key, smooth, out in (("grid_id", cell_smooth, "grid_te"), ("grid_period", period_smooth, "grid_period_te")):
+        tr = encode.kfold_encode(tr, key, y, "fold", smooth, out, mu, stats=stats)
+        te = encode.apply_encoding(te, encode.full_table(stats, key, smooth, mu), key, out, fill=encode.as_stored(mu))
+    return tr, te
+
+
 def feature_columns(df: DataFrame, exclude=EXCLUDE, extra_exclude=("row_id", "fold", "split")) -> list[str]:
     """B2: every column except target, helper keys and bookkeeping columns."""
     drop = set(exclude) | set(extra_exclude)

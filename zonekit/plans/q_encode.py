@@ -63,9 +63,10 @@ def h4_cross_encoding(spark, sf):
     """Cell x period (5 folds, s=50) and cell x month (10 folds, s=200) encodings."""
     tr, _ = keyed_split(spark, sf)
     tr = tr.withColumns({"fold10": fx.fold_of("row_id", 10), "grid_month": fx.cross_key("grid_id", "month", 100)})
-    mu = encode.global_mean(tr, _Y)
-    out = encode.kfold_encode(tr, "grid_period", _Y, "fold", 50.0, "grid_period_te", mu)
-    out = encode.kfold_encode(out, "grid_month", _Y, "fold10", 200.0, "grid_month_te", mu)
+    # the month's sums are taken from the rows, not from the encoded ones
+    month = encode.stored_stats(tr, ["grid_month"], _Y, "fold10")
+    out = encode.kfold_encode(tr, "grid_period", _Y, "fold", 50.0, "grid_period_te")
+    out = encode.kfold_encode(out, "grid_month", _Y, "fold10", 200.0, "grid_month_te", stats=month)
     return out.select("row_id", r6("grid_period_te"), r6("grid_month_te"))
 
 
@@ -134,7 +135,7 @@ FROM kte t LEFT JOIN fc ON t.grid_id = fc.grid_id LEFT JOIN fp ON t.grid_period
 def h7_apply_encodings(spark, sf):
     """Both encodings injected into the train (OOF) and scoring (full-train) frames."""
     tr, te = keyed_split(spark, sf)
-    ftr, fte = pipeline.features(tr, te)
+    ftr, fte = pipeline.encodings(tr, te)
     return ftr.select(F.lit("train").alias("split"), "row_id", r6("grid_te"), r6("grid_period_te")) \
         .unionByName(fte.select(F.lit("test").alias("split"), "row_id", r6("grid_te"), r6("grid_period_te")))
 

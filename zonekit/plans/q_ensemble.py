@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import features as fx
-from ..operators import encode, ensemble as E, stats
+from ..operators import ensemble as E
 from ..sources import io
 from ..sources.fixtures import zone_obs
 from ..session import scratch_path
+from . import pipeline
 from . import sqltext as S
 from .common import keyed_split
 from .registry import query, r6
@@ -65,9 +66,7 @@ _TR = "(SELECT * FROM zone_obs WHERE split = 'train')"
 
 def _enc_train(spark, sf):
     tr, te = keyed_split(spark, sf)
-    mu = encode.global_mean(tr, _Y)
-    t = encode.kfold_encode(tr, "grid_id", _Y, "fold", 30.0, "grid_te", mu)
-    return encode.kfold_encode(t, "grid_period", _Y, "fold", 50.0, "grid_period_te", mu)
+    return pipeline.encodings(tr, te)[0]
 
 
 @query("l1_blend_search", sql=curve_sql(_TR, _M2) + _best_sql("c", _M2))

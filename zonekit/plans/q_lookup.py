@@ -91,10 +91,11 @@ LEFT JOIN nn ON t.grid_lon = nn.ux AND t.grid_lat = nn.uy""")
 def d6_coalesce_chain(spark, sf):
     """Cross encoding -> cell encoding (nearest known cell when unseen) -> global mean."""
     tr, te = keyed_split(spark, sf)
-    mu = encode.global_mean(tr, _Y)
-    ec = encode.fit_encoding(tr, "grid_id", _Y, 100.0, mu)
-    ep = encode.fit_encoding(tr, "grid_period", _Y, 150.0, mu)
-    cells = tr.select("grid_id", "grid_lon", "grid_lat").distinct()
+    stats = encode.stored_stats(tr, ["grid_id", "grid_lon", "grid_lat", "grid_period"], _Y)
+    mu = encode.mean_of(stats)
+    ec = encode.full_table(stats, "grid_id", 100.0, mu)
+    ep = encode.full_table(stats, "grid_period", 150.0, mu)
+    cells = stats.select("grid_id", "grid_lon", "grid_lat").distinct()
     t = lookup.fill_from_nearest(te, ec, "grid_id", "grid_te", cells=cells)
     t = lookup.lookup(t, ep, "grid_period", "gp_te")
     return t.select("row_id", r6(lookup.coalesce_chain(["gp_te", "grid_te", mu]), "grid_period_te"))
