@@ -39,6 +39,19 @@ def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(df: DataFrame, text: str, most: int, width: int = 4000) -> list[str]:
+    """Windows of up to ``width`` characters of the (about) ``most`` texts with the least hashes, in that order.
+
+    The number of texts gives a bound that about twice as many hashes stay below, so tasks send no more than those.
+    """
+    col = F.col(f"`{text}`").cast("string")
+    rows = df.where(F.octet_length(col) > 0).select(col.alias("t"), F.xxhash64(col).alias("h"))
+    share = min(1.0, 2 * most / max(1, rows.count()))
+    few = rows.where(F.col("h") <= F.lit(min(2**63 - 1, int(-2**63 + share * 2**64))))
+    start = F.greatest(F.lit(1), F.pmod(F.col("h"), F.greatest(F.length("t") - width, F.lit(1))).cast("int") + 1)
+    return [r["t"] for r in few.select("h", F.substring("t", start, F.lit(width)).alias("t")).orderBy("h", "t").limit(most).collect()]
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str, total: int) -> DataFrame:
     """Left join ``rows`` to ``table`` (one row a key, ``count_col``: its number of rows), null-safe, whole.
 

@@ -1,11 +1,12 @@
 """6. License scans: a trained paragraph classifier with an unknown class, confirmed by templates.
 
-A paragraph is a line of a text. Its features are the words and word pairs of the templates, counted and divided by the square root of
-its words; a multinomial logistic regression gives the family or ``unknown``. A temperature and the least probability of a known
-family are calibrated on held-out paragraphs so that at most ``FALSE_RATE`` of the unknown ones pass. A passing paragraph
-is confirmed if its word pairs and those of a template of that family contain each other to ``CONTAINED``; without confirmation it is
-reported as unknown. A notice that is wrapped over several lines without an empty one between them (comment markers hold no words) is
-scored and confirmed as the run of words that holds so many of a template's pairs; ``paragraph`` is its first line. Only paragraphs with a word pair of a template can be confirmed, so only those are scored.
+Paragraphs are the lines of a text, and the runs of lines without an empty one between them (comment markers hold no words); a longer
+one is taken in windows of ``WINDOW`` words, half of which overlap. Features are the words and word pairs of the templates, counted
+and divided by the square root of the paragraph's words, as sparse rows. A multinomial logistic regression gives the family or
+``unknown``; a temperature and the least probability of a known family are calibrated on held-out paragraphs so that at most
+``FALSE_RATE`` of the unknown ones pass. A passing paragraph is confirmed if it holds ``CONTAINED`` of the word pairs of a template of
+that family; without confirmation it is reported as unknown. A run of lines counts where none of its lines tells the same. A paragraph without a word pair of any
+template can neither pass for good nor be confirmed and isn't scored. The time is linear in the text.
 
 ``train`` makes its paragraphs: templates with words dropped, cut and added, and as unknown ones lines of the ``SAMPLE_DOCS`` documents
 with the least hashes (a bounded sample) and sentences that use the same words for other things.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sampled
 from .pieces import in_passes
 
-SAMPLE_DOCS, MADE, FALSE_RATE, CONTAINED = 200, 4000, 0.001, 0.6
+SAMPLE_DOCS, MADE, FALSE_RATE, CONTAINED = 200, 6000, 0.001, 0.6
 STEPS, PENALTY = 300, 1e-4
+#: Words of the longest paragraph that is scored as one; tokens that are scored at a time (bounds memory only).
+WINDOW, SLICE = 128, 200_000
 
 #: Usual short notices of licence families.
 TEMPLATES = [
@@ -55,11 +60,40 @@ TEMPLATES = [
     ("CC-BY-NC", "Licensed under a Creative Commons Attribution NonCommercial 4.0 International License."),
     ("CC0", "To the extent possible under law, the author has waived all copyright and related rights to this work (CC0)."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # headings
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "MIT License"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("LGPL", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("BSD", "BSD 3-Clause License"),
+    ("BSD", "BSD 2-Clause License"),
+    ("ISC", "ISC License"),
+    ("CC-BY", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-SA", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("CC0", "CC0 1.0 Universal"),
+    # later sentences of full notices
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND."),
+    ("GPL-3.0", "You should have received a copy of the GNU General Public License along with this program. If not, see www.gnu.org/licenses."),
+    ("LGPL", "You should have received a copy of the GNU Lesser General Public License along with this library."),
+    ("BSD", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at mozilla.org/MPL/2.0."),
+    # identifiers
+    *[(family, f"SPDX-License-Identifier: {name}") for family, names in (
+        ("MIT", ["MIT"]), ("Apache-2.0", ["Apache-2.0"]), ("GPL-3.0", ["GPL-3.0-only", "GPL-3.0-or-later"]), ("GPL-2.0", ["GPL-2.0-only", "GPL-2.0-or-later"]),
+        ("LGPL", ["LGPL-2.1-only", "LGPL-3.0-or-later"]), ("AGPL-3.0", ["AGPL-3.0-only"]), ("MPL-2.0", ["MPL-2.0"]), ("BSD", ["BSD-3-Clause", "BSD-2-Clause"]),
+        ("ISC", ["ISC"]), ("CC-BY", ["CC-BY-4.0"]), ("CC-BY-SA", ["CC-BY-SA-4.0"]), ("CC0", ["CC0-1.0"]), ("Unlicense", ["Unlicense"])) for name in names],
 ]
 #: Sentences that use such words for other things.
 OTHER = ["A driving license is required for this job.", "The license plate of the car was not legible.", "The terms of the contract are under review.",
          "This work is part of a larger version of the story.", "Any person may obtain a copy at the general office.", "The public is free to use the library.",
          "The software was released in version 3 of the system.", "He was granted permission to leave, free of charge.", "All rights to the source are with the office.",
+         "The license identifier on the form was wrong.", "MIT is a school in Boston and the license office is near it.", "A public notice in the general library.",
          "The author of this file has released no other work.", "Version 2.0 of the program is under way.", "The Apache helicopter and the foundation of the city."]
 
 FAMILIES = ["unknown", *dict.fromkeys(f for f, _ in TEMPLATES)]
@@ -91,12 +125,62 @@ class Vocabulary:
         """Feature of each pair of neighbours, -1 where it is none."""
         return self.pair[codes[:-1] * self.size + codes[1:]]
 
-    def row(self, codes: np.ndarray) -> np.ndarray:
-        """Features of one paragraph."""
-        x = np.bincount(codes[codes > 1], minlength=self.features).astype(np.float64)
-        p = self.pairs(codes) if len(codes) > 1 else np.empty(0, np.int64)
-        np.add.at(x, p[p >= 0], 1)
-        return x / max(1.0, len(codes)) ** 0.5
+    def sparse(self, paragraphs: list[np.ndarray]) -> Sparse:
+        """Features of paragraphs given as codes."""
+        c = np.concatenate(paragraphs) if paragraphs else np.empty(0, np.int64)
+        n = np.array([len(p) for p in paragraphs], np.int64)
+        ends = np.cumsum(n)
+        p = np.append(self.pairs(c), -1) if len(c) else c
+        p[ends[n > 0] - 1] = -1  # no pair goes over an end
+        return Sparse.of(c, p, ends - n, ends, self.features)
+
+
+@dataclass
+class Sparse:
+    """Rows of counts: features ``column`` (repeats count each) of row i at ptr[i]:ptr[i + 1], each with weight ``scale[i]``."""
+    ptr: np.ndarray
+    column: np.ndarray
+    scale: np.ndarray
+    features: int
+
+    @classmethod
+    def of(cls, codes: np.ndarray, pairs: np.ndarray, starts: np.ndarray, ends: np.ndarray, features: int) -> Sparse:
+        """Rows of the words starts[i] to ends[i] and of the pairs that begin at all of them but the last."""
+        def ranges(a: np.ndarray, b: np.ndarray, values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+            n = np.maximum(b - a, 0)
+            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            row, found = np.repeat(np.arange(len(a)), n), values[at]
+            return row[found >= least], found[found >= least]
+        rows, columns = zip(ranges(starts, ends, codes, 2), ranges(starts, ends - 1, pairs, 0))
+        row, column = np.concatenate(rows), np.concatenate(columns)
+        order = np.argsort(row, kind="stable")
+        return cls(np.searchsorted(row[order], np.arange(len(starts) + 1)), column[order], 1 / np.sqrt(np.maximum(1, ends - starts)), features)
+
+    def take(self, rows: np.ndarray) -> Sparse:
+        n = self.ptr[rows + 1] - self.ptr[rows]
+        ptr = np.concatenate([[0], np.cumsum(n)])
+        return Sparse(ptr, self.column[np.repeat(self.ptr[rows] - ptr[:-1], n) + np.arange(ptr[-1])], self.scale[rows], self.features)
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.ptr) - 1, weights.shape[1]))
+        some = self.ptr[1:] > self.ptr[:-1]
+        if some.any():
+            out[some] = np.add.reduceat(weights[self.column], self.ptr[:-1][some], axis=0)
+        return out * self.scale[:, None]
+
+    def transposed(self):
+        """A function e -> features x classes: the sums of ``e`` over the rows of each feature."""
+        row = np.repeat(np.arange(len(self.ptr) - 1), np.diff(self.ptr))
+        order = np.argsort(self.column, kind="stable")
+        row, column = row[order], self.column[order]
+        heads = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]])) if len(column) else np.empty(0, np.int64)
+
+        def apply(e: np.ndarray) -> np.ndarray:
+            out = np.zeros((self.features, e.shape[1]))
+            if len(heads):
+                out[column[heads]] = np.add.reduceat((e * self.scale[:, None])[row], heads, axis=0)
+            return out
+        return apply
 
 
 @dataclass
@@ -108,8 +192,8 @@ class Model:
     least: float
     held_out: dict = field(default_factory=dict)
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        z = (x @ self.weights + self.bias) / self.temperature
+    def probabilities(self, x: Sparse) -> np.ndarray:
+        z = (x.times(self.weights) + self.bias) / self.temperature
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
@@ -138,31 +222,31 @@ def made(lines: list[str], seed: int = 23) -> list[tuple[str, int]]:
 def train(df: DataFrame, text: str = "text") -> Model:
     """Fit and calibrate on made paragraphs; lines that hold a template word pair of a licence are not taken as unknown."""
     vocabulary = Vocabulary()
-    col = F.col(text).cast("string")
-    rows = df.where(F.octet_length(col) > 0).select(col.alias("t")).orderBy(F.xxhash64("t"), "t").limit(SAMPLE_DOCS).collect()
     marks = re.compile(r"(?i)licen[sc]e|copyright|creative commons|public domain")
-    lines = [x for r in rows for x in r["t"].split("\n") if x.strip() and not marks.search(x)]
+    lines = [x for t in sampled(df, text, SAMPLE_DOCS) for x in t.split("\n") if x.strip() and not marks.search(x)]
     data = made(lines)
-    x = np.array([vocabulary.row(vocabulary.codes(t)) for t, _ in data])
+    x = vocabulary.sparse([vocabulary.codes(t) for t, _ in data])
     y = np.array([f for _, f in data])
     held = np.arange(len(y)) % 4 == 0
-    w, b = np.zeros((x.shape[1], len(FAMILIES))), np.zeros(len(FAMILIES))
-    a, truth = x[~held], np.eye(len(FAMILIES))[y[~held]]
+    w, b = np.zeros((x.features, len(FAMILIES))), np.zeros(len(FAMILIES))
+    fit, truth = x.take(np.flatnonzero(~held)), np.eye(len(FAMILIES))[y[~held]]
+    back, count = fit.transposed(), int((~held).sum())
     mean_w, mean_b, step = np.zeros_like(w), np.zeros_like(b), 4.0
     for _ in range(STEPS):  # gradient steps with momentum
-        z = a @ w + b
+        z = fit.times(w) + b
         z = np.exp(z - z.max(1, keepdims=True))
-        e = (truth - z / z.sum(1, keepdims=True)) / len(a)
-        mean_w, mean_b = 0.9 * mean_w + a.T @ e - PENALTY * w, 0.9 * mean_b + e.sum(0)
+        e = (truth - z / z.sum(1, keepdims=True)) / count
+        mean_w, mean_b = 0.9 * mean_w + back(e) - PENALTY * w, 0.9 * mean_b + e.sum(0)
         w, b = w + step * mean_w, b + step * mean_b
+    check = x.take(np.flatnonzero(held))
     model = Model(vocabulary, w, b, 1.0, 0.5)
     losses = {}
     for t in np.geomspace(0.25, 4, 25):
         model.temperature = float(t)
-        p = model.probabilities(x[held])
+        p = model.probabilities(check)
         losses[float(t)] = -np.log(np.maximum(p[np.arange(len(p)), y[held]], 1e-12)).mean()
     model.temperature = min(losses, key=losses.get)
-    p = model.probabilities(x[held])
+    p = model.probabilities(check)
     wrong = np.sort(p[y[held] == 0][:, 1:].max(1))[::-1]
     model.least = float(max(0.5, np.nextafter(wrong[int(FALSE_RATE * len(wrong))], 1))) if len(wrong) else 0.5
     best = np.where(p[:, 1:].max(1) >= model.least, 1 + p[:, 1:].argmax(1), 0)
@@ -170,73 +254,91 @@ def train(df: DataFrame, text: str = "text") -> Model:
     return model
 
 
-def wrapped(codes: np.ndarray, line: np.ndarray, model: Model) -> list[tuple[int, int, dict]]:
-    """First and last line, and what is found, of notices that go over line ends."""
-    v, out = model.vocabulary, []
-    words = codes != 1
-    c, at = codes[words], line[words]
-    if len(c) < 2 or at[0] == at[-1]:
-        return out
-    pairs = np.where(np.diff(at) > 1, -1, v.pairs(c))  # an empty line ends a paragraph
-    places = np.flatnonzero(pairs >= 0)
-    feature = pairs[places]
-    present = set(feature.tolist())
-    block = np.concatenate([[0], np.cumsum(np.diff(at) > 1)])
-    for t, (family, _) in zip(v.templates, TEMPLATES):
-        if len(present & t) < CONTAINED * len(t):
+def windows(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the windows over each run of equal values: one for a run of up to WINDOW words."""
+    heads = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    ends = np.append(heads[1:], len(run))
+    half = WINDOW // 2
+    n = np.where(ends - heads <= WINDOW, 1, -(-(ends - heads - WINDOW) // half) + 1)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    starts = np.repeat(heads, n) + half * nth
+    return starts, np.minimum(starts + WINDOW, np.repeat(ends, n))
+
+
+def scored(codes: np.ndarray, pairs: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: Model) -> Iterator[tuple[int, int, int, float]]:
+    """(start, end, family, probability) of the windows that pass for a known family."""
+    known = np.concatenate([[0], np.cumsum(pairs >= 0)])
+    hit = np.flatnonzero(known[np.maximum(ends - 1, starts)] > known[starts])
+    size = np.cumsum(ends[hit] - starts[hit])
+    for part in np.split(hit, np.searchsorted(size, np.arange(SLICE, size[-1] if len(size) else 0, SLICE))):
+        if not len(part):
             continue
-        own = np.isin(feature, list(t))
-        seen: list[tuple[int, int]] = []  # place and pair in the window
-        for place, f in zip(places[own].tolist(), feature[own].tolist()):
-            seen = [x for x in seen if place - x[0] <= 2 * len(t) and block[x[0]] == block[place]] + [(place, f)]
-            contained = len({x for _, x in seen}) / len(t)
-            if contained < CONTAINED:
-                continue
-            first, last = seen[0][0], place + 1
-            if at[first] == at[last]:
-                continue
-            p = model.probabilities(v.row(c[first:last + 1])[None, :])[0]
-            best = 1 + int(p[1:].argmax())
-            if FAMILIES[best] == family and p[best] >= model.least:
-                out.append((int(at[first]), int(at[last]), {"paragraph": int(at[first]), "family": family, "probability": float(p[best]),
-                                                            "contained": contained, "confirmed": True}))
-    chosen: list[tuple[int, int, dict]] = []
-    for x in sorted(out, key=lambda x: (-x[2]["contained"], -x[2]["probability"], x[0], x[1])):
-        if all(x[1] < y[0] or y[1] < x[0] for y in chosen):
-            chosen.append(x)
-    return chosen
+        p = model.probabilities(Sparse.of(codes, pairs, starts[part], ends[part], model.vocabulary.features))
+        best = 1 + p[:, 1:].argmax(1)
+        high = p[np.arange(len(p)), best]
+        for i in np.flatnonzero(high >= model.least):
+            yield int(starts[part[i]]), int(ends[part[i]]), int(best[i]), float(high[i])
 
 
 def scan_texts(texts: list[str], model: Model) -> list[tuple[int, list[dict]]]:
     """For each text its lines with words, and what is found in them; ``paragraph`` counts all lines from 0."""
-    v, out = model.vocabulary, []
-    for text in texts:
-        codes = v.codes(text)
-        found: list[dict] = []
-        lines = 0
-        if len(codes):
-            ends = codes == 1
-            line = np.cumsum(ends) - ends
-            lines = len(np.unique(line[~ends]))
-            hit = np.unique(line[:-1][v.pairs(codes) >= 0]) if len(codes) > 1 else []
-            for n in hit:
-                own = codes[(line == n) & ~ends]
-                p = model.probabilities(v.row(own)[None, :])[0]
-                best = 1 + int(p[1:].argmax())
-                if p[best] < model.least:
-                    continue
-                mine = set(v.pairs(own).tolist()) - {-1}
-                contained = max(len(mine & t) / len(t) for t, (f, _) in zip(v.templates, TEMPLATES) if f == FAMILIES[best])
-                sure = contained >= CONTAINED
-                found.append({"paragraph": int(n), "family": FAMILIES[best] if sure else "unknown", "probability": float(p[best]),
-                              "contained": contained, "confirmed": sure})
-            for first, last, notice in wrapped(codes, line, model):
-                inside = [f for f in found if first <= f["paragraph"] <= last]
-                if not any(f["confirmed"] and f["family"] == notice["family"] for f in inside):
-                    found = [f for f in found if f["confirmed"] or f not in inside] + [notice]
-            found.sort(key=lambda f: f["paragraph"])
-        out.append((lines, found))
-    return out
+    v = model.vocabulary
+    each = [v.codes(t) for t in texts]
+    sizes = np.array([len(c) + 2 for c in each], np.int64)  # two line ends part two texts
+    codes = np.concatenate([x for c in each for x in (c, np.ones(2, np.int64))]) if each else np.empty(0, np.int64)
+    text = np.repeat(np.arange(len(each)), sizes)
+    end = codes == 1
+    line, first = np.cumsum(end) - end, np.cumsum(sizes) - sizes
+    c, at, of = codes[~end], line[~end], text[~end]
+    base = line[first] if len(first) else first  # line numbers start anew in each text
+    lines = np.bincount(of[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else of, minlength=len(each))
+    found: list[list[dict]] = [[] for _ in each]
+    if len(c) < 2:
+        return [(int(n), f) for n, f in zip(lines, found)]
+    pairs = np.append(np.where(np.diff(at) > 1, -1, v.pairs(c)), -1)  # an empty line ends a paragraph
+    inner = np.where(np.append(np.diff(at) > 0, True), -1, pairs)     # pairs within a line
+    block = np.concatenate([[0], np.cumsum(np.diff(at) > 1)])
+    several = np.bincount(block[np.concatenate([[True], at[1:] != at[:-1]])]) > 1
+    of_family = [[t for t, (f, _) in zip(v.templates, TEMPLATES) if f == family] for family in FAMILIES]
+
+    def told(own: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, dict]]:
+        out: list[tuple[int, int, dict]] = []
+        for a, b, family, p in scored(c, own, starts, ends, model):
+            mine = own[a:b - 1]
+            near = set(mine.tolist())
+            contained, template = max(((len(near & t) / len(t), i) for i, t in enumerate(of_family[family])), default=(0.0, -1))
+            sure = contained >= CONTAINED
+            held = np.flatnonzero(np.isin(mine, list(of_family[family][template]))) if contained else [0]
+            place = a + int(held[0])
+            one = {"paragraph": int(at[place] - base[of[place]]), "family": FAMILIES[family] if sure else "unknown", "probability": p,
+                   "contained": contained, "confirmed": sure}
+            if out and a < out[-1][1] and out[-1][2]["family"] == one["family"]:  # the same notice in two windows
+                if one["contained"] > out[-1][2]["contained"]:
+                    out[-1] = (out[-1][0], b, one | {"paragraph": out[-1][2]["paragraph"]})
+                continue
+            out.append((a, b, one))
+        return out
+
+    singles = told(inner, *windows(at))
+    starts, ends = windows(block)
+    wide = several[block[starts]]
+    at_start = np.array([a for a, _, _ in singles], np.int64)
+    gone = set()
+    for a, b, one in told(pairs, starts[wide], ends[wide]):
+        inside = range(int(np.searchsorted(at_start, a)), int(np.searchsorted(at_start, b)))
+        if one["confirmed"]:
+            if any(singles[i][2]["family"] == one["family"] for i in inside):
+                continue
+            gone |= {i for i in inside if not singles[i][2]["confirmed"]}
+        elif len(inside):
+            continue
+        found[of[a]].append(one)
+    for i, (a, _, one) in enumerate(singles):
+        if i not in gone:
+            found[of[a]].append(one)
+    for f in found:
+        f.sort(key=lambda x: (x["paragraph"], x["family"]))
+    return [(int(n), f) for n, f in zip(lines, found)]
 
 
 def scan(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
