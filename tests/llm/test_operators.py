@@ -224,7 +224,7 @@ def test_quality_fences(spark):
     assert all(out[i].kept for i in range(300))
     exact = np.median([out[1000 + i].symbol_ratio for i in range(300)] + [out[2001].symbol_ratio])
     upper = np.quantile([out[1000 + i].symbol_ratio for i in range(300)] + [out[2001].symbol_ratio], 0.75)
-    assert abs(out[2001].most_symbol_ratio - (exact + 4 * max(upper - exact, 0.05))) < 0.08
+    assert abs(out[2001].most_symbol_ratio - (exact + 4 * max(upper - exact, 0.005))) < 0.01
 
 
 def test_personal_data():
@@ -237,7 +237,11 @@ def test_personal_data():
 
 def test_personal_data_model(odd, none):
     model = pii.train(odd)
-    assert model.held_out["accuracy"] > 0.97 and model.held_out["candidates"] > 500
+    # on forms of strings that the trees haven't seen
+    assert model.held_out["accuracy"] > 0.9 and model.held_out["candidates"] > 500
+    assert all(0.5 <= t <= pii.HIGHEST for t in model.thresholds) and 0.1 < model.platt[0] < 5
+    for name, *_ in pii.GENERATORS:
+        assert model.held_out[name]["recall"] > 0.5 and model.held_out[name]["precision"] > 0.8, (name, model.held_out[name])
     texts = ["reach me: joe.doe (at) mail (dot) org today", "version 1.22.3456.78 of it", "call (555) 123-4567 now", "order 1234567890 came"]
     found = [[(k, t[a:b]) for k, a, b, _, _ in s] for t, s in zip(texts, pii.find(texts, model))]
     assert found == [[("email", "joe.doe (at) mail (dot) org")], [], [("phone", "(555) 123-4567")], []]
