@@ -126,3 +126,19 @@ the Free Software Foundation, either version 3 of the License, or
             assert [f["family"] for f in found if f["confirmed"]] == [family], (family, mark, found)
     apart = notices["BSD"].replace("\n", "\n\n")
     assert not any(f["confirmed"] for f in licenses.scan_texts([apart], model)[0][1])
+
+
+def test_numbers_of_any_length_and_time(spark):
+    """No number is cut in two, and many spans in one text take time in proportion."""
+    import time
+    from zonekit.llm import pii
+    for digits in ("12345678901234567890123456", "4" * 300, "1234 5678 9012 3456 7890 1234 56"):
+        assert [text[a:b] for text in [f"account {digits} here"] for g, a, b in pii.candidates(text) if pii.GENERATORS[g][0].endswith("numbers")] == [digits]
+    model = pii.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    for unit in ("a.b@c.org ", "jane at example.com ", "123-45-6789 and more words of it, "):
+        seconds = []
+        for n in (250_000, 1_000_000):
+            start = time.process_time()
+            pii.find([unit * (n // len(unit))], model)
+            seconds.append(time.process_time() - start)
+        assert seconds[1] < 8 and seconds[1] < 8 * max(seconds[0], 0.1), (unit, seconds)

@@ -3,8 +3,8 @@
 Rules with a check (``base_spans``) always redact. Beside them high-recall generators propose more spans, which may
 overlap: addresses spelled out, national phone numbers, account numbers, IPv6 addresses, keys and passwords. Boosted
 trees score each candidate by its format and context; a Platt fit on held-out candidates turns scores into
-probabilities, and each generator's threshold is the least probability at which the held-out precision reaches
-``PRECISION`` (none: the generator redacts nothing). Of overlapping accepted candidates one that holds another whole
+probabilities, and each generator's threshold is the least probability at which the precision on them reaches
+``PRECISION``. Candidates are held out by whole forms of strings, so calibration speaks for forms that trees haven't seen. Of overlapping accepted candidates one that holds another whole
 goes before it, so that no part of it is left over, else the likeliest stays; none stays that touches a base span.
 
 No labels of personal data exist, so ``train`` makes them: into windows of the ``SAMPLE_DOCS`` documents with the least
@@ -17,6 +17,7 @@ alone and stays empty.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 from collections.abc import Callable, Iterator
@@ -27,8 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds of the training sample, and the precision that thresholds must reach on its held-out part.
+from .common import sampled
+
+#: Bounds of the training sample, and the precision that thresholds must reach on kept-out forms.
 SAMPLE_DOCS, PLANTED, PRECISION = 300, 6000, 0.99
+#: Folds of forms for calibration, and the highest threshold.
+FOLDS, HIGHEST = 5, 0.95
 #: Boosting: trees, depth, step, bins of a feature.
 TREES, DEPTH, STEP, BINS = 50, 3, 0.25, 32
 #: Kinds in the order in which spans with equal starts stand.
@@ -108,10 +113,21 @@ def _all(pattern: str) -> Callable[[str], Iterator[tuple[int, int]]]:
     return lambda text: (m.span() for m in found(text))
 
 
+#: Digits in groups with up to two signs between them, however many.
+_NUMBER = re.compile(r"[+(]?[0-9](?:[ ()./-]{0,2}[0-9]){6,}+")
+#: Most digits of a phone number; longer runs are proposed whole as accounts.
+PHONE_DIGITS = 16
+
+
+def _numbers(long: bool) -> Callable[[str], Iterator[tuple[int, int]]]:
+    return lambda text: (m.span() for m in _NUMBER.finditer(text) if (len(_DIGIT.findall(m[0])) > PHONE_DIGITS) == long)
+
+
 #: Generators: name, kind, what each of its matches must hold (none: a digit), spans. Runs end where the token ends.
 GENERATORS = [
     ("spelled_email", "email", re.compile(r"(?i)@|\(at\)|\[at\]| at "), _spelled_emails),
-    ("numbers", "phone", None, _all(r"[+(]?[0-9](?:[ ()./-]{0,2}[0-9]){6,15}")),
+    ("numbers", "phone", None, _numbers(False)),
+    ("long_numbers", "account", None, _numbers(True)),
     ("groups", "account", None, _all(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")),
     ("iban", "account", None, _all(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")),
     ("ipv6", "ip", re.compile(":"), _all(
@@ -126,6 +142,8 @@ CONTEXT = [re.compile(p) for p in (
     r"order|invoice|ticket|ref|item|sku|total|price|eur|usd|qty|sum", r"date|since|until|year|born|time|clock")]
 #: Words before "at" and a domain that name a place, not a person.
 _PROSE = re.compile(r"(?i)(?:available|found|look|online|hosted|read|see|visit|here|more|us|them|him|it|is|are) ")
+#: A local part of two names.
+_NAME = re.compile(r"[A-Za-z0-9]+[._-][A-Za-z0-9]+[ (\[@]")
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
@@ -144,7 +162,7 @@ def features(text: str, g: int, start: int, end: int) -> list[float]:
             "/" in s, " " in s, "-" in s, bool(digits) and luhn(digits), len(set(s)) / len(s),
             bool(re.fullmatch(r"(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}.*", s)),
             text[start - 1:start].isalnum() if start else 0, text[end:end + 1].isalnum(),
-            ". " in s, "::" in s, "@" in s, "(" in s or "[" in s, len(s) - max(map(s.rfind, ". :)]")), bool(_PROSE.match(s))]
+            ". " in s, "::" in s, s.count(":"), bool(digits) and any(c in "abcdefABCDEF" for c in s), max(map(len, s.split(":"))), "@" in s, "(" in s or "[" in s, len(s) - max(map(s.rfind, ". :)]")), bool(_PROSE.match(s)), bool(_NAME.match(s))]
     return own + [float(x) for x in form] + [float(bool(p.search(near))) for p in CONTEXT]
 
 
@@ -210,8 +228,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(a * self.trees.score(x) + b, -30, 30)))
 
 
-def planted(r: random.Random) -> tuple[str, bool]:
-    """A string in a short context, and whether it is personal data."""
+def planted(r: random.Random) -> tuple[str, bool, int]:
+    """A string in a short context, whether it is personal data, and the number of its form."""
     n = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     a = lambda k, s="abcdefghijklmnopqrstuvwxyz": "".join(r.choice(s) for _ in range(k))
     at, dot = r.choice([(" at ", " dot "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" (at) ", " (dot) "), ("(at)", "."), (" at ", "."), (" @ ", "."),
@@ -219,6 +237,7 @@ def planted(r: random.Random) -> tuple[str, bool]:
     hexes, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
     base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
     group = lambda: a(r.randint(1, 4), hexes)
+    four = lambda k: " ".join(n(4) for _ in range(k))
     name = a(r.randint(3, 8)) + r.choice(["", ".", "_"]) + a(r.randint(2, 6))
     yes = [
         f"{r.choice(['contact', 'mail', 'write to', 'e-mail:'])} |{name}{at}{a(r.randint(3, 8))}{dot}{r.choice(['com', 'org', 'net', 'de', 'fr', 'es'])}|",
@@ -228,27 +247,44 @@ def planted(r: random.Random) -> tuple[str, bool]:
         f"|{':'.join(a(4, hexes) for _ in range(8))}|", f"|AKIA{a(16, upper)}|", f"|password={a(r.randint(10, 20), hexes)}|", f"|token = \"{a(40, hexes)}\"|",
         f"|api_key: {a(r.randint(20, 32), hexes)}|", f"|{a(r.choice([64, 96, 128]), hexes)}|",
         f"|token={'.'.join(a(r.randint(20, 120), base64) for _ in range(3))}|",
-        f"|{r.choice(['2001:db8', 'fe80', '2a02:' + group()])}::{':'.join(group() for _ in range(r.randint(1, 4)))}|"]
+        f"|{r.choice(['2001:db8', 'fe80', '2a02:' + group()])}::{':'.join(group() for _ in range(r.randint(1, 4)))}|",
+        f"{r.choice(['reach me:', 'from', 'by mail', 'my address is'])} |{name}{at}{a(r.randint(3, 8))}{dot}{r.choice(['com', 'co.uk', 'io', 'info'])}|",
+        f"{r.choice(['mobil', 'cell', 'sms to', 'whatsapp'])} |{n(4)} {n(3)} {n(3)}|", f"{r.choice(['my social', 'tax id', 'social sec.'])} |{n(3)}-{n(2)}-{n(4)}|",
+        f"{r.choice(['transfer to', 'bank', 'account no.'])} |{r.choice(['GB', 'NL', 'IT', 'AT'])}{n(2)}{a(4, upper)}{n(4)}{n(4)}{n(2)}|",
+        f"{r.choice(['account', 'konto', 'account no.'])} |{n(r.randint(17, 26))}|", f"{r.choice(['bank account', 'konto nr'])} |{four(r.randint(5, 6))}|",
+        f"{r.choice(['gateway', 'host', 'from', 'address'])} |{':'.join(group() for _ in range(8))}|", f"{r.choice(['login', 'use'])} |secret: {a(r.randint(9, 24), base64)}|",
+        f"{r.choice(['key', 'bearer'])} |{a(r.randint(28, 60), hexes)}{n(2)}|", f"|passwd={a(r.randint(8, 14), base64)}{n(2)}|",
+        f"{r.choice(['ping', 'host', 'server', 'via'])} |{group()}:{group()}::{r.choice([group(), n(1), n(2), group() + ':' + group()])}|",
+        f"{r.choice(['route', 'net', 'address'])} |{r.choice(['fd00', 'fe80', 'ff02'])}::{group()}|", f"|ghp_{a(36, base64[:62])}|", f"{r.choice(['phone', 'call', 'fax'])} |{n(3)}.{n(3)}.{n(4)}|",
+        f"{r.choice(['to', 'from', 'dns'])} |2a00:{n(4)}:{group()}:{group()}::{group()}|", f"{r.choice(['node', 'ip', 'to'])} |{':'.join(a(r.randint(2, 4), hexes) for _ in range(8))}|",
+        f"|{r.choice(['::1', '::ffff:' + group() + n(1), n(4) + '::' + group()])}| is up"]
     no = [
         f"met {r.choice(['him', 'them'])} |{a(5)} at {a(4)}. {a(5)}|", f"a |{a(5)} at {a(6)} dot {a(3)}| or two", f"order |{n(10)}|", f"ISBN |978-{n(1)}-{n(4)}-{n(4)}-{n(1)}|",
         f"version |{n(1)}.{n(2)}.{n(4)}.{n(2)}|", f"on |{r.randint(1950, 2030)}-{n(2)}-{n(2)}| at |{n(2)}:{n(2)}:{n(2)}:{n(2)}|", f"invoice |{n(3)}-{n(2)}-{n(4)}| total",
         f"|{n(2)}.{n(2)}.{r.randint(1950, 2030)}|", f"total |{n(3)} {n(3)} {n(3)}| EUR", f"|{a(r.randint(18, 40))}{n(1)}|", f"item |{a(4, upper)} {n(4)} {n(4)}| in stock",
         f"ref |{n(4)}/{n(4)}/{n(3)}|", f"ticket |{n(r.randint(8, 16))}|", f"doi |{n(2)}.{n(4)}/{n(6)}|", f"|{a(24)}_{a(6)}{n(2)}|", f"a token: |{a(9)}| of",
         f"|{r.choice(['available', 'found', 'look', 'online', 'read', 'see', 'us'])} at {a(r.randint(3, 8))}.{r.choice(['com', 'org', 'net'])}|",
-        f"|{'_'.join(a(r.randint(3, 9)) for _ in range(r.randint(4, 14)))}_{n(1)}|", f"call |{a(3, 'abcdef')}::{a(3, 'abcdef')}|()"]
+        f"|{'_'.join(a(r.randint(3, 9)) for _ in range(r.randint(4, 14)))}_{n(1)}|", f"call |{a(3, 'abcdef')}::{a(3, 'abcdef')}|()",
+        f"visit |{r.choice(['us', 'them', 'more', 'it'])} at {a(r.randint(3, 8))}.{r.choice(['com', 'org', 'net', 'de'])}|", f"order no. |{n(3)}-{n(2)}-{n(4)}| shipped",
+        f"sku |{n(3)}-{n(2)}-{n(4)}|", f"item |{a(2, upper)}{n(2)} {n(4)} {n(4)}| qty", f"serial |{n(r.randint(17, 24))}| of the item", f"pi is |3.{n(r.randint(18, 30))}|",
+        f"mac at |{n(2)}:{n(2)}:{n(2)}:{n(2)}:{n(2)}:{n(2)}| o'clock", f"a secret: |{a(r.randint(4, 7))}| of", f"page |{n(3)} {n(3)} {n(3)}| section", f"the |{a(r.randint(18, 30))}_{n(3)}| item",
+        f"in |{a(4, 'abcdef')}::{a(4, 'abcdef')}| of", f"at |{n(1)}:{n(2)}:{n(2)}:{n(2)}:{n(3)}| time", f"use |{a(2, 'abcdef')}{n(1)}::{a(2, 'abcdef')}|()",
+        f"ratio |{n(1)}:{n(1)}:{n(1)}:{n(1)}| mixed", f"lap |{n(2)}:{n(2)}:{n(2)}:{n(2)}|", f"call |{a(4, 'abcdef')}::{a(3, 'abcdef')}|<", f"a |{a(3, 'abcdef')}::{a(4, 'abcdef')}| b",
+        f"verse |{n(1)}:{n(2)}:{n(1)}:{n(2)}:{n(2)}|", f"|{a(3, 'abcdef')}::{a(3, 'abcdef')}|::x"]
     good = r.random() < 0.5
-    return r.choice(yes if good else no), good
+    form = r.randrange(len(yes if good else no))
+    return (yes if good else no)[form], good, form + (0 if good else len(yes))
 
 
-def examples(texts: list[str], seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the candidates in windows with planted strings."""
-    r, x, y = random.Random(seed), [], []
+def examples(texts: list[str], seed: int = 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and forms of the candidates in windows with planted strings."""
+    r, x, y, forms = random.Random(seed), [], [], []
     texts = [t for t in texts if t] or ["some words before and after it in a text of no other use"]
     for _ in range(PLANTED):
         t = r.choice(texts)
         at = r.randrange(len(t))
         at = t.rfind(" ", 0, at) + 1
-        marked, good = planted(r)
+        marked, good, form = planted(r)
         pre = f"{t[max(0, at - 80):at]}{marked.split('|')[0]}"
         parts = marked.split("|")
         window, spans = pre, []
@@ -268,32 +304,50 @@ def examples(texts: list[str], seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
                     continue  # a part of a planted string teaches neither
                 x.append(features(window, g, a, b))
                 y.append(float(good))
-    return np.array(x), np.array(y)
+                forms.append(form)
+    return np.array(x), np.array(y), np.array(forms)
 
 
-def train(df: DataFrame, text: str = "text") -> Model:
-    """Fit trees, calibration and thresholds on windows of the documents with the least hashes."""
-    col = F.col(text).cast("string")
-    rows = df.where(F.octet_length(col) > 0).select(col.alias("t")).orderBy(F.xxhash64("t"), "t").limit(SAMPLE_DOCS).collect()
-    x, y = examples([r["t"] for r in rows])
-    held = np.arange(len(y)) % 10 < 3
-    trees = boost(x[~held], y[~held])
-    score, truth = trees.score(x[held]), y[held]
+def platt(score: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of a logistic fit. Its targets stand off 0 and 1 by one example a class, so separable scores stay finite."""
+    good, bad = truth.sum(), (1 - truth).sum()
+    want = np.where(truth > 0, (good + 1) / (good + 2), 1 / (bad + 2))
     a, b = 1.0, 0.0
-    for _ in range(30):  # Newton steps of the Platt fit
+    for _ in range(50):  # Newton steps
         p = 1 / (1 + np.exp(-np.clip(a * score + b, -30, 30)))
-        w, e = p * (1 - p) + 1e-9, truth - p
+        w, e = p * (1 - p) + 1e-9, want - p
         m = np.array([[(w * score * score).sum() + 1e-3, (w * score).sum()], [(w * score).sum(), w.sum() + 1e-3]])
         da, db = np.linalg.solve(m, [(e * score).sum(), e.sum()])
         a, b = a + float(np.clip(da, -1, 1)), b + float(np.clip(db, -1, 1))
+    return a, b
+
+
+def train(df: DataFrame, text: str = "text") -> Model:
+    """Fit trees on windows of the documents with the least hashes; calibrate and set thresholds on forms that trees haven't seen.
+
+    The forms of planted strings are dealt to ``FOLDS`` folds; each fold is scored by trees fitted without its forms. The Platt fit and the
+    thresholds use these scores alone. A threshold is the least probability from 0.5 on at which the precision over
+    kept-out forms reaches ``PRECISION``, at most ``HIGHEST``; ``held_out`` has recall and precision by generator.
+    """
+    x, y, forms = examples(sampled(df, text, SAMPLE_DOCS))
+    score = np.empty(len(y))
+    for k in range(FOLDS):
+        out = forms % FOLDS == k
+        score[out] = boost(x[~out], y[~out]).score(x[out])
+    model = Model(boost(x, y), platt(score, y), [])
+    a, b = model.platt
     p = 1 / (1 + np.exp(-np.clip(a * score + b, -30, 30)))
-    thresholds = []
-    for g in range(len(GENERATORS)):
-        own = x[held][:, g] == 1
+    for g, (name, *_) in enumerate(GENERATORS):
+        own = x[:, g] == 1
         order = np.argsort(-p[own], kind="stable")
-        precise = np.cumsum(truth[own][order]) / np.arange(1, own.sum() + 1) >= PRECISION
-        thresholds.append(float(max(p[own][order][np.flatnonzero(precise)[-1]], 0.5)) if precise.any() else 2.0)
-    return Model(trees, (a, b), thresholds, {"accuracy": float(((p > 0.5) == truth).mean()), "candidates": len(truth)})
+        last = np.append(np.diff(p[own][order]) != 0, True)  # equal probabilities pass together
+        precise = (np.cumsum(y[own][order]) / np.arange(1, own.sum() + 1) >= PRECISION) & last
+        least = float(p[own][order][np.flatnonzero(precise)[-1]]) if precise.any() else HIGHEST
+        model.thresholds.append(min(max(least, 0.5), HIGHEST))
+        taken = p[own] >= model.thresholds[-1]
+        model.held_out[name] = {"recall": float(y[own][taken].sum() / max(1, y[own].sum())), "precision": float(y[own][taken].mean()) if taken.any() else 1.0}
+    model.held_out |= {"accuracy": float(((p > 0.5) == y).mean()), "candidates": len(y)}
+    return model
 
 
 def find(texts: list[str], model: Model) -> list[list[tuple[str, int, int, bool, float]]]:
@@ -303,13 +357,21 @@ def find(texts: list[str], model: Model) -> list[list[tuple[str, int, int, bool,
     for i, t in enumerate(texts):
         own = [(k, a, b, True, 1.0) for k, a, b in base_spans(t)]
         out.append(own)
+        fixed: list[list[int]] = []  # base spans put together, in order
+        for _, a, b, _, _ in own:
+            if fixed and a < fixed[-1][1]:
+                fixed[-1][1] = max(fixed[-1][1], b)
+            else:
+                fixed.append([a, b])
+        ends = [b for _, b in fixed]
         for g, a, b in candidates(t):
-            if not any(a < s[2] and s[1] < b for s in own):
+            at = bisect.bisect_right(ends, a)  # the first that ends behind the start
+            if at == len(fixed) or fixed[at][0] >= b:
                 rows.append((i, g, a, b))
                 x.append(features(t, g, a, b))
     if rows:
         p = model.probabilities(np.array(x))
-        taken: dict[int, list[tuple[int, int]]] = {}
+        taken: dict[int, list[tuple[int, int]]] = {}  # of each text, apart from each other and in order
         good = [j for j in range(len(rows)) if p[j] >= limits[rows[j][1]]]
         inner, last, reach = set(), -1, 0  # those that lie in another one
         for j in sorted(good, key=lambda j: (rows[j][0], rows[j][2], -rows[j][3], -p[j])):
@@ -320,8 +382,10 @@ def find(texts: list[str], model: Model) -> list[list[tuple[str, int, int, bool,
                 last, reach = i, b
         for j in sorted(good, key=lambda j: (j in inner, -p[j], rows[j])):
             i, g, a, b = rows[j]
-            if not any(a < e and s < b for s, e in taken.get(i, ())):
-                taken.setdefault(i, []).append((a, b))
+            own = taken.setdefault(i, [])
+            at = bisect.bisect_left(own, (a, b))
+            if (at == 0 or own[at - 1][1] <= a) and (at == len(own) or own[at][0] >= b):
+                own.insert(at, (a, b))
                 out[i].append((GENERATORS[g][1], a, b, False, float(p[j])))
     for spans in out:
         spans.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
