@@ -108,7 +108,13 @@ def components(edges: DataFrame) -> DataFrame:
     the shared folder. A node of many edges is reduced by a partial minimum before the shuffle.
     """
     def least(df: DataFrame) -> DataFrame:
-        return df.groupBy("u").agg(F.min("v").alias("m"))
+        return df.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("edges"))
+
+    def with_least(df: DataFrame, low: DataFrame) -> DataFrame:
+        """Edges with the least neighbour of ``u``; those of a hub meet it by broadcast, on whatever task they are."""
+        low = stored(low, "least")
+        total = low.agg(F.sum("edges")).first()[0] or 0
+        return lookup(df, low, ["u"], "edges", total).drop("edges")
 
     def mark(df: DataFrame):
         row = df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -118,11 +124,11 @@ def components(edges: DataFrame) -> DataFrame:
     seen = mark(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = least(both).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = least(both).select("u", F.least("u", "m").alias("m"), "edges")
+        large = with_least(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.distinct(), "large_star")
         low = least(large)
-        joined = large.join(low, "u")
+        joined = with_least(large, low)
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v")))
         now = stored(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
