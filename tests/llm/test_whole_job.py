@@ -142,3 +142,28 @@ def test_numbers_of_any_length_and_time(spark):
             pii.find([unit * (n // len(unit))], model)
             seconds.append(time.process_time() - start)
         assert seconds[1] < 8 and seconds[1] < 8 * max(seconds[0], 0.1), (unit, seconds)
+
+
+def test_revisits_resolve_by_standard_fields(spark):
+    """Another reader finds the response of a revisit by record id, URI and date alone."""
+    import struct
+
+    import zstandard
+
+    from zonekit.llm import warc
+    pages = spark.createDataFrame([(i, f"http://x/{i}" if i % 4 else None, "<p>" + "same text " * (20 + i % 5)) for i in range(60)], "page_id long, url string, html string")
+    found = []
+    for row in warc.write(warc.plan(pages.repartition(6))).collect():
+        data = open(row.path, "rb").read()
+        size = struct.unpack("<II", data[:8])[1]
+        plain = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8:8 + size])).stream_reader(data[8 + size:], read_across_frames=True).read()
+        for head in plain.split(b"WARC/1.1\r\n")[1:]:
+            found.append(dict(x.split(": ", 1) for x in head.split(b"\r\n\r\n")[0].decode().split("\r\n")))
+    by_id = {f["WARC-Record-ID"]: f for f in found}
+    assert len(found) == len(by_id) == 60
+    revisits = [f for f in found if f["WARC-Type"] == "revisit"]
+    assert len(revisits) == 55
+    for f in revisits:
+        to = by_id[f["WARC-Refers-To"]]
+        assert to["WARC-Type"] == "response" and to["WARC-Payload-Digest"] == f["WARC-Payload-Digest"] and to["WARC-Date"] == f["WARC-Refers-To-Date"]
+        assert to.get("WARC-Target-URI") == f.get("WARC-Refers-To-Target-URI")

@@ -9,7 +9,8 @@ first records stands in a leading skippable frame, each record is a frame of its
 only tasks that succeed reach the manifest. ``read`` streams the archives of a manifest back, one a task at a time.
 
 Null html counts as empty, a null url is left out of the record. Pages without an id can be responses only where no
-page with an id has their payload; their revisits then refer to null. Rows that repeat the smallest page id of a payload are all responses.
+page with an id has their payload; their revisits then refer to null. Rows that repeat the smallest page id of a payload are all responses,
+of one record id.
 Other columns are not read. An empty table makes no archive.
 """
 
@@ -37,40 +38,48 @@ ARCHIVE_BYTES, SAMPLE_BYTES, DICTIONARY_BYTES = 32 << 20, 2 << 20, 32 << 10
 SKIPPABLE, VERSION, DATE = 0x184D2A5D, "WARC/1.1", "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-PLANNED = "page_id", "url", "payload", "payload_digest", "record_type", "refers_to"
+PLANNED = "page_id", "url", "payload", "payload_digest", "record_type", "refers_to", "refers_to_url"
 MANIFEST = "path string, records long, bytes long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
 def plan(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, payload, payload_digest, record_type, refers_to of every page."""
+    """page_id, url, payload, payload_digest, record_type, and of revisits refers_to, refers_to_url, of every page."""
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha2("payload", 256))
     shared = (rows.where(F.octet_length("payload") >= LEAST_BYTES).groupBy("payload_digest")
-              .agg(F.count("*").alias("copies"), F.min("page_id").alias("first")).where("copies > 1"))
+              .agg(F.count("*").alias("copies"), F.min("page_id").alias("first"), F.min_by("url", "page_id").alias("first_url")).where("copies > 1"))
     shared = stored(shared, "shared_payloads")
     out = lookup(rows, shared, ["payload_digest"], "copies", pages.count())
     # without an id at all, the first of equal pages can't be told: all are responses
     revisit = F.col("copies").isNotNull() & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return out.select("page_id", "url", "payload", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-                      F.when(revisit, F.col("first")).alias("refers_to"))
+                      F.when(revisit, F.col("first")).alias("refers_to"), F.when(revisit, F.col("first_url")).alias("refers_to_url"))
+
+
+def record_id(page_id: int | None, digest: str, kind: str) -> str:
+    """The same for the same page, payload and type, so that a revisit can name a record that another task writes."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}:{page_id}:{digest}')}>"
 
 
 def record(row: dict) -> bytes:
-    """One WARC record. The id of a page goes into the record's id and a field of its own."""
+    """One WARC record. The id of a page goes into the record's id and a field of its own; a revisit names its response by the standard fields."""
     revisit = row["record_type"] == "revisit"
     payload = row["payload"]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
-    fields = [("WARC-Type", row["record_type"]), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE)]
+    fields = [("WARC-Type", row["record_type"]), ("WARC-Record-ID", record_id(row["page_id"], row["payload_digest"], row["record_type"])), ("WARC-Date", DATE)]
     if row["url"] is not None:
         fields.append(("WARC-Target-URI", " ".join(row["url"].split())))
     if row["page_id"] is not None:
         fields.append(("WARC-Page-ID", row["page_id"]))
     fields.append(("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"))
     if revisit:
-        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To-Page-ID", row["refers_to"])]
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", record_id(row["refers_to"], row["payload_digest"], "response")),
+                   ("WARC-Refers-To-Date", DATE), ("WARC-Refers-To-Page-ID", row["refers_to"])]
+        if row.get("refers_to_url") is not None:
+            fields.append(("WARC-Refers-To-Target-URI", " ".join(row["refers_to_url"].split())))
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
     head = "".join(f"{k}: {v}\r\n" for k, v in fields)
     return f"{VERSION}\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
