@@ -39,12 +39,19 @@ def check_predictions(pred: DataFrame, col: str, expected_rows: Column | int, tr
 
 
 def check_columns(train: DataFrame, test: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """M3: columns present on one side only (schema check; no data is read)."""
-    spark = train.sparkSession
-    a, b = set(train.columns) - set(exclude), set(test.columns) - set(exclude)
-    rows = [(c, "train_only") for c in sorted(a - b)] + [(c, "test_only") for c in sorted(b - a)]
-    status = "PASS" if not rows else "FAIL"
-    return spark.createDataFrame(rows or [("", "none")], "column string, side string").withColumn("status", F.lit(status))
+    """M3: every column of either side: its non-null values on both (null: no such column) and a status.
+
+    PASS: on both sides, with values on both; EMPTY: on both, but without a value on one; TRAIN_ONLY, TEST_ONLY.
+    """
+    def values(df: DataFrame, side: str) -> DataFrame:
+        cols = [c for c in df.columns if c not in exclude]
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols])
+        items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias(side)) for c in cols])
+        return counts.select(F.explode(items).alias("x")).select("x.*")
+
+    both = values(train, "train_values").join(values(test, "test_values"), on="column", how="full")
+    a, b = F.col("train_values"), F.col("test_values")
+    return both.withColumn("status", F.when(b.isNull(), "TRAIN_ONLY").when(a.isNull(), "TEST_ONLY").when((a == 0) | (b == 0), "EMPTY").otherwise("PASS"))
 
 
 def check_rows(before: DataFrame, after: DataFrame) -> DataFrame:

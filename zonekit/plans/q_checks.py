@@ -50,11 +50,16 @@ def m2_check_predictions(spark, sf):
     return c.select("check", r6("value"), "status")
 
 
-@query("m3_check_columns")
+_M3_BOTH = ["row_id", "total_count", "lon", "lat", "precip", "snow", "temp", "wind", "hour", "dow", "month", "grid_id", "count_bin", "time_period", "grid_period"]
+
+
+@query("m3_check_columns", sql=K + "SELECT * FROM (" + " UNION ALL ".join(
+    [f"SELECT '{c}' AS column, (SELECT count({c}) FROM ktr) AS train_values, (SELECT count({c}) FROM kte) AS test_values, 'PASS' AS status" for c in _M3_BOTH]
+    + ["SELECT 'invalid_ratio', (SELECT count(invalid_ratio) FROM ktr), NULL, 'TRAIN_ONLY'", "SELECT 'fold', (SELECT count(fold) FROM ktr), NULL, 'TRAIN_ONLY'"]) + ") t")
 def m3_check_columns(spark, sf):
+    """Keyed train rows against scoring rows, which have neither target nor fold: the values of every column on both sides."""
     tr, te = keyed_split(spark, sf)
-    ftr, fte = pipeline.features(tr, te)
-    return checks.check_columns(ftr, fte)
+    return checks.check_columns(tr.select(*_M3_BOTH, _Y, "fold"), te.select(*_M3_BOTH))
 
 
 @query("m4_check_rows", sql=K + S.kfold_cte("ec", "ktr", "grid_id", 30) + S.kfold_cte("ep", "ktr", "grid_period", 50) + """
