@@ -51,25 +51,25 @@ def b2_feature_columns(spark, sf):
                                 else F.col(c) for c in cols])
 
 
-@query("b3_feature_groups", sql="""
-SELECT g.grp, count(*) AS n_features FROM (VALUES ('base', 'total_count'), ('base', 'lon'), ('base', 'lat'),
- ('base', 'precip'), ('base', 'snow'), ('base', 'temp'), ('base', 'wind'), ('base', 'hour'), ('base', 'dow'),
- ('base', 'month'), ('count', 'log_total_count'), ('count', 'count_bin'), ('cyclical', 'hour_sin'),
- ('cyclical', 'hour_cos'), ('cyclical', 'dow_sin'), ('cyclical', 'dow_cos'), ('cyclical', 'month_sin'),
- ('cyclical', 'month_cos'), ('spatial', 'grid_te'), ('temporal_spatial', 'time_period'),
- ('temporal_spatial', 'grid_period_te'), ('weather', 'is_raining'), ('weather', 'has_snow'),
- ('grid_stats', 'grid_avg_count'), ('grid_stats', 'grid_violation_std'), ('grid_stats', 'grid_sample_count'))
- AS g(grp, feature) JOIN (SELECT DISTINCT CAST(total_count AS INTEGER) AS tc FROM zone_obs WHERE split = 'train') t
- ON t.tc = 1 GROUP BY g.grp""")
+# the observed column on which each derived feature stands: a feature has a value where that column has one
+_B3_FROM = {"snow": "row_id", "wind": "row_id", "log_total_count": "total_count", "count_bin": "total_count", "hour_sin": "hour", "hour_cos": "hour", "dow_sin": "dow",
+            "dow_cos": "dow", "month_sin": "month", "month_cos": "month", "grid_te": "grid_id", "grid_period_te": "grid_period", "time_period": "hour",
+            "is_raining": "precip", "has_snow": "row_id", "grid_avg_count": "grid_id", "grid_violation_std": "grid_id", "grid_sample_count": "grid_id"}
+_B3_SETS = {**pipeline.cumulative_groups(), "pruned": [f for fs in pipeline.FEATURE_GROUPS.values() for f in fs if f not in pipeline.WEAK_FEATURES]}
+
+
+@query("b3_feature_groups", sql=K + "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{g}' AS feature_set, CAST({len(fs)} AS BIGINT) AS n_features, CAST((SELECT {' + '.join(f'count({_B3_FROM.get(f, f)})' for f in fs)} FROM ktr) AS BIGINT) AS train_values"
+    for g, fs in _B3_SETS.items()) + ") t")
 def b3_feature_groups(spark, sf):
-    """Named incremental feature groups, checked against the columns a real tier-2 frame has."""
+    """Named incremental feature sets and the pruned one: their features in the train frame, and how many values these have there."""
     tr, te = keyed_split(spark, sf)
     ftr, _ = pipeline.features(tr, te)
-    present = set(ftr.columns)
-    rows = [(g, f) for g, fs in pipeline.FEATURE_GROUPS.items() for f in fs if f in present]
-    groups = spark.createDataFrame(rows, "grp string, feature string")
-    anchor = tr.select(F.col("total_count").alias("tc")).where("tc = 1").distinct()
-    return groups.join(anchor, how="inner").groupBy("grp").agg(F.count(F.lit(1)).alias("n_features"))
+    sets = {g: [f for f in fs if f in ftr.columns] for g, fs in _B3_SETS.items()}
+    counts = ftr.agg(*[F.count(f).alias(f) for f in dict.fromkeys(f for fs in sets.values() for f in fs)])
+    items = F.array(*[F.struct(F.lit(g).alias("feature_set"), F.lit(len(fs)).cast("long").alias("n_features"),
+                               sum((F.col(f) for f in fs), F.lit(0).cast("long")).alias("train_values")) for g, fs in sets.items()])
+    return counts.select(F.explode(items).alias("s")).select("s.*")
 
 
 @query("b4_filter", sql="""
