@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .ranks import join_keys, rank_table, running_totals, stacked_rank_table
 
 
@@ -56,6 +57,7 @@ def spearman(df: DataFrame, a: str, b: str, by: Sequence[str] = (), out: str = "
     by = list(by)
     d = df.select(*by, F.col(a).alias("_zk_a"), F.col(b).alias("_zk_b"))
     d = d.where(F.col("_zk_a").isNotNull() & F.col("_zk_b").isNotNull()).groupBy(*by, "_zk_a", "_zk_b").agg(F.count(F.lit(1)).alias("_zk_m"))
+    d = stored(d, "pairs")  # read for the ranks and again to attach them
     rb = rank_table(d, "_zk_b", by, "_zk_rb", parts, "_zk_m", centred=True)
     rows = join_keys(d, rb, [*by, "_zk_b"], "inner")
     m, r = F.col("_zk_m"), F.col("_zk_rb")
@@ -87,6 +89,7 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence
     long = df.select(*by, F.explode(items).alias("_zk_s")).select(*by, "_zk_s.*") \
         .where(F.col("_zk_a").isNotNull() & F.col("_zk_b").isNotNull()) \
         .groupBy(*by, "_zk_p", "_zk_a", "_zk_b").agg(F.count(F.lit(1)).alias("_zk_m"))
+    long = stored(long, "pairs")
     r = with_ranks(long, ["_zk_a", "_zk_b"], [*by, "_zk_p"], parts=parts, weight="_zk_m", centred=True)
     m, x, y = F.col("_zk_m"), F.col("_r__zk_a"), F.col("_r__zk_b")
     sums = r.groupBy(*by, "_zk_p").agg(F.sum(m * x * x).alias("_Sxx"), F.sum(m * y * y).alias("_Syy"), F.sum(m * x * y).alias("_Sxy"))

@@ -7,9 +7,11 @@ Arrow for the few pandas hand-offs, UI off.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -70,10 +72,27 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_HOMES: set[str] = set()
+
+
+def _remove(spark: SparkSession, home: str) -> None:
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except (Py4JError, OSError, AttributeError):
+        pass  # the session ended before: nothing can be reached any more
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for tables a job writes."""
-    base = shared_dir(spark)
-    return f"{base}/zonekit/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared folder for tables a job writes, in a folder of the application's own.
+
+    The folder is removed when the application ends by itself; one that was killed leaves it under its application id.
+    """
+    home = f"{shared_dir(spark)}/zonekit/{spark.sparkContext.applicationId}"
+    if home not in _HOMES:
+        _HOMES.add(home)
+        atexit.register(_remove, spark, home)
+    return f"{home}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df, name: str):
