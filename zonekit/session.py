@@ -95,10 +95,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{home}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df, name: str):
-    """Write ``df`` to the shared folder and read it again: computed once, its lineage cut."""
+def stored(df, name: str, compression: str | None = None):
+    """Write ``df`` to the shared folder and read it again: computed once, its lineage cut; it survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
