@@ -7,7 +7,7 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stored  # noqa: F401 (used by the operators)
 
 #: A key that holds more than this share of all rows is "hot". At most 1 / HOT_SHARE keys can be,
 #: whatever the data, so a table of hot keys has a proven size and may be broadcast.
@@ -31,14 +31,6 @@ def unpacked(columns: list[str], pack: str = "_own") -> list[Column]:
     return [F.col(pack).getField(c).alias(c) for c in columns]
 
 
-def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def sampled(df: DataFrame, text: str, most: int, width: int = 4000) -> list[str]:
     """Windows of up to ``width`` characters of the (about) ``most`` texts with the least hashes, in that order.
 
