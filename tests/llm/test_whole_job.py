@@ -167,3 +167,25 @@ def test_revisits_resolve_by_standard_fields(spark):
         to = by_id[f["WARC-Refers-To"]]
         assert to["WARC-Type"] == "response" and to["WARC-Payload-Digest"] == f["WARC-Payload-Digest"] and to["WARC-Date"] == f["WARC-Refers-To-Date"]
         assert to.get("WARC-Target-URI") == f.get("WARC-Refers-To-Target-URI")
+
+
+def test_near_duplicates_in_small_parts(spark, monkeypatch):
+    """Blocks cut by classes or by n-grams give the links of whole ones."""
+    import os
+    import sys
+    sys.path.insert(0, os.path.dirname(__file__))
+    import brute
+    from zonekit.llm import ngram_join
+    r = random.Random(8)
+    base = [f"w{r.randint(0, 400)}" for _ in range(400)]
+    docs = []
+    for i in range(60):
+        words = base[:r.choice([60, 90, 200, 390])]
+        words[r.randrange(len(words))] = f"x{i}"
+        docs.append((i, " ".join(words)))
+    want = {k: (v[0], v[3]) for k, v in brute.near(docs).items()}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for block, grams in ((800, 2_000_000), (4, 2_000_000), (800, 700)):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", grams)
+        assert {x.doc_id: (x.class_id, x.n_links) for x in ngram_join.linked(df, keep=["doc_id"]).collect()} == want, (block, grams)

@@ -3,7 +3,7 @@
 1. Texts of one n-gram set are a class; only classes go on, so copies are never compared with each other.
 2. Band and row counts follow from the threshold and the recall that banding must reach at it (``banding``). Classes
    are shuffled on band hashes; those that share one are candidates, and candidates that hang together a block.
-3. A block of up to ``BLOCK`` classes meets in one task, which compares the full n-gram sets of all its pairs (also of
+3. A block of up to ``BLOCK`` classes and ``BLOCK_GRAMS`` n-grams meets in one task, which compares the full n-gram sets of all its pairs (also of
    those that share no band). A larger one is split by set size, of which similar sets can't differ by more than the
    threshold, and by hash; only parts of equal or neighbouring sizes meet, so no task gets more than two parts.
    Tasks return counts of links and a spanning forest, never the pairs, and nothing is left out.
@@ -34,8 +34,8 @@ from .common import components, groups, lookup, packed, stored
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 #: Hash functions of a signature at most; more rows a band make fewer false candidates.
 MOST_HASHES = 256
-#: Classes that one task compares (of each of two parts).
-BLOCK = 800
+#: Classes, and n-grams of them, that one task compares (of each of two parts); a longer text is a part by itself.
+BLOCK, BLOCK_GRAMS = 800, 2_000_000
 #: Words whose hashes a worker keeps; cells of a matrix; both bound memory only.
 CACHE_WORDS, CELLS = 400_000, 8 << 20
 
@@ -166,10 +166,13 @@ def compared(candidates: DataFrame, n: int, threshold: float) -> DataFrame:
     """(_c, links, root) of every class of each pair of parts: ``candidates`` has (task, side, _c, text)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groups(batches, 1):
+        for key, rows in groups(batches, 1):
+            part = key[0].rpartition("/")[2].split(",")
+            first = sum(r[1] == 0 for r in rows) if part[:2] != part[2:] and len(part) == 4 else None  # None: one part with itself
+            if first in (0, len(rows)):  # the other part is empty
+                continue
             sets = [ngrams(r[3] or "", n) for r in rows]
-            first = sum(r[1] == 0 for r in rows) if rows[-1][1] else 0
-            found = links(sets, first, threshold)
+            found = links(sets, first or 0, threshold)
             names = [r[2] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.binary()), pa.array(found.sum(1), pa.int64()),
@@ -210,22 +213,23 @@ def classed(df: DataFrame, doc_id: str, text: str, n: int, threshold: float, rec
     blocks = stored(components(met.select(F.col("_c").alias("u"), F.col("low").alias("v"))), "blocks")
     # parts of a block: by size (neighbours only can be similar), then by hash into as many as needed
     size = F.floor(F.log("_n") / math.log(1 / threshold)).cast("int")
-    inner = stored(blocks.join(classes, F.col("node") == F.col("_c")).select("root", "_c", "first", size.alias("size")), "inner")
-    totals = inner.groupBy("root").agg(F.count("*").alias("all"))
-    counts = inner.groupBy("root", "size").agg(F.count("*").alias("here"))
-    parts = counts.withColumn("parts", F.ceil(F.col("here") / BLOCK).cast("int")).join(totals, "root")
+    inner = stored(blocks.join(classes, F.col("node") == F.col("_c")).select("root", "_c", "first", "_n", size.alias("size")), "inner")
+    grams = F.sum(F.col("_n").cast("long"))
+    totals = inner.groupBy("root").agg((F.greatest(F.count("*") / BLOCK, grams / BLOCK_GRAMS) <= 1).alias("whole"))
+    counts = inner.groupBy("root", "size").agg(F.count("*").alias("here"), F.ceil(F.greatest(F.count("*") / BLOCK, grams / BLOCK_GRAMS)).cast("int").alias("parts"))
+    parts = counts.join(totals, "root")
     up = parts.select("root", (F.col("size") - 1).alias("size"), F.col("parts").alias("up"))
     down = parts.select("root", (F.col("size") + 1).alias("size"), F.col("parts").alias("down"))
     plan = stored(parts.join(up, ["root", "size"], "left").join(down, ["root", "size"], "left")
-                  .select("root", "size", "all", "here", "parts", F.coalesce("up", F.lit(0)).alias("up"), F.coalesce("down", F.lit(0)).alias("down")), "parts")
+                  .select("root", "size", "whole", "here", "parts", F.coalesce("up", F.lit(0)).alias("up"), F.coalesce("down", F.lit(0)).alias("down")), "parts")
     placed = lookup(inner, plan, ["root", "size"], "here", inner.count())
     placed = placed.withColumn("h", F.expr("cast(pmod(xxhash64(_c), parts) as int)"))
-    task = F.expr(f"""case when `all` <= {BLOCK} then array(struct('' as task, 0 as side)) else concat(
+    task = F.expr("""case when whole then array(struct('' as task, 0 as side)) else concat(
         transform(sequence(0, parts - 1), i -> struct(concat_ws(',', size, least(h, i), size, greatest(h, i)) as task, if(h > i, 1, 0) as side)),
         if(up > 0, transform(sequence(0, up - 1), i -> struct(concat_ws(',', size, h, size + 1, i) as task, 0 as side)), array()),
         if(down > 0, transform(sequence(0, down - 1), i -> struct(concat_ws(',', size - 1, i, size, h) as task, 1 as side)), array())) end""")
-    tasks = placed.select("root", "_c", F.col("first.row").alias("_row"), F.explode(task).alias("t"), (F.col("all") > BLOCK).alias("split"))
-    tasks = tasks.select(F.concat_ws("/", F.hex("root"), "t.task").alias("task"), F.col("t.side").alias("side"), "_c", "_row", "split")
+    tasks = placed.select("root", "_c", F.col("first.row").alias("_row"), F.explode(task).alias("t"))
+    tasks = tasks.select(F.concat_ws("/", F.hex("root"), "t.task").alias("task"), F.col("t.side").alias("side"), "_c", "_row")
     texts = base.select("_row", F.col(text).alias("text"))
     found = stored(compared(texts.join(tasks, "_row"), n, threshold).where("links > 0"), "links")
     per_class = found.groupBy("_c").agg(F.sum("links").alias("n_links"))
