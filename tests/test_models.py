@@ -327,3 +327,30 @@ def test_ks_test_by_group(spark):
     asked = stats.ks_test(spark.createDataFrame(data, "g string, v double, s string"), "v", "s", by=["g"], exact_values=1000)
     large = {x.g: x for x in asked.collect()}["large"]
     assert large.exact and math.isclose(large.p_value, got["large"].p_value, rel_tol=0.3)
+
+
+def test_fits_at_once_follow_the_storage_memory(spark):
+    """Five folds of few rows run side by side, of very many rows one after the other; no count of rows ends at none."""
+    assert M.side_by_side(spark, 1_000, 28, 5) == 5
+    assert M.side_by_side(spark, 10 ** 12, 28, 5) == 1
+    assert M.side_by_side(spark, 0, 28, 5) == 5
+
+
+def test_rows_of_a_fit_stay_out_of_storage_memory(spark, monkeypatch):
+    """While folds are fitted, the assembled rows are on disk and hold only what a fold reads."""
+    rows = spark.createDataFrame([(i, i % 2, float(i), float(i % 7), "text") for i in range(60)], "row_id long, fold int, x double, y double, other string")
+    seen, own = [], M._learner
+
+    def learner(*args):
+        one = own(*args)
+
+        class Fit:
+            def fit(self, df):
+                kept = [r for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()]
+                seen.append((df.columns, [r.storageLevel().useMemory() for r in kept]))
+                return one.fit(df)
+        return Fit()
+    monkeypatch.setattr(M, "_learner", learner)
+    res = M.oof_train(rows, None, ["x"], "y", folds=(0, 1), params={"maxIter": 1, "maxDepth": 2}, parallel=1)
+    assert res.oof.count() == 60 and len(seen) == 2
+    assert seen[0][0] == ["features", "y"] and seen[0][1] and not any(seen[0][1])
