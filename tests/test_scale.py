@@ -141,6 +141,34 @@ def test_bounds_hold(spark, bins):
     assert (best.point, best.rho) == (max(exact, key=lambda p: (exact[p], -p)), pytest.approx(max(exact.values())))
 
 
+def test_ranges_of_a_curve_leave_no_trace(spark, monkeypatch):
+    """Ties, NaN, null groups and constant blends over one range of values and over many; no row is exploded by points."""
+    r = np.random.default_rng(5)
+    rows = [(float(round(a, 1)) if i % 50 else float("nan"), float(b), float(v), None if i % 3 else "g") for i, (a, b, v) in enumerate(zip(r.normal(0, 1, 900), r.random(900), r.integers(0, 5, 900)))]
+    d = spark.createDataFrame(rows, "a double, b double, y double, g string").withColumn("c", F.lit(0.25))
+    one = {(x.g, x.point): (x.rho, x.n) for x in ensemble.blend_curve(d, ["a", "b"], "y", 10, by=["g"]).collect()}
+    monkeypatch.setattr(ensemble, "_RANGE", 40)
+    curve = ensemble.blend_curve(d, ["a", "b"], "y", 10, by=["g"])
+    assert "Generate" not in curve._jdf.queryExecution().optimizedPlan().toString()
+    many = {(x.g, x.point): (x.rho, x.n) for x in curve.collect()}
+    assert len(many) == 22 and {k[0] for k in many} == {None, "g"}
+    assert all(many[k][0] == pytest.approx(one[k][0], abs=1e-12) and many[k][1] == one[k][1] for k in one)
+    pd = d.toPandas()
+    for g, own in (("g", pd[pd.g == "g"]), (None, pd[pd.g.isna()])):
+        want = (0.3 * own.a + 0.7 * own.b).fillna(np.inf).rank().corr(own.y.rank())
+        assert many[g, 3][0] == pytest.approx(want, abs=1e-9)
+    assert all(x.rho is None for x in ensemble.blend_curve(d, ["c"], "y", 10).collect())
+
+
+def test_best_points_are_those_of_the_whole_curve(spark):
+    r = np.random.default_rng(6)
+    y = r.integers(0, 6, 600)
+    d = spark.createDataFrame([tuple(map(float, x)) for x in zip(y + r.normal(0, 2, 600), r.normal(0, 1, 600), -y + r.normal(0, 1, 600), y)], "a double, b double, c double, y double")
+    whole = sorted(ensemble.blend_curve(d, ["a", "b", "c"], "y", 12).collect(), key=lambda x: (-x.rho, x.point))
+    some = sorted(ensemble.best_curve(d, ["a", "b", "c"], "y", 12, best=5).collect(), key=lambda x: (-x.rho, x.point))
+    assert [x.point for x in some[:5]] == [x.point for x in whole[:5]] and len(some) < len(whole) / 2
+
+
 def test_fold_models_leave_their_fold_out(spark):
     """Rows whose target can't be guessed from others: the model of a fold must not know them."""
     d = spark.range(400).select(F.col("id").alias("row_id"), (F.col("id") % 4).cast("int").alias("fold"),

@@ -8,7 +8,7 @@ from ..functions import features as fx
 from ..operators import ensemble as E
 from ..sources import io
 from ..sources.fixtures import zone_obs
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from . import pipeline
 from . import sqltext as S
 from .common import keyed_split
@@ -192,14 +192,13 @@ def l6_final_pick_unqualified(spark, sf):
 SELECT top.point, round(top.rho, 6) AS rho_all, round(s.rho, 6) AS rho_tc1,
  CAST(row_number() OVER (ORDER BY top.rho DESC, top.point) AS INTEGER) AS rank FROM top LEFT JOIN c s ON s.point = top.point AND s.sub = 'tc1'""")
 def l7_top_blends(spark, sf):
-    """Five best three-model blends with their score on the tc=1 segment (one pass for both)."""
+    """Five best three-model blends with their score on the tc=1 segment."""
     from pyspark.sql import Window
     d = _enc_train(spark, sf)
-    tagged = d.select(*_M3, _Y, F.explode(F.array(F.lit("all"), F.when(F.col("total_count") == 1, "tc1"))).alias("sub")) \
-        .where(F.col("sub").isNotNull())
-    cur = E.blend_curve(tagged, _M3, _Y, 20, by=["sub"])
-    top = cur.where("sub = 'all'").orderBy(F.col("rho").desc(), "point").limit(5).select("point", F.col("rho").alias("rho_all"))
-    seg = cur.where("sub = 'tc1'").select("point", F.col("rho").alias("rho_tc1"))
+    top = E.best_curve(d, _M3, _Y, 20, best=5).orderBy(F.col("rho").desc(), "point").limit(5).select("point", F.col("rho").alias("rho_all"))
+    top = stored(top, "top_blends")  # five rows
+    one = d.where("total_count = 1")
+    seg = E.blend_curve(one, _M3, _Y, 20, only=[r[0] for r in top.select("point").collect()] or [0]).select("point", F.col("rho").alias("rho_tc1"))
     w = Window.orderBy(F.col("rho_all").desc(), "point")  # five rows
     return top.join(seg, on="point", how="left").select("point", r6("rho_all"), r6("rho_tc1"),
                                                         F.row_number().over(w).cast("int").alias("rank"))
