@@ -339,14 +339,15 @@ def test_fits_at_once_follow_the_storage_memory(spark):
 def test_rows_of_a_fit_stay_out_of_storage_memory(spark, monkeypatch):
     """While folds are fitted, the assembled rows are on disk and hold only what a fold reads."""
     rows = spark.createDataFrame([(i, i % 2, float(i), float(i % 7), "text") for i in range(60)], "row_id long, fold int, x double, y double, other string")
-    seen, own = [], M._learner
+    info = spark.sparkContext._jsc.sc().getRDDStorageInfo
+    seen, own, before = [], M._learner, {r.id() for r in info()}
 
     def learner(*args):
         one = own(*args)
 
         class Fit:
             def fit(self, df):
-                kept = [r for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()]
+                kept = [r for r in info() if r.id() not in before]
                 seen.append((df.columns, [r.storageLevel().useMemory() for r in kept]))
                 return one.fit(df)
         return Fit()
