@@ -32,20 +32,23 @@ def hex_bin(df: DataFrame, x: str, y: str, value: str | None = None, gridsize: i
     px = F.try_divide(F.col(x) - F.lit(xmin), F.lit(sx))
     py = F.try_divide(F.col(y) - F.lit(c), F.lit(sy))
     p = df.select(px.alias("px"), py.alias("py"), (F.col(value) if value else F.lit(1.0)).alias("v"))
-    p = p.withColumns({"ix1": F.bround("px", 0), "iy1": F.bround("py", 0),
+    # rint rounds doubles half to even; each step is a column of its own that the next ones read, so a row's terms are computed once
+    p = p.withColumns({"ix1": F.rint("px"), "iy1": F.rint("py"),
                        "ix2": F.floor("px").cast("double"), "iy2": F.floor("py").cast("double")})
-    d1 = (F.col("px") - F.col("ix1")) ** 2 + F.lit(3.0) * (F.col("py") - F.col("iy1")) ** 2
-    d2 = ((F.col("px") - F.col("ix2") - F.lit(0.5)) ** 2
-          + F.lit(3.0) * (F.col("py") - F.col("iy2") - F.lit(0.5)) ** 2)
-    first = d1 < d2
+    x1, y1 = F.col("px") - F.col("ix1"), F.col("py") - F.col("iy1")
+    x2, y2 = F.col("px") - F.col("ix2") - F.lit(0.5), F.col("py") - F.col("iy2") - F.lit(0.5)
+    p = p.withColumn("first", x1 * x1 + F.lit(3.0) * (y1 * y1) < x2 * x2 + F.lit(3.0) * (y2 * y2))
+    first = F.col("first")
     lat = F.when(first, F.lit(1)).otherwise(F.lit(2))
     ix = F.when(first, F.col("ix1")).otherwise(F.col("ix2")).cast("long")
     iy = F.when(first, F.col("iy1")).otherwise(F.col("iy2")).cast("long")
     c = p.select(lat.alias("lattice"), ix.alias("ix"), iy.alias("iy"), "v")
     lim_x = F.when(F.col("lattice") == 1, F.lit(nx + 1)).otherwise(F.lit(nx))
     lim_y = F.when(F.col("lattice") == 1, F.lit(ny + 1)).otherwise(F.lit(ny))
-    c = c.where((F.col("ix") >= 0) & (F.col("ix") < lim_x) & (F.col("iy") >= 0) & (F.col("iy") < lim_y))
+    # taken as an aggregate: a filter on the keys would be pushed below them, with their nested expressions written out for every use
+    inside = (F.col("ix") >= 0) & (F.col("ix") < lim_x) & (F.col("iy") >= 0) & (F.col("iy") < lim_y)
     aggs = [F.count(F.lit(1)).alias("n")]
     if value:
         aggs.append(F.avg("v").alias("mean_value"))
-    return c.groupBy("lattice", "ix", "iy").agg(*aggs).where(F.col("n") >= mincnt)
+    cells = c.groupBy("lattice", "ix", "iy").agg(F.max(inside).alias("_zk_inside"), *aggs)
+    return cells.where(F.col("_zk_inside") & (F.col("n") >= mincnt)).drop("_zk_inside")
