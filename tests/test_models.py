@@ -336,6 +336,18 @@ def test_fits_at_once_follow_the_storage_memory(spark):
     assert M.side_by_side(spark, 0, 28, 5) == 5
 
 
+def test_fits_at_once_count_the_executors_only(spark, monkeypatch):
+    """The driver's smaller memory isn't taken for that of an executor; rounds hold about as many fits each."""
+    rows, room = 3_300_000, 943_718_400
+    assert [M.fits_at_once(n * room, rows, 27, 5) for n in (1, 3, 5, 12)] == [1, 2, 3, 5]
+    assert M.fits_at_once(7 * room, rows, 27, 12) == 4
+    asked = []
+    monkeypatch.setattr(M, "fits_at_once", lambda storage, *rest: asked.append(storage) or 1)
+    M.side_by_side(spark, rows, 27, 5)
+    info = spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()
+    assert asked == [info[0].totalOnHeapStorageMemory()] and len(info) == 1
+
+
 def test_rows_of_a_fit_stay_out_of_storage_memory(spark, monkeypatch):
     """While folds are fitted, the assembled rows are on disk and hold only what a fold reads."""
     rows = spark.createDataFrame([(i, i % 2, float(i), float(i % 7), "text") for i in range(60)], "row_id long, fold int, x double, y double, other string")
