@@ -71,6 +71,20 @@ def test_quantiles_pair_nothing(spark, no_broadcast):
             assert r.value == pytest.approx(np.quantile(own.v, r.q))
 
 
+def test_sample_orders_few_rows(spark, monkeypatch):
+    """Only rows near the sample are put in order; the sample is that of ordering all, with repeated and null keys."""
+    d = spark.range(40_000).select(F.when(F.col("id") % 1000 != 7, F.col("id") % 30_000).alias("row_id"), F.lit(1).alias("x"))
+    want = sorted((r.h is not None, r.h or 0, r.row_id or 0) for r in d.select("row_id", fx.mix32("row_id", 3).alias("h")).collect())
+    own, seen = ranks.row_position, []
+    monkeypatch.setattr(split, "row_position", lambda df, *a, **k: seen.append(df.count()) or own(df, *a, **k))
+    for n, most in ((0, 0), (100, 160), (10_000, 10_100), (50_000, 40_000)):
+        got = [r.row_id for r in split.sample_n(d, n, seed=3).collect()]
+        assert sorted(got, key=lambda k: (k is not None, k or 0)) == sorted(((k if known else None) for known, _, k in want[:n]), key=lambda k: (k is not None, k or 0))
+        assert seen[-1] <= most
+    assert split.sample_n(d, spark.range(500).select(F.count(F.lit(1))).scalar(), seed=3).count() == 500
+    assert split.sample_n(d.where("x = 2"), 10).count() == 0
+
+
 def test_hex_bin_scans_once(spark):
     z = fixtures.zone_obs(spark, SF_SMALL)
     assert _plan(hexbin.hex_bin(z, "lon", "lat", "invalid_ratio")).count("FileScan") <= 2
