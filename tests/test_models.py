@@ -5,10 +5,13 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
+from zonekit.functions import features as fx
 from zonekit.operators import encode, models as M, stats, trees
 from zonekit.session import scratch_path
 
@@ -336,6 +339,26 @@ def test_fits_at_once_follow_the_storage_memory(spark):
     assert M.side_by_side(spark, 0, 28, 5) == 5
 
 
+def test_permuted_rows_are_joined_once(spark):
+    """The permuted value of a feature is the one the row order gives; scoring a feature joins nothing again."""
+    n = 200
+    d = spark.range(n).select(F.col("id").alias("row_id"), (F.col("id") * 37 % 101).cast("double").alias("a"),
+                              (F.col("id") * 53 % 89).cast("double").alias("b"), (F.col("id") * 37 % 101).cast("double").alias("y"))
+    plans = []
+
+    class First:
+        def transform(self, df):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return df.withColumn("pred", vector_to_array("features")[0])
+
+    got = {r.feature: r.rho_drop for r in M.permutation_importance(First(), d, ["a", "b"], "y").collect()}
+    rows = d.select("row_id", "a", "y", fx.mix32("row_id", 99).alias("h")).toPandas().sort_values("row_id")
+    mixed = rows.sort_values(["h", "row_id"])["a"].to_numpy()
+    want = 1 - np.corrcoef(pd.Series(mixed).rank(), rows["y"].rank())[0, 1]
+    assert got["b"] == pytest.approx(0) and got["a"] == pytest.approx(want)
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
+
+
 def test_fits_at_once_count_the_executors_only(spark, monkeypatch):
     """The driver's smaller memory isn't taken for that of an executor; rounds hold about as many fits each."""
     rows, room = 3_300_000, 943_718_400
