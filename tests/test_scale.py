@@ -4,6 +4,7 @@ import math
 import os
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,23 @@ def test_quantiles_pair_nothing(spark, no_broadcast):
             assert r.value == pytest.approx(np.quantile(own.v, r.q))
 
 
+def test_pairs_hold_a_row_once(spark, monkeypatch):
+    """Columns are ranked once, whatever the number of pairs; each pair has the rho of its complete rows, by group too."""
+    r = np.random.default_rng(5)
+    p = pd.DataFrame({c: np.where(r.random(400) < share, np.nan, r.integers(0, most, 400)) for c, share, most in (("a", 0, 6), ("b", 0.2, 300), ("c", 0.5, 9), ("d", 0, 400))})
+    p["g"] = np.arange(400) % 3
+    d = spark.createDataFrame(p).select("g", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "abcd"], F.lit(None).cast("double").alias("e"))
+    pairs, own, seen = [(x, y) for i, x in enumerate("abcde") for y in "abcde"[i:]], stats.stored, []
+    monkeypatch.setattr(stats, "stored", lambda df, *a, **k: seen.append(df.count()) or own(df, *a, **k))
+    for by in ([], ["g"]):
+        found = stats.spearman_pairs(d, pairs, by).collect()
+        assert len(found) == 10 * (3 if by else 1)
+        for x in found:
+            rows = (p[p.g == x.g] if by else p)[[x.a]].assign(other=p[x.b]).dropna()
+            assert x.rho == pytest.approx(np.corrcoef(rows[x.a].rank(), rows["other"].rank())[0, 1])
+    assert seen == [sum(p[c].nunique() for c in "abcd"), sum(p.groupby("g")[c].nunique().sum() for c in "abcd")]
+
+
 def test_sample_orders_few_rows(spark, monkeypatch):
     """Only rows near the sample are put in order; the sample is that of ordering all, with repeated and null keys."""
     d = spark.range(40_000).select(F.when(F.col("id") % 1000 != 7, F.col("id") % 30_000).alias("row_id"), F.lit(1).alias("x"))
