@@ -108,12 +108,10 @@ def l3_blend_search4_coarse(spark, sf):
 SELECT c.point, round(s.rho, 6) AS rho_subset, round(c.rho, 6) AS rho_all, round(w.i0 / 20e0, 6) AS w_pred_a
 FROM c JOIN best ON c.point = best.point JOIN c s ON s.point = c.point AND s.sub = 'm1_5' JOIN c_w w ON w.point = c.point WHERE c.sub = 'all'""")
 def l4_blend_search_subset(spark, sf):
-    """Weights tuned on months 1-5, reported on all rows (both from one pass)."""
-    tr = zone_obs(spark, sf).where("split = 'train'")
-    tagged = tr.select(*_M2, _Y, F.explode(F.array(F.lit("all"), F.when(F.col("month") <= 5, "m1_5").otherwise("other"))).alias("sub"))
-    cur = E.blend_curve(tagged, _M2, _Y, 20, by=["sub"])
-    best = E.best_point(cur.where("sub = 'm1_5'")).select("point", F.col("rho").alias("rho_subset"), "w_pred_a")
-    allr = cur.where("sub = 'all'").select("point", F.col("rho").alias("rho_all"))
+    """Weights tuned on months 1-5; all rows are ranked at the best point alone."""
+    tr = zone_obs(spark, sf).where("split = 'train'").select(*_M2, _Y, "month")
+    best = stored(E.blend_search(tr, _M2, _Y, 20, where=F.col("month") <= 5).select("point", F.col("rho").alias("rho_subset"), "w_pred_a"), "best")  # one row
+    allr = E.blend_curve(tr, _M2, _Y, 20, only=[r[0] for r in best.select("point").collect()] or [0]).select("point", F.col("rho").alias("rho_all"))
     return best.join(allr, on="point").select("point", r6("rho_subset"), r6("rho_all"), r6("w_pred_a"))
 
 
